@@ -115,7 +115,7 @@ def describe_numeric(df: DataFrame, types: Sequence[str] = NUMERIC_TYPES) -> Dat
     ])).alias("r")).select("r.*")
 
 
-def distinct_counts(df: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+def distinct_counts(df: DataFrame, approx: bool = False, rsd: float = 0.05) -> DataFrame:
     """Long ``(column, n_distinct)``; NULL counts as one value (as ``distinct().count()``).
 
     Exact: all ``count(DISTINCT c)`` in one aggregate (Spark expands the rows once and

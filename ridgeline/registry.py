@@ -632,3 +632,139 @@ def q_minmax_scale(spark, d):
         F.col("scaled_normalized_business_review_count").alias("scaled_business_review_count"),
         F.col("scaled_normalized_user_review_count").alias("scaled_user_review_count"),
     ))
+
+
+# --------------------------------------------------------------------------- sources / sinks
+from ridgeline.session import scratch_path  # noqa: E402
+from ridgeline.sources import io as IO  # noqa: E402
+from ridgeline.sources import zone as Z  # noqa: E402
+
+
+@query("json_scan", with_views("review_dirty") + "SELECT * FROM review_dirty")
+def q_json_scan(spark, d):
+    """Write review_dirty as JSON lines to the shared folder, read it back by inference."""
+    path = scratch_path(spark, "json_scan")
+    IO.write_json(_dirty(spark, d), path)
+    return IO.read_json(spark, path).select(*DIRTY_COLS)
+
+
+@query("parquet_scan", "SELECT * FROM customer")
+def q_parquet_scan(spark, d):
+    return IO.read_table(spark, f"{d.rstrip('/')}/customer.parquet")
+
+
+@query("parquet_roundtrip", _features_with() + "SELECT * FROM features")
+def q_parquet_roundtrip(spark, d):
+    """Write the feature table (overwrite) and read it back."""
+    path = scratch_path(spark, "trusted")
+    IO.write_parquet(_features(spark, d), path)
+    return IO.read_table(spark, path)
+
+
+_ZONE_TABLES = {
+    "review_dirty": (DIRTY_COLS, DIRTY_DOUBLES),
+    "business": (("business_id", "name", "stars", "is_open", "latitude", "longitude", "review_count"),
+                 ("stars", "latitude", "longitude")),
+    "users": (("user_id", "average_stars", "review_count", "fans", "cool", "funny", "useful"),
+              ("average_stars",)),
+}
+
+
+def _land(spark, d) -> str:
+    """Write the fixture tables to a fresh landing zone as JSON lines."""
+    landing = scratch_path(spark, "landing")
+    for name in _ZONE_TABLES:
+        IO.write_json(fx.VIEWS[name](spark, d), Z.landing_path(landing, name))
+    return landing
+
+
+@query("clean_zone_counts", with_views(*_ZONE_TABLES) + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", rows_before AS rows_in, rows_after AS rows_out, "
+    f"columns_before AS cols_in, columns_after AS cols_out FROM ({clean_stats_sql(t, cols, dbl, C.DEFAULT_POLICY)}) s"
+    for t, (cols, dbl) in _ZONE_TABLES.items()))
+def q_clean_zone_counts(spark, d):
+    landing = _land(spark, d)
+    return Z.clean_zone(spark, landing, scratch_path(spark, "cleaned"), list(_ZONE_TABLES))
+
+
+@query("repartition_rows", ORACLE["clean_05"])
+def q_repartition_rows(spark, d):
+    """Cleaned rows written with the reference's partition rule, read back."""
+    path = scratch_path(spark, "repartitioned")
+    raw = _dirty(spark, d)
+    IO.write_parquet(C.clean(raw, "validated"), path, partitions=IO.write_partitions_for(fx.base(spark, d, "events")))
+    return IO.read_table(spark, path)
+
+
+@query("stream_clean_zone", ORACLE["clean_05"])
+def q_stream_clean_zone(spark, d):
+    """The row-local policy as an incremental file stream (available-now trigger); drops
+    the columns the batch policy drops, so the result equals clean_05."""
+    from ridgeline.streaming.zone_stream import start_clean_stream
+    dirty = _dirty(spark, d)
+    landing = scratch_path(spark, "stream-landing")
+    IO.write_json(dirty, landing)
+    dropped = C.sparse_columns(dirty, C.POLICIES["validated"]["max_null_frac"])
+    out, ckpt = scratch_path(spark, "stream-cleaned"), scratch_path(spark, "stream-ckpt")
+    q = start_clean_stream(spark, landing, out, ckpt, dirty.schema, drop=dropped)
+    q.awaitTermination()
+    return IO.read_table(spark, out).select(*[c for c in DIRTY_COLS if c not in dropped])
+
+
+# --------------------------------------------------------------------------- model
+_FITS: dict = {}
+
+
+def _fit(spark, d):
+    """Cross-validated model and held-out predictions, fitted once per session and input."""
+    from ridgeline.plans import model as MO
+    key = (id(spark), d)
+    if key not in _FITS:
+        _FITS[key] = MO.train_score(_features(spark, d))
+    return _FITS[key]
+
+
+@query("predictions")
+def q_predictions(spark, d):
+    from ridgeline.plans import model as MO
+    _, pred = _fit(spark, d)
+    return MO.flatten_predictions(pred)
+
+
+@query("cv_metrics")
+def q_cv_metrics(spark, d):
+    from ridgeline.plans import model as MO
+    model, _ = _fit(spark, d)
+    return MO.cv_metrics(model)
+
+
+@query("auc_ml")
+def q_auc_ml(spark, d):
+    from ridgeline.plans import model as MO
+    _, pred = _fit(spark, d)
+    return spark.createDataFrame([(MO.auc_ml(pred),)], "auc double")
+
+
+@query("feature_importance")
+def q_feature_importance(spark, d):
+    from ridgeline.plans import model as MO
+    model, _ = _fit(spark, d)
+    return MO.feature_importance(model.bestModel)
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, d):
+    """Save the best pipeline, load it back, score the held-out rows with the copy."""
+    from ridgeline.plans import model as MO
+    model, _ = _fit(spark, d)
+    path = scratch_path(spark, "model")
+    MO.save_model(model.bestModel, path)
+    loaded = MO.load_model(path)
+    _, test = MO.split_train_test(_features(spark, d))
+    return MO.flatten_predictions(loaded.transform(test))
+
+
+@query("correlation_ml")
+def q_correlation_ml(spark, d):
+    from ridgeline.plans.model import correlation_ml
+    return correlation_ml(_features(spark, d))
