@@ -28,14 +28,15 @@ def values(df: DataFrame, c: str) -> DataFrame:
 
 
 def auto_bin_count(n: Column, lo: Column, hi: Column, q25: Column, q75: Column) -> Column:
-    """NumPy ``bins='auto'``: width = min(Freedman-Diaconis, Sturges), Sturges when the
-    IQR is 0; ``ceil(range / width)`` bins, one bin for a zero range.  Input treated as
-    float (no integer width floor)."""
+    """NumPy's ``bins='auto'`` rule: width = min(max(Freedman-Diaconis, sqrt-rule / 2),
+    Sturges), so at most about ``2 * sqrt(n)`` bins; ``ceil(range / width)`` bins, one bin
+    for a zero range.  Input treated as float (no integer width floor)."""
     n = n.cast("double")
     rng = hi - lo
     sturges = rng / (F.log2(n) + F.lit(1.0))
     fd = F.lit(2.0) * (q75 - q25) * F.pow(n, F.lit(-1.0 / 3.0))
-    width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
+    half_sqrt = rng / F.sqrt(n) / F.lit(2.0)
+    width = F.least(F.greatest(fd, half_sqrt), sturges)
     return F.when(width > 0, F.ceil(rng / width)).otherwise(F.lit(1)).cast("int")
 
 

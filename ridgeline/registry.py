@@ -434,10 +434,11 @@ def q_profile_long(spark, d):
 def _hist_sql(values_sql: str, bins: str | int, by: str | None = None) -> str:
     """DuckDB twin of operators.histogram.histogram."""
     if bins == "auto":
-        k = ("CASE WHEN n = 0 THEN 0 WHEN (CASE WHEN fd > 0 THEN least(fd, sturges) ELSE sturges END) > 0 "
-             "THEN CAST(ceil((hi - lo) / (CASE WHEN fd > 0 THEN least(fd, sturges) ELSE sturges END)) AS INTEGER) "
-             "ELSE 1 END")
+        width = "least(greatest(fd, half_sqrt), sturges)"
+        k = (f"CASE WHEN n = 0 THEN 0 WHEN {width} > 0 "
+             f"THEN CAST(ceil((hi - lo) / {width}) AS INTEGER) ELSE 1 END")
         st = ("SELECT n, lo, hi, (hi - lo) / (log2(CAST(n AS DOUBLE)) + 1.0) AS sturges, "
+              "(hi - lo) / sqrt(CAST(n AS DOUBLE)) / 2.0 AS half_sqrt, "
               "2.0 * (q75 - q25) * pow(CAST(n AS DOUBLE), -1.0 / 3.0) AS fd FROM (SELECT count(*) AS n, "
               "min(x) AS lo, max(x) AS hi, quantile_cont(x, 0.25) AS q25, quantile_cont(x, 0.75) AS q75 FROM v) t")
     else:
