@@ -24,50 +24,55 @@ def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
+def ident(c: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + c.replace("`", "``") + "`"
+
+
+def text(v: str) -> str:
+    """A Python string as a SQL string literal."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _stack(rows: Sequence[Sequence[str]], names: Sequence[str]) -> str:
+    """``stack`` expression turning one wide row into ``len(rows)`` long rows."""
+    return f"stack({len(rows)}, {', '.join(x for r in rows for x in r)}) AS ({', '.join(names)})"
+
+
+# Wide, column-by-column profiles are written as SQL expression text and handed to
+# ``selectExpr`` in one call: the JVM parses them, instead of one Py4J round trip per
+# Column node (thousands for a wide table).  The plans are the same.
+
 def row_count(df: DataFrame, name: str | None = None) -> DataFrame:
     out = df.agg(F.count(F.lit(1)).alias("n_rows"))
     return out.select(F.lit(name).alias("table"), "n_rows") if name is not None else out
 
 
+def _nulls(c: str) -> str:
+    return f"CAST(coalesce(sum(CAST(isnull({ident(c)}) AS INT)), 0) AS BIGINT)"
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """Wide: one row, NULL count per column (bigint; 0 on an empty table)."""
-    return df.agg(*[
-        F.coalesce(F.sum(_q(c).isNull().cast("int")), F.lit(0)).cast("bigint").alias(c)
-        for c in df.columns
-    ])
+    return df.selectExpr(*[f"{_nulls(c)} AS {ident(c)}" for c in df.columns])
 
 
 def null_audit(df: DataFrame) -> DataFrame:
     """Long: ``(column, nulls, null_frac)``; fraction NULL on an empty table."""
     cols = df.columns
-    wide = df.agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[F.coalesce(F.sum(_q(c).isNull().cast("int")), F.lit(0)).cast("bigint").alias(f"n{i}")
-          for i, c in enumerate(cols)],
-    )
-    long = wide.select(
-        "__rows",
-        F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("nulls"))
-            for i, c in enumerate(cols)
-        ])).alias("kv"),
-    )
-    return long.select(
-        F.col("kv.column").alias("column"),
-        F.col("kv.nulls").alias("nulls"),
-        F.try_divide(F.col("kv.nulls").cast("double"), F.col("__rows").cast("double")).alias("null_frac"),
-    )
+    wide = df.selectExpr("count(1) AS __rows", *[f"{_nulls(c)} AS n{i}" for i, c in enumerate(cols)])
+    long = wide.selectExpr("__rows", _stack([(text(c), f"n{i}") for i, c in enumerate(cols)], ["column", "nulls"]))
+    return long.selectExpr("column", "nulls",
+                           "try_divide(CAST(nulls AS DOUBLE), CAST(__rows AS DOUBLE)) AS null_frac")
 
 
 def numeric_stats(df: DataFrame, types: Sequence[str] = NUMERIC_TYPES) -> DataFrame:
     """Wide: ``{c}_min`` for all numeric columns, then maxes, means, sample stddevs."""
     cols = numeric_columns(df, types)
-    return df.agg(
-        *[F.min(_q(c)).alias(f"{c}_min") for c in cols],
-        *[F.max(_q(c)).alias(f"{c}_max") for c in cols],
-        *[F.mean(_q(c)).alias(f"{c}_mean") for c in cols],
-        *[F.stddev(_q(c)).alias(f"{c}_stddev") for c in cols],
-    )
+    exprs = []
+    for fn, suffix in (("min", "min"), ("max", "max"), ("avg", "mean"), ("stddev_samp", "stddev")):
+        exprs += [f"{fn}({ident(c)}) AS {ident(c + '_' + suffix)}" for c in cols]
+    return df.selectExpr(*exprs)
 
 
 def date_range(df: DataFrame, c: str = "date") -> DataFrame:
@@ -99,20 +104,19 @@ def describe_numeric(df: DataFrame, types: Sequence[str] = NUMERIC_TYPES) -> Dat
 
     One aggregate pass, then the single row is unpivoted."""
     cols = numeric_columns(df, types)
-    aggs = []
+    exprs = []
     for i, c in enumerate(cols):
-        x = _q(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"c{i}"), F.mean(x).alias(f"m{i}"), F.stddev(x).alias(f"s{i}"),
-            F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-        ]
-    wide = df.agg(*aggs)
-    return wide.select(F.explode(F.array(*[
-        F.struct(
-            F.lit(c).alias("column"), F.col(f"c{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-            F.col(f"s{i}").alias("stddev"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
-        ) for i, c in enumerate(cols)
-    ])).alias("r")).select("r.*")
+        x = f"CAST({ident(c)} AS DOUBLE)"
+        exprs += [f"count({x}) AS c{i}", f"avg({x}) AS m{i}", f"stddev_samp({x}) AS s{i}",
+                  f"min({x}) AS lo{i}", f"max({x}) AS hi{i}"]
+    wide = df.selectExpr(*exprs)
+    rows = [(text(c), f"c{i}", f"m{i}", f"s{i}", f"lo{i}", f"hi{i}") for i, c in enumerate(cols)]
+    return wide.selectExpr(_stack(rows, ["column", "count", "mean", "stddev", "min", "max"]))
+
+
+def _distinct(c: str, approx: bool, rsd: float) -> str:
+    nd = f"approx_count_distinct({ident(c)}, {rsd})" if approx else f"count(DISTINCT {ident(c)})"
+    return f"CAST({nd} + coalesce(max(CAST(isnull({ident(c)}) AS INT)), 0) AS BIGINT)"
 
 
 def distinct_counts(df: DataFrame, approx: bool = False, rsd: float = 0.05) -> DataFrame:
@@ -122,15 +126,8 @@ def distinct_counts(df: DataFrame, approx: bool = False, rsd: float = 0.05) -> D
     pre-aggregates each value map-side, so a hot value is combined before the shuffle).
     Approximate: HyperLogLog++ sketches, one pass and no shuffle of values."""
     cols = df.columns
-    aggs = []
-    for i, c in enumerate(cols):
-        nd = F.approx_count_distinct(_q(c), rsd) if approx else F.count_distinct(_q(c))
-        aggs.append((nd + F.coalesce(F.max(_q(c).isNull().cast("int")), F.lit(0))).cast("bigint").alias(f"d{i}"))
-    wide = df.agg(*aggs)
-    return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("n_distinct"))
-        for i, c in enumerate(cols)
-    ])).alias("r")).select("r.*")
+    wide = df.selectExpr(*[f"{_distinct(c, approx, rsd)} AS d{i}" for i, c in enumerate(cols)])
+    return wide.selectExpr(_stack([(text(c), f"d{i}") for i, c in enumerate(cols)], ["column", "n_distinct"]))
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str] | None = None,
@@ -148,36 +145,36 @@ def correlation_long(df: DataFrame, cols: Sequence[str] | None = None,
     cols = list(cols) if cols is not None else numeric_columns(df, types)
     if not cols:
         return df.sparkSession.createDataFrame([], "x string, y string, corr double")
-    complete = df.select(*[_q(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)]).dropna()
+    complete = df.selectExpr(*[f"CAST({ident(c)} AS DOUBLE) AS v{i}" for i, c in enumerate(cols)]).dropna()
     pairs = list(combinations_with_replacement(range(len(cols)), 2))
     if method == "moments":
-        aggs = [F.stddev_pop(f"v{i}").alias(f"sd{i}") for i in range(len(cols))]
-        aggs += [F.covar_pop(f"v{i}", f"v{j}").alias(f"cv{i}_{j}") for i, j in pairs]
-        wide = complete.agg(*aggs)
+        wide = complete.selectExpr(
+            *[f"stddev_pop(v{i}) AS sd{i}" for i in range(len(cols))],
+            *[f"covar_pop(v{i}, v{j}) AS cv{i}_{j}" for i, j in pairs],
+        )
     elif method == "sums":
-        aggs = [F.count(F.lit(1)).cast("double").alias("n")]
-        aggs += [F.sum(f"v{i}").alias(f"s{i}") for i in range(len(cols))]
-        aggs += [F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"p{i}_{j}") for i, j in pairs]
-        sums = complete.agg(*aggs)
-        n = F.col("n")
+        sums = complete.selectExpr(
+            "CAST(count(1) AS DOUBLE) AS n",
+            *[f"sum(v{i}) AS s{i}" for i in range(len(cols))],
+            *[f"sum(v{i} * v{j}) AS p{i}_{j}" for i, j in pairs],
+        )
 
         def cov(i, j):
-            return F.col(f"p{i}_{j}") / n - (F.col(f"s{i}") / n) * (F.col(f"s{j}") / n)
+            return f"(p{i}_{j} / n - (s{i} / n) * (s{j} / n))"
 
-        wide = sums.select(
-            *[F.sqrt(F.greatest(cov(i, i), F.lit(0.0))).alias(f"sd{i}") for i in range(len(cols))],
-            *[cov(i, j).alias(f"cv{i}_{j}") for i, j in pairs],
+        wide = sums.selectExpr(
+            *[f"sqrt(greatest({cov(i, i)}, 0D)) AS sd{i}" for i in range(len(cols))],
+            *[f"{cov(i, j)} AS cv{i}_{j}" for i, j in pairs],
         )
     else:
         raise ValueError("method is 'sums' or 'moments'")
-    entries = []
+    rows = []
     for i, j in pairs:
-        den = F.col(f"sd{i}") * F.col(f"sd{j}")
-        r = F.when(den > 0, F.least(F.greatest(F.col(f"cv{i}_{j}") / den, F.lit(-1.0)), F.lit(1.0)))
-        entries.append(F.struct(F.lit(cols[i]).alias("x"), F.lit(cols[j]).alias("y"), r.alias("corr")))
+        r = f"CASE WHEN sd{i} * sd{j} > 0 THEN least(greatest(cv{i}_{j} / (sd{i} * sd{j}), -1D), 1D) END"
+        rows.append((text(cols[i]), text(cols[j]), r))
         if i != j:
-            entries.append(F.struct(F.lit(cols[j]).alias("x"), F.lit(cols[i]).alias("y"), r.alias("corr")))
-    return wide.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
+            rows.append((text(cols[j]), text(cols[i]), r))
+    return wide.selectExpr(_stack(rows, ["x", "y", "corr"]))
 
 
 def class_counts(df: DataFrame, label: str = "is_high_star") -> DataFrame:
@@ -190,23 +187,16 @@ def profile_long(df: DataFrame, table: str, types: Sequence[str] = NUMERIC_TYPES
 
     Metrics: ``nulls`` and ``distinct`` for every column, ``min``/``max``/``mean``/``stddev``
     for numeric ones.  One aggregate pass for all of them."""
-    cols = df.columns
     numeric = set(numeric_columns(df, types))
-    aggs, entries = [], []
-    for i, c in enumerate(cols):
-        aggs.append(F.coalesce(F.sum(_q(c).isNull().cast("int")), F.lit(0)).cast("double").alias(f"n{i}"))
-        aggs.append((F.count_distinct(_q(c)) + F.coalesce(F.max(_q(c).isNull().cast("int")), F.lit(0)))
-                    .cast("double").alias(f"d{i}"))
-        entries.append((c, "nulls", f"n{i}"))
-        entries.append((c, "distinct", f"d{i}"))
+    exprs, rows = [], []
+    for i, c in enumerate(df.columns):
+        exprs.append(f"CAST({_nulls(c)} AS DOUBLE) AS n{i}")
+        exprs.append(f"CAST({_distinct(c, False, 0.05)} AS DOUBLE) AS d{i}")
+        rows.append((text(table), text(c), "'nulls'", f"n{i}"))
+        rows.append((text(table), text(c), "'distinct'", f"d{i}"))
         if c in numeric:
-            x = _q(c).cast("double")
-            for m, fn in (("min", F.min), ("max", F.max), ("mean", F.mean), ("stddev", F.stddev)):
-                aggs.append(fn(x).alias(f"{m}{i}"))
-                entries.append((c, m, f"{m}{i}"))
-    wide = df.agg(*aggs)
-    return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(table).alias("table"), F.lit(c).alias("column"), F.lit(m).alias("metric"),
-                 F.col(ref).alias("value"))
-        for c, m, ref in entries
-    ])).alias("r")).select("r.*")
+            for m, fn in (("min", "min"), ("max", "max"), ("mean", "avg"), ("stddev", "stddev_samp")):
+                exprs.append(f"{fn}(CAST({ident(c)} AS DOUBLE)) AS {m}{i}")
+                rows.append((text(table), text(c), f"'{m}'", f"{m}{i}"))
+    wide = df.selectExpr(*exprs)
+    return wide.selectExpr(_stack(rows, ["table", "column", "metric", "value"]))
