@@ -2,15 +2,19 @@
 
 A window ``ORDER BY x`` with no partition key moves every row to one task.  Instead:
 
-1. range-bucket the order key into at most ``buckets`` monotone buckets (min/max
-   arrive as a scalar subquery);
+1. split the key range into at most ``buckets`` contiguous ranges holding about the
+   same number of keys: edges are approximate quantiles of the key (one small
+   aggregate, at most ``buckets - 1`` doubles read back), and ``Bucketizer`` assigns each
+   row by binary search.  A skewed or heavy-tailed key distribution still gives
+   balanced buckets;
 2. total each bucket (partial + final aggregate, at most ``buckets`` rows), prefix-sum
    those totals (a window over at most ``buckets`` rows) and attach the offsets by
    broadcast (size bounded by ``buckets``);
 3. run the window *partitioned by bucket* and add the bucket offset.
 
-The result is exact.  Callers pass a table that is already unique on the order key
-(e.g. per-score or per-value counts), so a hot value is a single row here.
+The result is exact whatever the edges are; the edges only balance the work.  Callers
+pass a table that is already unique on the order key (e.g. per-score or per-value
+counts), so a hot value is a single row here.
 """
 
 from __future__ import annotations
@@ -32,15 +36,8 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descend
     ``order_col`` must be unique, non-NULL and not NaN.  ``descending`` runs from the
     largest key down."""
     key = F.col(order_col).cast("double")
-    k = -key if descending else key
-    keyed = df.withColumn("_ord", k)
-    stats = keyed.agg(F.min("_ord").alias("lo"), F.max("_ord").alias("hi"))
-    width = F.col("_s.hi") - F.col("_s.lo")
-    bucket = F.when(width > 0, F.least(
-        F.floor((F.col("_ord") - F.col("_s.lo")) / width * F.lit(buckets)).cast("int"),
-        F.lit(buckets - 1),
-    )).otherwise(F.lit(0))
-    keyed = with_stats(keyed, stats).withColumn("_bucket", bucket).drop("_s")
+    keyed = df.withColumn("_ord", -key if descending else key)
+    keyed = bucket_by_range(keyed, "_ord", "_bucket", buckets)
 
     totals = keyed.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -55,6 +52,29 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descend
     return out.drop("_bucket", "_ord", *[f"_off_{c}" for c in sum_cols])
 
 
+def range_edges(df: DataFrame, c: str, buckets: int = DEFAULT_BUCKETS,
+                accuracy: int | None = None) -> list[float]:
+    """Up to ``buckets - 1`` increasing split points of ``c`` at equal-count quantiles.
+
+    One ``percentile_approx`` aggregate; the result is bounded by ``buckets``.  Rank error
+    is at most ``1 / accuracy`` of the rows, so buckets stay within a few percent of equal."""
+    if buckets <= 1:
+        return []
+    accuracy = accuracy or max(10_000, 20 * buckets)
+    probs = ", ".join(repr(i / buckets) for i in range(1, buckets))
+    row = df.selectExpr(f"percentile_approx(`{c}`, array({probs}), {accuracy}) AS e").first()
+    return sorted({float(x) for x in (row["e"] or []) if x is not None and x == x})
+
+
+def bucket_by_range(df: DataFrame, c: str, out: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Add ``out``: index of the quantile range holding ``c`` (monotone in ``c``)."""
+    from pyspark.ml.feature import Bucketizer
+
+    splits = [float("-inf")] + range_edges(df, c, buckets) + [float("inf")]
+    b = Bucketizer(splits=splits, inputCol=c, outputCol=out, handleInvalid="keep")
+    return b.transform(df).withColumn(out, F.col(out).cast("int"))
+
+
 def value_counts(df: DataFrame, c: str) -> DataFrame:
     """``(x, w)``: count per distinct non-NULL, non-NaN value of ``c`` as double."""
     x = F.col(c).cast("double")
