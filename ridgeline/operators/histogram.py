@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions.columns import with_stats
-from ridgeline.operators.ordered import exact_quantiles, value_counts
+from ridgeline.operators.ordered import quantiles_from_counts, value_counts
 
 
 def values(df: DataFrame, c: str) -> DataFrame:
@@ -40,11 +40,18 @@ def auto_bin_count(n: Column, lo: Column, hi: Column, q25: Column, q75: Column)
     return F.when(width > 0, F.ceil(rng / width)).otherwise(F.lit(1)).cast("int")
 
 
-def _stats(vals: DataFrame, bins: int | str) -> DataFrame:
-    """One row: ``first``, ``last`` (outer edges) and ``k`` (bin count)."""
-    base = vals.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+def _stats(vals: DataFrame, bins: int | str, counts: DataFrame | None = None) -> DataFrame:
+    """One row: ``first``, ``last`` (outer edges) and ``k`` (bin count).
+
+    With ``counts`` (the ``(x, w)`` value-count table) every statistic comes from it, so
+    the automatic rule reads the raw column once."""
+    if counts is not None:
+        base = counts.agg(F.sum("w").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    else:
+        base = vals.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     if bins == "auto":
-        q = exact_quantiles(vals, "x", [0.25, 0.75], ["q25", "q75"])
+        src = counts if counts is not None else value_counts(vals, "x")
+        q = quantiles_from_counts(src, [0.25, 0.75], ["q25", "q75"])
         base = with_stats(base, q, "_q")
         k = auto_bin_count(F.col("n"), F.col("lo"), F.col("hi"), F.col("_q.q25"), F.col("_q.q75"))
     else:
@@ -78,10 +85,17 @@ def histogram(df: DataFrame, c: str, bins: int | str = "auto", by: str | None =
     group or bin is pre-aggregated before the shuffle."""
     keep = [F.col(c).cast("double").alias("x")] + ([F.col(by)] if by else [])
     vals = df.select(*keep).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    stats = _stats(vals.select("x"), bins)
-    binned = with_stats(vals, stats).withColumn("bin", _bin_of(F.col("x")))
     keys = ([by] if by else []) + ["bin"]
-    counts = binned.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if bins == "auto" and not by:
+        # the automatic rule needs the value counts anyway: derive everything from them
+        counts_x = value_counts(vals, "x")
+        stats = _stats(vals, bins, counts_x)
+        counts = with_stats(counts_x, stats).withColumn("bin", _bin_of(F.col("x"))) \
+            .groupBy("bin").agg(F.sum("w").alias("n"))
+    else:
+        stats = _stats(vals.select("x"), bins)
+        binned = with_stats(vals, stats).withColumn("bin", _bin_of(F.col("x")))
+        counts = binned.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
     # every (group, bin): explode the bin range on the group list (or the stats row)
     if by:
@@ -134,10 +148,9 @@ def density(df: DataFrame, c: str, points: int = DEFAULT_POINTS, cut: float = 0.
     )
     gx = s["g0"] + F.col("point") * s["step"]
     z = (gx - F.col("x")) / s["h"]
-    sums = near.groupBy("point").agg(
-        F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("_k"),
-        F.first("_s").alias("_s"),
-    ).select("point", (F.col("_k") / (s["n"] * s["h"] * F.lit(math.sqrt(2 * math.pi)))).alias("d"))
+    sums = near.groupBy("point").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("_k"))
+    sums = with_stats(sums, stats).select(
+        "point", (F.col("_k") / (s["n"] * s["h"] * F.lit(math.sqrt(2 * math.pi)))).alias("d"))
     grid = stats.select(F.struct("n", "h", "g0", "step").alias("_s")).filter(F.col("_s.n") > 0).select(
         F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"), "_s",
     )

@@ -90,9 +90,14 @@ def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float],
     Distributed: per-value counts, exact running counts (see module doc), then the rows
     holding the needed ranks are picked by a filter and one aggregate.  Nothing is
     collected; the largest state is one bucket's distinct values in one window task."""
+    return quantiles_from_counts(value_counts(df, c), probs, names, buckets)
+
+
+def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], names: Sequence[str] | None = None,
+                          buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """:func:`exact_quantiles` on a ``(x, w)`` value-count table."""
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
-    counts = value_counts(df, c)
-    ranked = running_sums(counts, "x", ["w"]).withColumn("_start", F.col("cum_w") - F.col("w"))
+    ranked = running_sums(counts, "x", ["w"], buckets=buckets).withColumn("_start", F.col("cum_w") - F.col("w"))
     n = counts.agg(F.sum("w").alias("n"))
     joined = with_stats(ranked, n)
     pos_cols = {}
@@ -109,7 +114,7 @@ def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float],
     aggs = []
     for i in range(len(probs)):
         aggs += [at_rank(F.col(f"_lo{i}")).alias(f"_vlo{i}"), at_rank(F.col(f"_hi{i}")).alias(f"_vhi{i}"),
-                 F.first(f"_pos{i}").alias(f"_p{i}"), F.first(f"_lo{i}").alias(f"_l{i}")]
+                 F.max(f"_pos{i}").alias(f"_p{i}"), F.max(f"_lo{i}").alias(f"_l{i}")]
     picked = joined.agg(*aggs)
     return picked.select(*[
         (F.col(f"_vlo{i}") + (F.col(f"_vhi{i}") - F.col(f"_vlo{i}")) * (F.col(f"_p{i}") - F.col(f"_l{i}")))
