@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int = 8, app: str = "ridgeline", memory: str = "8g") -> SparkSession:
+def local_session(cpus: int = 8, app: str = "ridgeline", memory: str = "8g",
+                  shuffle_partitions: int | None = None) -> SparkSession:
     """Local session used by tests and the bench.  On a cluster the caller owns the session.
 
     AQE stays on: it coalesces small shuffle partitions, turns a sort-merge join into a
@@ -18,7 +19,7 @@ def local_session(cpus: int = 8, app: str = "ridgeline", memory: str = "8g") ->
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
-        .config("spark.sql.shuffle.partitions", str(cpus))
+        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
