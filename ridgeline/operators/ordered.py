@@ -2,11 +2,11 @@
 
 A window ``ORDER BY x`` with no partition key moves every row to one task.  Instead:
 
-1. split the key range into at most ``buckets`` contiguous ranges holding about the
-   same number of keys: edges are approximate quantiles of the key (one small
-   aggregate, at most ``buckets - 1`` doubles read back), and ``Bucketizer`` assigns each
-   row by binary search.  A skewed or heavy-tailed key distribution still gives
-   balanced buckets;
+1. split the key range into contiguous ranges holding about the same number of keys:
+   edges are approximate quantiles of the key (one small aggregate; the edge list is
+   bounded by the bucket count), and ``Bucketizer`` assigns each row by binary search.
+   1,024 ranges by default, more when a range would exceed a million keys.  A skewed
+   or heavy-tailed key distribution still gives balanced buckets;
 2. total each bucket (partial + final aggregate, at most ``buckets`` rows), prefix-sum
    those totals (a window over at most ``buckets`` rows) and attach the offsets by
    broadcast (size bounded by ``buckets``);
@@ -52,18 +52,34 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descend
     return out.drop("_bucket", "_ord", *[f"_off_{c}" for c in sum_cols])
 
 
+MAX_KEYS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 65_536
+
+
+def _quantile_edges(df: DataFrame, c: str, buckets: int) -> tuple[int, list[float]]:
+    """``(row count, up to buckets - 1 split points at equal-count quantiles)`` in one
+    aggregate.  Rank error is at most ``1 / accuracy`` of the rows."""
+    accuracy = max(10_000, 10 * buckets)
+    probs = ", ".join(repr(i / buckets) for i in range(1, buckets))
+    row = df.selectExpr("count(1) AS n", f"percentile_approx(`{c}`, array({probs}), {accuracy}) AS e").first()
+    return row["n"], sorted({float(x) for x in (row["e"] or []) if x is not None and x == x})
+
+
 def range_edges(df: DataFrame, c: str, buckets: int = DEFAULT_BUCKETS,
-                accuracy: int | None = None) -> list[float]:
-    """Up to ``buckets - 1`` increasing split points of ``c`` at equal-count quantiles.
+                max_keys_per_bucket: int = MAX_KEYS_PER_BUCKET) -> list[float]:
+    """Increasing split points of ``c`` cutting it into ranges of about equal row counts.
 
-    One ``percentile_approx`` aggregate; the result is bounded by ``buckets``.  Rank error
-    is at most ``1 / accuracy`` of the rows, so buckets stay within a few percent of equal."""
+    ``buckets`` ranges by default; when that would leave more than
+    ``max_keys_per_bucket`` rows per range, a second pass uses
+    ``ceil(n / max_keys_per_bucket)`` ranges (at most ``MAX_BUCKETS``).  The edge list is
+    bounded by the bucket count, never by the data."""
     if buckets <= 1:
         return []
-    accuracy = accuracy or max(10_000, 20 * buckets)
-    probs = ", ".join(repr(i / buckets) for i in range(1, buckets))
-    row = df.selectExpr(f"percentile_approx(`{c}`, array({probs}), {accuracy}) AS e").first()
-    return sorted({float(x) for x in (row["e"] or []) if x is not None and x == x})
+    n, edges = _quantile_edges(df, c, buckets)
+    wanted = min(MAX_BUCKETS, -(-n // max_keys_per_bucket))
+    if wanted > buckets:
+        _, edges = _quantile_edges(df, c, wanted)
+    return edges
 
 
 def bucket_by_range(df: DataFrame, c: str, out: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:

@@ -101,3 +101,17 @@ def test_density_constant_is_null(spark):
     df = spark.createDataFrame([(3.0,)] * 5, "v double")
     out = H.density(df, "v", points=5).collect()
     assert len(out) == 5 and all(r.density is None for r in out)
+
+
+def test_running_sums_many_buckets_when_keys_exceed_cap(spark, monkeypatch):
+    from ridgeline.operators import ordered as O
+    monkeypatch.setattr(O, "MAX_KEYS_PER_BUCKET", 50)
+    edges = O.range_edges(spark.range(5000).selectExpr("CAST(id AS DOUBLE) AS k"), "k", buckets=8,
+                          max_keys_per_bucket=50)
+    assert 80 <= len(edges) <= 100
+    rng = np.random.default_rng(9)
+    keys = np.concatenate([rng.random(3000), [1e9]])  # heavy tail: one huge outlier
+    df = spark.createDataFrame([(float(k), 1) for k in keys], "k double, w long")
+    got = {r.k: r.cum_w for r in running_sums(df, "k", ["w"], buckets=8).collect()}
+    order = np.argsort(keys)
+    assert [got[keys[i]] for i in order] == list(range(1, len(keys) + 1))
