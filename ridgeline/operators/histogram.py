@@ -160,3 +160,19 @@ def density(df: DataFrame, c: str, points: int = DEFAULT_POINTS, cut: float = 0.
         F.when(usable, F.coalesce(F.col("d"), F.lit(0.0))).alias("density"),
     )
     return out
+
+
+def numeric_histograms(df: DataFrame, bins: int | str = "auto",
+                       types: tuple[str, ...] = ("int", "bigint", "float", "double")) -> DataFrame:
+    """``(column, bin, lo, hi, n)``: a histogram of every numeric column (the profile's
+    per-column distributions), each with its own edges and bin count."""
+    from ridgeline.operators.clean import numeric_columns
+
+    parts = [histogram(df, c, bins).select(F.lit(c).alias("column"), "bin", "lo", "hi", "n")
+             for c in numeric_columns(df, types)]
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column string, bin int, lo double, hi double, n bigint")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -466,6 +466,20 @@ def q_histogram_auto(spark, d):
     return round_doubles(H.histogram(fx.base(spark, d, "events"), "value", "auto"))
 
 
+def _numeric_histograms_sql() -> str:
+    parts = []
+    for c in _NUM:
+        body = _hist_sql(f"SELECT CAST({c} AS DOUBLE) AS x FROM review_dirty WHERE {c} IS NOT NULL "
+                         f"AND NOT isnan(CAST({c} AS DOUBLE))", "auto")
+        parts.append(f"SELECT '{c}' AS \"column\", * FROM ({body}) h{len(parts)}")
+    return with_views("review_dirty") + "\nUNION ALL\n".join(parts)
+
+
+@query("histograms_numeric", _numeric_histograms_sql())
+def q_histograms_numeric(spark, d):
+    return round_doubles(H.numeric_histograms(_dirty(spark, d)))
+
+
 _TEXT_LEN_VALUES = ("SELECT CAST(length(text) AS DOUBLE) AS x FROM review WHERE text IS NOT NULL")
 
 

@@ -115,3 +115,16 @@ def test_running_sums_many_buckets_when_keys_exceed_cap(spark, monkeypatch):
     got = {r.k: r.cum_w for r in running_sums(df, "k", ["w"], buckets=8).collect()}
     order = np.argsort(keys)
     assert [got[keys[i]] for i in order] == list(range(1, len(keys) + 1))
+
+
+def test_numeric_histograms_per_column(spark):
+    df = spark.createDataFrame([(float(i % 17), i, "s") for i in range(500)], "a double, b bigint, t string")
+    out = H.numeric_histograms(df).collect()
+    by_col = {}
+    for r in out:
+        by_col.setdefault(r.column, []).append(r)
+    assert set(by_col) == {"a", "b"}
+    for c, vals in (("a", [float(i % 17) for i in range(500)]), ("b", [float(i) for i in range(500)])):
+        x = np.array(vals)
+        assert len(by_col[c]) == len(np.histogram_bin_edges(x, bins="auto")) - 1
+        assert sum(r.n for r in by_col[c]) == 500

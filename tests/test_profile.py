@@ -99,3 +99,11 @@ def test_text_length_stats(spark):
     assert (r.min_length, r.max_length, r.mean_length) == (2, 4, 3.0)
     assert abs(r.stddev_length - math.sqrt(2)) < 1e-12
     assert F is not None
+
+
+def test_approx_distinct_close_to_exact(spark):
+    df = fx.review_dirty(spark, SF_MID)
+    exact = {r.column: r.n_distinct for r in P.distinct_counts(df).collect()}
+    approx = {r.column: r.n_distinct for r in P.distinct_counts(df, approx=True).collect()}
+    for c, n in exact.items():
+        assert abs(approx[c] - n) <= max(2, 0.15 * n), c
