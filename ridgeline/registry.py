@@ -430,6 +430,27 @@ def q_profile_long(spark, d):
     return round_doubles(out)
 
 
+_CORR_OF_TABLE = {"review": ("stars",), "business": ("stars", "latitude", "longitude"), "users": ("average_stars",)}
+
+
+def _metadata_sql() -> str:
+    parts = [p for t, (cols, num) in _PROFILE_TABLES.items() for p in _profile_sql(t, cols, num)]
+    for t, cols in _CORR_OF_TABLE.items():
+        complete = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+        for a in cols:
+            for b in cols:
+                r = (f"CASE WHEN stddev_pop({a}) * stddev_pop({b}) > 0 THEN "
+                     f"least(greatest(covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})), -1.0), 1.0) END")
+                parts.append(f"SELECT '{t}', '{a}', 'corr:{b}', round({r}, {ROUND}) FROM {t} WHERE {complete}")
+    return with_views(*_PROFILE_TABLES) + "\nUNION ALL\n".join(parts)
+
+
+@query("metadata_document", _metadata_sql())
+def q_metadata_document(spark, d):
+    from ridgeline.plans.metadata import metadata_table
+    return round_doubles(metadata_table({t: fx.VIEWS[t](spark, d) for t in _PROFILE_TABLES}))
+
+
 # --------------------------------------------------------------------------- distributions
 def _hist_sql(values_sql: str, bins: str | int, by: str | None = None) -> str:
     """DuckDB twin of operators.histogram.histogram."""

@@ -55,3 +55,15 @@ def test_clean_zone(spark):
 def test_preview(spark):
     df = spark.createDataFrame([(3,), (1,), (2,)], "k int")
     assert [r.k for r in IO.preview(df, 2, "k").collect()] == [1, 2]
+
+
+def test_write_metadata_document(spark):
+    from ridgeline.plans.metadata import write_metadata
+    path = scratch_path(spark, "meta")
+    write_metadata({"business": fx.business(spark, SF_MID), "users": fx.users(spark, SF_MID)}, path)
+    m = spark.read.json(f"{path}/metrics")
+    s = spark.read.json(f"{path}/schema")
+    assert s.count() == 14
+    got = {(r.table, r.column, r.metric) for r in m.collect()}
+    assert ("business", "stars", "corr:latitude") in got and ("users", "average_stars", "distinct") in got
+    assert not any(c == "is_open" and mt.startswith("corr:") for _, c, mt in got)  # bigint not in matrix
