@@ -804,3 +804,32 @@ def q_model_roundtrip(spark, d):
 def q_correlation_ml(spark, d):
     from ridgeline.plans.model import correlation_ml
     return correlation_ml(_features(spark, d))
+
+
+@query("evaluation_report")
+def q_evaluation_report(spark, d):
+    from ridgeline.plans import model as MO
+    _, pred = _fit(spark, d)
+    return MO.evaluation_report(pred)
+
+
+@query("model_probability_histogram")
+def q_model_probability_histogram(spark, d):
+    """Predicted probability of class 1, 20 shared bins, split by true label."""
+    from ridgeline.plans import model as MO
+    _, pred = _fit(spark, d)
+    return H.histogram(MO.flatten_predictions(pred), "probability_1", 20, by="label")
+
+
+@query("model_roc_curve")
+def q_model_roc_curve(spark, d):
+    from ridgeline.plans import model as MO
+    _, pred = _fit(spark, d)
+    return M.roc_points(MO.flatten_predictions(pred), "label", "probability_1")
+
+
+@query("model_confusion_matrix")
+def q_model_confusion_matrix(spark, d):
+    from ridgeline.plans import model as MO
+    _, pred = _fit(spark, d)
+    return M.confusion_matrix(MO.flatten_predictions(pred), "label", "prediction")

@@ -64,3 +64,11 @@ def test_minmax_matches_ml_scaler(spark, fitted):
 def test_constant_column_minmax_half(spark):
     df = spark.createDataFrame([(3.0,), (3.0,)], "x double")
     assert [r.scaled_x for r in MO.minmax_scale(df, ["x"]).collect()] == [0.5, 0.5]
+
+
+def test_evaluation_report(fitted):
+    _, model, test = fitted
+    rep = {r.metric: r.value for r in MO.evaluation_report(model.bestModel.transform(test)).collect()}
+    assert set(rep) == {"roc_auc", "roc_auc_exact", "precision", "recall", "f1"}
+    assert abs(rep["roc_auc"] - rep["roc_auc_exact"]) < 1e-3
+    assert 0.0 <= rep["f1"] <= 1.0
