@@ -26,18 +26,27 @@ def cleaned_path(cleaned: str, name: str) -> str:
 
 
 def clean_table(spark: SparkSession, landing: str, cleaned: str, name: str,
-                policy: str = DEFAULT_POLICY) -> None:
+                policy: str = DEFAULT_POLICY, eda_path: str | None = None) -> None:
+    """Clean one landed table.  With ``eda_path``, first write its profile there as JSON
+    lines: on all rows, or on a byte-capped Bernoulli sample when the input is larger
+    than the cap (the reference's rule); the cleaning itself always uses every row."""
     raw = read_json(spark, landing_path(landing, name))
+    if eda_path:
+        from ridgeline.operators.profile import profile_long
+        from ridgeline.operators.sampling import sample_to_bytes
+
+        profile_long(sample_to_bytes(raw), name).write.mode("overwrite").json(
+            f"{eda_path.rstrip('/')}/{name}")
     out = clean(raw, policy)
     write_parquet(out, cleaned_path(cleaned, name), partitions=write_partitions_for(raw))
 
 
 def clean_zone(spark: SparkSession, landing: str, cleaned: str, names: Iterable[str],
-               policy: str = DEFAULT_POLICY) -> DataFrame:
+               policy: str = DEFAULT_POLICY, eda_path: str | None = None) -> DataFrame:
     """Clean every named table; return ``(table, rows_in, rows_out, cols_in, cols_out)``."""
     names = list(names)
     for n in names:
-        clean_table(spark, landing, cleaned, n, policy)
+        clean_table(spark, landing, cleaned, n, policy, eda_path)
     parts = []
     for n in names:
         raw = read_json(spark, landing_path(landing, n))

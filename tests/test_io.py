@@ -47,7 +47,12 @@ def test_clean_zone(spark):
     landing = scratch_path(spark, "landing")
     IO.write_json(fx.review_dirty(spark, SF_MID), Z.landing_path(landing, "review"))
     IO.write_json(fx.users(spark, SF_MID), Z.landing_path(landing, "user"))
-    out = {r.table: r for r in Z.clean_zone(spark, landing, scratch_path(spark, "cleaned"), ["review", "user"]).collect()}
+    eda = scratch_path(spark, "eda")
+    out = {r.table: r for r in Z.clean_zone(spark, landing, scratch_path(spark, "cleaned"), ["review", "user"],
+                                            eda_path=eda).collect()}
+    prof = spark.read.json(f"{eda}/review")
+    nulls = {r.column: r.value for r in prof.filter("metric = 'nulls'").collect()}
+    assert nulls["text"] == 2500 and nulls["date"] == 1000
     assert (out["review"].rows_in, out["review"].rows_out, out["review"].cols_out) == (10000, 8773, 7)
     assert (out["user"].rows_in, out["user"].rows_out) == (1500, 1500)
 
