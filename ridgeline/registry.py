@@ -754,7 +754,7 @@ _FITS: dict = {}
 def _fit(spark, d):
     """Cross-validated model and held-out predictions, fitted once per session and input."""
     from ridgeline.plans import model as MO
-    key = (id(spark), d)
+    key = (spark.sparkContext.applicationId, d)  # a new session never sees an old model
     if key not in _FITS:
         _FITS[key] = MO.train_score(_features(spark, d))
     return _FITS[key]
