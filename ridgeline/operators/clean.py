@@ -57,11 +57,15 @@ def numeric_columns(df: DataFrame, types: Sequence[str] = ("int", "bigint", "flo
 
 
 def null_count_row(df: DataFrame) -> DataFrame:
-    """One row: ``__rows`` plus the NULL count of every column (0 on an empty table)."""
-    return df.agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[F.coalesce(F.sum(F.col(f"`{c}`").isNull().cast("int")), F.lit(0)).cast("bigint").alias(c)
-          for c in df.columns],
+    """One row: ``__rows`` plus the NULL count of every column (0 on an empty table).
+
+    Written as SQL text for one ``selectExpr`` call however wide the table is."""
+    def q(c: str) -> str:
+        return "`" + c.replace("`", "``") + "`"
+
+    return df.selectExpr(
+        "count(1) AS __rows",
+        *[f"CAST(coalesce(sum(CAST(isnull({q(c)}) AS INT)), 0) AS BIGINT) AS {q(c)}" for c in df.columns],
     )
 
 

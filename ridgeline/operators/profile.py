@@ -115,8 +115,15 @@ def describe_numeric(df: DataFrame, types: Sequence[str] = NUMERIC_TYPES) -> Dat
 
 
 def _distinct(c: str, approx: bool, rsd: float) -> str:
-    nd = f"approx_count_distinct({ident(c)}, {rsd})" if approx else f"count(DISTINCT {ident(c)})"
-    return f"CAST({nd} + coalesce(max(CAST(isnull({ident(c)}) AS INT)), 0) AS BIGINT)"
+    """Distinct values of ``c`` with NULL counted as one value.
+
+    Exact: ``count(DISTINCT named_struct('v', c))`` - the wrapping struct is never NULL,
+    so a NULL value is counted like any other, and the aggregate stays a pure distinct
+    aggregate (no plain aggregate mixed into Spark's ``Expand`` rewrite)."""
+    if approx:
+        return (f"CAST(approx_count_distinct({ident(c)}, {rsd}) + "
+                f"coalesce(max(CAST(isnull({ident(c)}) AS INT)), 0) AS BIGINT)")
+    return f"count(DISTINCT named_struct('v', {ident(c)}))"
 
 
 def distinct_counts(df: DataFrame, approx: bool = False, rsd: float = 0.05) -> DataFrame:
@@ -186,17 +193,22 @@ def profile_long(df: DataFrame, table: str, types: Sequence[str] = NUMERIC_TYPES
     """Metadata document as a long table ``(table, column, metric, value)`` (value double).
 
     Metrics: ``nulls`` and ``distinct`` for every column, ``min``/``max``/``mean``/``stddev``
-    for numeric ones.  One aggregate pass for all of them."""
+    for numeric ones.  Two aggregates, unioned: the plain ones in one pass (which reads
+    only the columns it needs), the distinct counts in another.  Mixing plain aggregates
+    into the distinct rewrite (``Expand``) would make every expanded row carry all the
+    plain aggregation buffers."""
     numeric = set(numeric_columns(df, types))
-    exprs, rows = [], []
+    plain, plain_rows, distinct, distinct_rows = [], [], [], []
     for i, c in enumerate(df.columns):
-        exprs.append(f"CAST({_nulls(c)} AS DOUBLE) AS n{i}")
-        exprs.append(f"CAST({_distinct(c, False, 0.05)} AS DOUBLE) AS d{i}")
-        rows.append((text(table), text(c), "'nulls'", f"n{i}"))
-        rows.append((text(table), text(c), "'distinct'", f"d{i}"))
+        plain.append(f"CAST({_nulls(c)} AS DOUBLE) AS n{i}")
+        plain_rows.append((text(table), text(c), "'nulls'", f"n{i}"))
+        distinct.append(f"CAST({_distinct(c, False, 0.05)} AS DOUBLE) AS d{i}")
+        distinct_rows.append((text(table), text(c), "'distinct'", f"d{i}"))
         if c in numeric:
             for m, fn in (("min", "min"), ("max", "max"), ("mean", "avg"), ("stddev", "stddev_samp")):
-                exprs.append(f"{fn}(CAST({ident(c)} AS DOUBLE)) AS {m}{i}")
-                rows.append((text(table), text(c), f"'{m}'", f"{m}{i}"))
-    wide = df.selectExpr(*exprs)
-    return wide.selectExpr(_stack(rows, ["table", "column", "metric", "value"]))
+                plain.append(f"{fn}(CAST({ident(c)} AS DOUBLE)) AS {m}{i}")
+                plain_rows.append((text(table), text(c), f"'{m}'", f"{m}{i}"))
+    names = ["table", "column", "metric", "value"]
+    a = df.selectExpr(*plain).selectExpr(_stack(plain_rows, names))
+    b = df.selectExpr(*distinct).selectExpr(_stack(distinct_rows, names))
+    return a.unionByName(b)
