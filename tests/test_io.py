@@ -72,3 +72,8 @@ def test_write_metadata_document(spark):
     got = {(r.table, r.column, r.metric) for r in m.collect()}
     assert ("business", "stars", "corr:latitude") in got and ("users", "average_stars", "distinct") in got
     assert not any(c == "is_open" and mt.startswith("corr:") for _, c, mt in got)  # bigint not in matrix
+
+
+def test_load_tables(spark):
+    t = IO.load_tables(spark, SF_MID, ["supplier", "customer"])
+    assert set(t) == {"supplier", "customer"} and t["supplier"].count() == 100
