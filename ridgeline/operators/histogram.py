@@ -117,47 +117,59 @@ DEFAULT_POINTS = 200
 KERNEL_REACH = 12.0
 
 
-def density(df: DataFrame, c: str, points: int = DEFAULT_POINTS, cut: float = 0.0) -> DataFrame:
-    """``(point, x, density)`` on ``points`` grid points.
+def density(df: DataFrame, c: str, points: int = DEFAULT_POINTS, cut: float = 0.0,
+            by: str | None = None) -> DataFrame:
+    """``([by,] point, x, density)`` on ``points`` grid points.
 
     Work is bounded by distinct values, not rows: values are pre-counted, and each
     distinct value is exploded only onto the grid points within ``KERNEL_REACH``
     bandwidths of it, then summed per point (a grouped aggregate over at most
-    ``points`` keys).  A constant column (zero bandwidth) gives NULL densities."""
+    ``points`` keys per group).  A constant column (zero bandwidth) gives NULL densities.
+
+    With ``by``, every group has its own bandwidth and normalisation (a density per
+    group, as a KDE drawn per hue); the grid spans all groups.  Group statistics are a
+    grouped aggregate joined back on the group key, so the number of groups is not
+    bounded by the driver."""
     if points < 2:
         raise ValueError("points must be >= 2")
-    vals = values(df, c)
-    counts = value_counts(df, c)
-    base = vals.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
-                    F.min("x").alias("lo"), F.max("x").alias("hi"))
-    h = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
-    stats = base.select("n", h.alias("h"), "lo", "hi").select(
-        "n", "h",
-        (F.col("lo") - F.lit(cut) * F.col("h")).alias("g0"),
-        ((F.col("hi") - F.col("lo") + F.lit(2 * cut) * F.col("h")) / F.lit(points - 1)).alias("step"),
+    g = [by] if by else []
+    x = F.col(c).cast("double")
+    vals = df.select(*g, x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    counts = vals.groupBy(*g, "x").agg(F.count(F.lit(1)).alias("w"))
+    span = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    per = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"))
+    per = per.select(*g, "n", (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"))
+    # grid from the overall span; cut widens it by the largest bandwidth
+    hmax = per.agg(F.max("h").alias("hmax"))
+    grid_stats = with_stats(span, hmax, "_h").select(
+        (F.col("lo") - F.lit(cut) * F.col("_h.hmax")).alias("g0"),
+        ((F.col("hi") - F.col("lo") + F.lit(2 * cut) * F.col("_h.hmax")) / F.lit(points - 1)).alias("step"),
     )
-    s = {k: F.col(f"_s.{k}") for k in ("n", "h", "g0", "step")}
-    reach = F.lit(KERNEL_REACH) * s["h"]
-    j_lo = F.greatest(F.ceil((F.col("x") - reach - s["g0"]) / s["step"]), F.lit(0)).cast("int")
-    j_hi = F.least(F.floor((F.col("x") + reach - s["g0"]) / s["step"]), F.lit(points - 1)).cast("int")
-    usable = (s["h"] > 0) & (s["step"] > 0)
-    near = with_stats(counts, stats).filter(usable).select(
-        "x", "w", "_s",
+    g0, step = F.col("_s.g0"), F.col("_s.step")
+    keyed = counts.join(per, g, "inner") if by else with_stats(counts, per, "_p").select(
+        "x", "w", F.col("_p.n").alias("n"), F.col("_p.h").alias("h"))
+    keyed = with_stats(keyed, grid_stats)
+    reach = F.lit(KERNEL_REACH) * F.col("h")
+    j_lo = F.greatest(F.ceil((F.col("x") - reach - g0) / step), F.lit(0)).cast("int")
+    j_hi = F.least(F.floor((F.col("x") + reach - g0) / step), F.lit(points - 1)).cast("int")
+    usable = (F.col("h") > 0) & (step > 0)
+    near = keyed.filter(usable).select(
+        *g, "x", "w", "n", "h", "_s",
         F.explode(F.when(j_lo <= j_hi, F.sequence(j_lo, j_hi)).otherwise(F.array().cast("array<int>")))
         .alias("point"),
     )
-    gx = s["g0"] + F.col("point") * s["step"]
-    z = (gx - F.col("x")) / s["h"]
-    sums = near.groupBy("point").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("_k"))
-    sums = with_stats(sums, stats).select(
-        "point", (F.col("_k") / (s["n"] * s["h"] * F.lit(math.sqrt(2 * math.pi)))).alias("d"))
-    grid = stats.select(F.struct("n", "h", "g0", "step").alias("_s")).filter(F.col("_s.n") > 0).select(
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"), "_s",
-    )
-    out = grid.join(sums, "point", "left").select(
-        "point",
-        (s["g0"] + F.col("point") * s["step"]).alias("x"),
-        F.when(usable, F.coalesce(F.col("d"), F.lit(0.0))).alias("density"),
+    z = (g0 + F.col("point") * step - F.col("x")) / F.col("h")
+    sums = near.groupBy(*g, "point").agg(
+        F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("_k"),
+        F.max("n").alias("_n"), F.max("h").alias("_hh"),
+    ).select(*g, "point", (F.col("_k") / (F.col("_n") * F.col("_hh") * F.lit(math.sqrt(2 * math.pi)))).alias("d"))
+    carrier = per if by else per.select("n", "h")
+    grid = with_stats(carrier.filter(F.col("n") > 0), grid_stats).select(
+        *g, "h", "_s", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    out = grid.join(sums, g + ["point"], "left").select(
+        *g, "point",
+        (g0 + F.col("point") * step).alias("x"),
+        F.when((F.col("h") > 0) & (step > 0), F.coalesce(F.col("d"), F.lit(0.0))).alias("density"),
     )
     return out
 

@@ -544,6 +544,30 @@ def q_density_curve(spark, d):
     return out.select("point", F.round("x", ROUND).alias("x"), F.round("density", DENSITY_DIGITS).alias("density"))
 
 
+def _density_by_sql(values_sql: str, by: str, points: int = H.DEFAULT_POINTS) -> str:
+    return f"""
+v AS ({values_sql}),
+cnt AS (SELECT {by}, x, count(*) AS w FROM v GROUP BY ALL),
+per AS (SELECT {by}, count(*) AS n, stddev_samp(x) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h FROM v GROUP BY ALL),
+g AS (SELECT min(x) - 0.0 * (SELECT max(h) FROM per) AS g0,
+             (max(x) - min(x) + 0.0 * (SELECT max(h) FROM per)) / {points - 1}.0 AS step FROM v),
+pts AS (SELECT per.{by}, CAST(i AS INTEGER) AS point, g0 + i * step AS gx, n, h, step
+        FROM per, g, (SELECT unnest(range(0, {points})) AS i) ii WHERE n > 0),
+d AS (SELECT pts.{by}, point, sum(w * exp(-0.5 * ((gx - x) / pts.h) * ((gx - x) / pts.h))) AS k
+      FROM pts JOIN cnt ON pts.{by} = cnt.{by} WHERE pts.h > 0 AND step > 0 GROUP BY ALL)
+SELECT pts.{by}, point, round(gx, {ROUND}) AS x,
+  round(CASE WHEN h > 0 AND step > 0 THEN coalesce(k / (n * h * sqrt(2 * pi())), 0.0) END, {DENSITY_DIGITS}) AS density
+FROM pts LEFT JOIN d USING ({by}, point)"""
+
+
+@query("density_by_label", with_views("scored").rstrip() + ",\n" + _density_by_sql(
+    "SELECT label, CAST(score AS DOUBLE) AS x FROM scored WHERE score IS NOT NULL AND NOT isnan(score)", "label"))
+def q_density_by_label(spark, d):
+    out = H.density(fx.scored(spark, d), "score", by="label")
+    return out.select("label", "point", F.round("x", ROUND).alias("x"),
+                      F.round("density", DENSITY_DIGITS).alias("density"))
+
+
 # --------------------------------------------------------------------------- metrics
 def _scored(spark, d):
     return fx.scored(spark, d)
@@ -833,3 +857,11 @@ def q_model_confusion_matrix(spark, d):
     from ridgeline.plans import model as MO
     _, pred = _fit(spark, d)
     return M.confusion_matrix(MO.flatten_predictions(pred), "label", "prediction")
+
+
+@query("model_probability_density")
+def q_model_probability_density(spark, d):
+    """Density curve of the predicted probability per true label."""
+    from ridgeline.plans import model as MO
+    _, pred = _fit(spark, d)
+    return H.density(MO.flatten_predictions(pred), "probability_1", by="label")

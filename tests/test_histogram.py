@@ -128,3 +128,20 @@ def test_numeric_histograms_per_column(spark):
         x = np.array(vals)
         assert len(by_col[c]) == len(np.histogram_bin_edges(x, bins="auto")) - 1
         assert sum(r.n for r in by_col[c]) == 500
+
+
+def test_density_by_group_matches_brute_force(spark):
+    rng = np.random.default_rng(13)
+    a = np.round(rng.normal(10, 2, 300), 2)
+    b = np.round(rng.normal(14, 3, 200), 2)
+    rows = [(0, float(v)) for v in a] + [(1, float(v)) for v in b]
+    df = spark.createDataFrame(rows, "g int, v double")
+    out = H.density(df, "v", points=40, by="g").collect()
+    grid = np.linspace(min(a.min(), b.min()), max(a.max(), b.max()), 40)
+    for gid, x in ((0, a), (1, b)):
+        h = np.std(x, ddof=1) * len(x) ** -0.2
+        dens = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
+        got = sorted((r for r in out if r.g == gid), key=lambda r: r.point)
+        assert len(got) == 40
+        for r, gx, dv in zip(got, grid, dens):
+            assert abs(r.x - gx) < 1e-9 and abs(r.density - dv) < 1e-12
