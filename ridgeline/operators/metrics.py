@@ -121,3 +121,6 @@ def metrics_table(df: DataFrame, label: str = "label", pred: str = "prediction",
         F.col("_a.auc").alias("roc_auc"), *_prf(F.col("tp"), F.col("fp"), F.col("fn")),
     )
     return wide.unpivot([], ["roc_auc", "precision", "recall", "f1"], "metric", "value")
+
+
+prf = precision_recall_f1

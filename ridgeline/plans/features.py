@@ -58,6 +58,23 @@ def normalise_max(df: DataFrame, cols: Sequence[str], prefix: str = "normalized_
     ).drop("_s")
 
 
+def geo_grid(df: DataFrame, digits: int = GEO_DIGITS, cols: Sequence[str] = ("latitude", "longitude"),
+             prefix: str = "rounded_") -> DataFrame:
+    """M4: coordinates rounded to a grid of ``digits`` decimals."""
+    return df.withColumns({f"{prefix}{c}": geo_round(c, digits) for c in cols})
+
+
+def add_text_length(df: DataFrame, c: str = "text", out: str = "review_text_length") -> DataFrame:
+    """M5: length of the text in characters."""
+    return df.withColumn(out, text_length(c))
+
+
+def add_buckets(df: DataFrame, c: str = "user_review_count", cuts: Sequence[float] = USER_BUCKET_CUTS,
+                names: Sequence[str] = USER_BUCKET_NAMES, out: str = "user_review_bucket") -> DataFrame:
+    """M6: named buckets of a numeric column (NULL goes to the last bucket)."""
+    return df.withColumn(out, bucketise(c, cuts, names))
+
+
 def feature_columns(df: DataFrame) -> DataFrame:
     """M4-M6: row-local columns (no aggregate)."""
     return df.withColumns({

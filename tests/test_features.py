@@ -80,3 +80,14 @@ def test_feature_plan_scalars_are_subqueries(spark):
     plan = f._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Subquery" in plan
+
+
+def test_dataframe_level_feature_helpers(spark):
+    df = spark.createDataFrame([(40.123456, -73.987654, "abcd", 12)],
+                               "latitude double, longitude double, text string, user_review_count bigint")
+    out = FE.add_buckets(FE.add_text_length(FE.geo_grid(df))).first()
+    assert (out.rounded_latitude, out.rounded_longitude, out.review_text_length, out.user_review_bucket) == \
+        (40.12, -73.99, 4, "medium")
+    from ridgeline.operators.metrics import prf
+    r = prf(spark.createDataFrame([(1, 1), (0, 1)], "label int, prediction int")).first()
+    assert (r.precision, r.recall) == (0.5, 1.0)
