@@ -69,11 +69,12 @@ def null_count_row(df: DataFrame) -> DataFrame:
     )
 
 
-def sparse_columns(df: DataFrame, max_null_frac: float) -> list[str]:
+def sparse_columns(df: DataFrame, max_null_frac: float, null_row: dict | None = None) -> list[str]:
     """Columns whose NULL fraction over all rows is strictly above ``max_null_frac``.
 
-    One aggregate pass, one collected row.  An empty table drops nothing."""
-    row = null_count_row(df).first().asDict()
+    One aggregate pass, one collected row (or a row already read with
+    :func:`null_count_row`).  An empty table drops nothing."""
+    row = dict(null_row) if null_row is not None else null_count_row(df).first().asDict()
     n = row.pop("__rows")
     if not n:
         return []
@@ -122,14 +123,15 @@ def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFr
     return df.dropna(how="any", subset=list(subset) if subset is not None else None)
 
 
-def _plan(df: DataFrame, policy: str, drop: Sequence[str] = ()) -> tuple[DataFrame, list[str], Column | None]:
+def _plan(df: DataFrame, policy: str, drop: Sequence[str] = (),
+          null_row: dict | None = None) -> tuple[DataFrame, list[str], Column | None]:
     """Column-level part of a policy: (frame after column steps, dropped names, row predicate)."""
     spec = POLICIES[policy]
     dropped: list[str] = []
     if spec["rename"]:
         df = normalise_names(df)
     if spec["max_null_frac"] is not None:
-        dropped = sparse_columns(df, spec["max_null_frac"])
+        dropped = sparse_columns(df, spec["max_null_frac"], null_row)
     dropped += [c for c in drop if c in df.columns and c not in dropped]
     df = drop_columns(df, dropped)
     preds = validity_predicates(df) if spec["validate"] else []
@@ -156,17 +158,48 @@ def clean_summary(df: DataFrame, policy: str = DEFAULT_POLICY, drop: Sequence[st
 
     Rows before and after come from one aggregate: the kept-row predicate is counted
     with ``count_if`` instead of running the cleaned plan a second time."""
+    return clean_summaries(df, [policy], drop)
+
+
+def clean_summaries(df: DataFrame, policies: Sequence[str] = tuple(POLICIES),
+                    drop: Sequence[str] = ()) -> DataFrame:
+    """:func:`clean_summary` for several policies in two passes over ``df``: one null-count
+    row shared by every policy's sparse-column rule, then one aggregate holding a
+    ``count_if`` of each policy's kept-row predicate."""
+    for p in policies:
+        if p not in POLICIES:
+            raise ValueError(f"unknown policy {p!r}; choose from {sorted(POLICIES)}")
+    needs_nulls = any(POLICIES[p]["max_null_frac"] is not None for p in policies)
+    null_row = null_count_row(df).first().asDict() if needs_nulls else None
     cols_before = len(df.columns)
-    out, dropped, keep = _plan(df, policy, drop)
-    kept = F.count_if(keep) if keep is not None else F.count(F.lit(1))
-    stats = out.agg(F.count(F.lit(1)).alias("rows_before"), kept.alias("rows_after"))
-    return stats.select(
-        F.lit(policy).alias("policy"),
-        F.col("rows_before"),
-        F.col("rows_after"),
-        (F.col("rows_before") - F.col("rows_after")).alias("rows_dropped"),
-        F.lit(cols_before).alias("columns_before"),
-        F.lit(len(out.columns)).alias("columns_after"),
-        F.lit(len(dropped)).alias("columns_dropped"),
-        F.lit(",".join(sorted(dropped))).alias("dropped_columns"),
-    )
+    renamed = normalise_names(df)
+    aggs, meta = [F.count(F.lit(1)).alias("rows_before")], []
+    for i, p in enumerate(policies):
+        # a renamed policy's predicate is written on the renamed frame; renaming keeps
+        # column positions, so it is mapped back onto the original names
+        base = renamed if POLICIES[p]["rename"] else df
+        row = null_row
+        if row is not None and POLICIES[p]["rename"]:
+            row = {"__rows": null_row["__rows"], **{r: null_row[c] for c, r in zip(df.columns, renamed.columns)}}
+        out, dropped, keep = _plan(base, p, drop, row)
+        if POLICIES[p]["rename"] and keep is not None:
+            keep = _not_null(df.drop(*[c for c, r in zip(df.columns, renamed.columns) if r in dropped]))
+        aggs.append((F.count_if(keep) if keep is not None else F.count(F.lit(1))).alias(f"kept{i}"))
+        meta.append((p, len(out.columns), dropped))
+    stats = df.agg(*aggs)
+    parts = []
+    for i, (p, cols_after, dropped) in enumerate(meta):
+        parts.append(stats.select(
+            F.lit(p).alias("policy"),
+            F.col("rows_before"),
+            F.col(f"kept{i}").alias("rows_after"),
+            (F.col("rows_before") - F.col(f"kept{i}")).alias("rows_dropped"),
+            F.lit(cols_before).alias("columns_before"),
+            F.lit(cols_after).alias("columns_after"),
+            F.lit(len(dropped)).alias("columns_dropped"),
+            F.lit(",".join(sorted(dropped))).alias("dropped_columns"),
+        ))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

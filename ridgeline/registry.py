@@ -267,9 +267,7 @@ def q_dropna_any(spark, d):
 @query("clean_summary", with_views("review_dirty") + "\nUNION ALL\n".join(
     clean_stats_sql("review_dirty", DIRTY_COLS, DIRTY_DOUBLES, p) for p in ("sparse20", "validated", "rename")))
 def q_clean_summary(spark, d):
-    df = _dirty(spark, d)
-    parts = [C.clean_summary(df, p) for p in ("sparse20", "validated", "rename")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return C.clean_summaries(_dirty(spark, d), ("sparse20", "validated", "rename"))
 
 
 # --------------------------------------------------------------------------- profiling

@@ -77,3 +77,12 @@ def test_numeric_columns(spark):
     assert C.numeric_columns(df) == ["a", "b", "c", "d"]
     assert C.numeric_columns(df, ("int", "double")) == ["a", "d"]
     assert not math.isnan(1.0)
+
+
+def test_clean_summaries_match_each_policy(spark):
+    df = spark.createDataFrame([(1, None, 3.0), (2, 5, float("nan")), (3, 6, 4.0), (None, 7, 9.0)],
+                               "`a id` int, b int, stars double")
+    got = {r.policy: r for r in C.clean_summaries(df).collect()}
+    for p in C.POLICIES:
+        assert got[p].rows_after == C.clean(df, p).count(), p
+        assert got[p].rows_before == 4
