@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Fixed values from the reference: above this input size the profile runs on a
-# sample, and the cleaned write uses this many partitions.
+# sample, and the cleaned write uses (at least) this many partitions.
 EDA_SIZE_CAP_BYTES = 2 ** 29
 LARGE_WRITE_PARTITIONS = 200
+# Ours: above the cap, one output partition per this many input bytes, so files stay
+# bounded however large the input is.
+INPUT_BYTES_PER_FILE = 2 ** 30
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None,
@@ -45,10 +48,15 @@ def load_tables(spark: SparkSession, base: str, names: Iterable[str],
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partitions: int | None = None) -> None:
-    """Parquet sink.  ``partitions`` forces a round-robin repartition before the write;
-    by default the plan's own partitioning (AQE-coalesced) is written as is."""
-    out = df.repartition(partitions) if partitions else df
+                  partitions: int | None = None, shuffle: bool = False) -> None:
+    """Parquet sink.  By default the plan's own partitioning is written as is.
+
+    ``partitions`` sets the output partition count: without ``shuffle`` by merging
+    partitions (``coalesce``: no data movement; it can only reduce the count), with
+    ``shuffle`` by a round-robin ``repartition`` (even files, one full shuffle)."""
+    out = df
+    if partitions:
+        out = df.repartition(partitions) if shuffle else df.coalesce(partitions)
     out.write.mode(mode).parquet(path)
 
 
@@ -73,12 +81,16 @@ def input_bytes(df: DataFrame) -> DataFrame:
 
 
 def write_partitions_for(df: DataFrame, cap: int = EDA_SIZE_CAP_BYTES,
-                         large: int = LARGE_WRITE_PARTITIONS) -> int | None:
-    """Reference rule for the cleaned write: ``large`` partitions above ``cap`` input bytes.
+                         large: int = LARGE_WRITE_PARTITIONS,
+                         bytes_per_file: int = INPUT_BYTES_PER_FILE) -> int | None:
+    """Output partitions for the cleaned write: above ``cap`` input bytes, ``large`` (the
+    reference's count) or one per ``bytes_per_file`` input bytes if that is more.
 
-    Returns None below the cap: leave the partitioning to the plan (AQE coalesces)."""
+    Returns None below the cap: keep the input's partitioning (the reference's rule)."""
     total = input_bytes(df).first()["input_bytes"]
-    return large if total > cap else None
+    if total <= cap:
+        return None
+    return max(large, -(-total // bytes_per_file))
 
 
 def schema_table(df: DataFrame) -> DataFrame:

@@ -41,6 +41,7 @@ def test_input_bytes_and_partition_rule(spark):
     assert r.input_files == 1 and r.input_bytes > 0
     assert IO.write_partitions_for(ev) is None
     assert IO.write_partitions_for(ev, cap=10) == 200
+    assert IO.write_partitions_for(ev, cap=10, bytes_per_file=r.input_bytes // 300) >= 300
 
 
 def test_clean_zone(spark):
@@ -77,3 +78,13 @@ def test_write_metadata_document(spark):
 def test_load_tables(spark):
     t = IO.load_tables(spark, SF_MID, ["supplier", "customer"])
     assert set(t) == {"supplier", "customer"} and t["supplier"].count() == 100
+
+
+def test_write_parquet_partition_modes(spark):
+    df = fx.review(spark, SF_MID).select("review_id", "stars").repartition(6)
+    for shuffle, want in ((False, 3), (True, 4)):
+        path = scratch_path(spark, "parts")
+        IO.write_parquet(df, path, partitions=3 if not shuffle else 4, shuffle=shuffle)
+        back = IO.read_table(spark, path)
+        assert back.count() == 10000
+        assert len(back.inputFiles()) == want
