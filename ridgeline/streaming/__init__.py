@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming: the row-local cleaning policy as an incremental file stream."""
