@@ -85,11 +85,13 @@ def feature_columns(df: DataFrame) -> DataFrame:
     })
 
 
-def build_features(reviews: DataFrame, business: DataFrame, users: DataFrame) -> DataFrame:
+def build_features(reviews: DataFrame, business: DataFrame, users: DataFrame,
+                   salts: int | None = None) -> DataFrame:
     """M7: the trusted feature table, 28 columns, one lazy plan.
 
-    All five scalars (n, n_pos, n_neg, two maxima) come from one aggregate."""
-    joined = add_target(enrich(reviews, business, users))
+    All five scalars (n, n_pos, n_neg, two maxima) come from one aggregate.  ``salts``
+    opts into an explicitly salted star join (see :func:`ridgeline.operators.joins.enrich`)."""
+    joined = add_target(enrich(reviews, business, users, salts))
     stats = joined.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("is_high_star") == 1).alias("n_pos"),

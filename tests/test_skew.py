@@ -54,3 +54,19 @@ def test_hot_key_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_salted_star_join_equals_plain(spark):
+    r, b, u = _frames(spark, 6000)
+    plain = sorted(tuple(x) for x in enrich(r, b, u).collect())
+    salted = sorted(tuple(x) for x in enrich(r, b, u, salts=8).collect())
+    assert plain == salted and len(plain) == 6000
+
+
+def test_salted_join_spreads_hot_key(spark):
+    from ridgeline.operators.joins import salted
+    r, b, _ = _frames(spark, 30000)
+    f, d = salted(r, b, 8, "review_id")
+    per_salt = {x._salt: x["count"] for x in f.filter("business_id = 7").groupBy("_salt").count().collect()}
+    assert len(per_salt) == 8 and max(per_salt.values()) < 2 * (sum(per_salt.values()) / 8)
+    assert d.count() == 8 * b.count()
