@@ -86,7 +86,10 @@ def bucket_by_range(df: DataFrame, c: str, out: str, buckets: int = DEFAULT_BUCK
     """Add ``out``: index of the quantile range holding ``c`` (monotone in ``c``)."""
     from pyspark.ml.feature import Bucketizer
 
-    splits = [float("-inf")] + range_edges(df, c, buckets) + [float("inf")]
+    edges = range_edges(df, c, buckets)
+    if not edges:  # empty input or a single key: one range
+        return df.withColumn(out, F.lit(0))
+    splits = [float("-inf")] + edges + [float("inf")]
     b = Bucketizer(splits=splits, inputCol=c, outputCol=out, handleInvalid="keep")
     return b.transform(df).withColumn(out, F.col(out).cast("int"))
 

@@ -145,3 +145,12 @@ def test_density_by_group_matches_brute_force(spark):
         assert len(got) == 40
         for r, gx, dv in zip(got, grid, dens):
             assert abs(r.x - gx) < 1e-9 and abs(r.density - dv) < 1e-12
+
+
+def test_all_null_column_gives_empty_results(spark):
+    df = spark.createDataFrame([(None,), (None,)], "v double")
+    assert H.histogram(df, "v", "auto").count() == 0
+    assert H.histogram(df, "v", 10).count() == 0
+    assert H.density(df, "v", points=5).count() == 0
+    q = exact_quantiles(df, "v", [0.5]).first()
+    assert q[0] is None

@@ -78,3 +78,13 @@ def test_metrics_table(spark):
     t = {r.metric: r.value for r in M.metrics_table(fx.scored(spark, SF_SMALL)).collect()}
     assert set(t) == {"roc_auc", "precision", "recall", "f1"}
     assert round(t["roc_auc"], 6) == 0.712189
+
+
+def test_single_score_and_empty_input(spark):
+    one = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.5)], "label int, score double")
+    assert M.auc_exact(one).first().auc == 0.5
+    pts = [p for p in M.roc_points(one).collect() if p.threshold is not None]
+    assert len(pts) == 1 and (pts[0].fpr, pts[0].tpr) == (1.0, 1.0)
+    empty = spark.createDataFrame([], "label int, score double")
+    assert M.auc_exact(empty).first().auc is None
+    assert M.roc_points(empty).count() == 0
