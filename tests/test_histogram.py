@@ -154,3 +154,22 @@ def test_all_null_column_gives_empty_results(spark):
     assert H.density(df, "v", points=5).count() == 0
     q = exact_quantiles(df, "v", [0.5]).first()
     assert q[0] is None
+
+
+def test_range_buckets_balanced_on_heavy_tail(spark):
+    from ridgeline.operators.ordered import bucket_by_range
+    rng = np.random.default_rng(21)
+    keys = np.unique(np.concatenate([rng.pareto(0.7, 20000), [1e12, 1e15]]))
+    df = spark.createDataFrame([(float(k),) for k in keys], "k double")
+    sizes = [r["count"] for r in bucket_by_range(df, "k", "b", 16).groupBy("b").count().collect()]
+    assert sum(sizes) == len(keys) and len(sizes) >= 14
+    assert max(sizes) <= 2 * len(keys) / 16  # equal-width buckets would put nearly all in one
+
+
+def test_grouped_histogram_auto_bins(spark):
+    rng = np.random.default_rng(17)
+    x = rng.normal(0, 1, 2000)
+    rows = [(int(i % 2), float(v)) for i, v in enumerate(x)]
+    out = H.histogram(spark.createDataFrame(rows, "g int, v double"), "v", "auto", by="g").collect()
+    k = len(np.histogram_bin_edges(x, bins="auto")) - 1
+    assert len(out) == 2 * k and sum(r.n for r in out) == 2000
