@@ -822,10 +822,12 @@ def q_model_roundtrip(spark, d):
     return MO.flatten_predictions(loaded.transform(test))
 
 
-@query("correlation_ml")
+@query("correlation_ml", ORACLE["correlation"])
 def q_correlation_ml(spark, d):
+    """Spark ML's Correlation on the same columns; checked against the same SQL."""
     from ridgeline.plans.model import correlation_ml
-    return correlation_ml(_features(spark, d))
+    out = correlation_ml(_features(spark, d))
+    return round_doubles(out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr"))))
 
 
 @query("evaluation_report")
