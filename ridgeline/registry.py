@@ -590,6 +590,14 @@ FROM (SELECT sum(CAST(neg AS HUGEINT) * (2 * (cum_pos - pos) + pos)) AS num, sum
                   FROM scored WHERE score IS NOT NULL AND NOT isnan(score) AND label IS NOT NULL GROUP BY 1) g) w) a"""
 
 
+@query("auc_ml_scored", with_views("scored") + f"SELECT round(auc, {ROUND}) AS auc FROM ({AUC_SQL}) a")
+def q_auc_ml_scored(spark, d):
+    """Spark ML's evaluator on the fixed scores (at most 1,000 distinct, so unbinned)."""
+    from ridgeline.plans.model import evaluator
+    auc = evaluator().setRawPredictionCol("score").evaluate(_scored(spark, d))
+    return spark.createDataFrame([(round(auc, ROUND),)], "auc double")
+
+
 @query("confusion_counts", with_views("scored") + CONFUSION_SQL)
 def q_confusion_counts(spark, d):
     return M.confusion_counts(_scored(spark, d))
@@ -662,7 +670,8 @@ def q_sample_rows(spark, d):
     return L.sample_rows(fx.review(spark, d), 0.1, seed=7)
 
 
-@query("sample_to_bytes")
+# The test tables are far below the 2^29-byte cap, so every row is kept (fraction 1).
+@query("sample_to_bytes", "SELECT * FROM events")
 def q_sample_to_bytes(spark, d):
     events = fx.base(spark, d, "events")
     return L.sample_to_bytes(events, seed=11)
