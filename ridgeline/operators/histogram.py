@@ -72,9 +72,11 @@ def _bin_of(x: Column) -> Column:
 
 
 def _edges(bin_col: Column) -> list[Column]:
+    """Bin edges as NumPy's ``linspace``: ``first + i * step``, the last edge exactly ``last``."""
     first, last, k = F.col("_s.first"), F.col("_s.last"), F.col("_s.k")
     step = (last - first) / k
-    return [(first + bin_col * step).alias("lo"), (first + (bin_col + 1) * step).alias("hi")]
+    hi = F.when(bin_col == k - 1, last).otherwise(first + (bin_col + 1) * step)
+    return [(first + bin_col * step).alias("lo"), hi.alias("hi")]
 
 
 def histogram(df: DataFrame, c: str, bins: int | str = "auto", by: str | None = None) -> DataFrame:

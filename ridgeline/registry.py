@@ -473,7 +473,7 @@ e AS (SELECT CASE WHEN hi = lo THEN lo - 0.5 ELSE lo END AS first,
 c AS (SELECT {g}CAST(least(floor((x - first) / (last - first) * k), k - 1) AS INTEGER) AS bin, count(*) AS n
       FROM v, e GROUP BY ALL),
 grid AS (SELECT {g}CAST(i AS INTEGER) AS bin, first + i * ((last - first) / k) AS lo,
-                first + (i + 1) * ((last - first) / k) AS hi
+                CASE WHEN i = k - 1 THEN last ELSE first + (i + 1) * ((last - first) / k) END AS hi
          FROM {groups}e, (SELECT unnest(range(0, (SELECT k FROM e))) AS i) ii)
 SELECT {g}grid.bin, round(grid.lo, {ROUND}) AS lo, round(grid.hi, {ROUND}) AS hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n
 FROM grid LEFT JOIN c USING ({g}bin)"""
