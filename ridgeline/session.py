@@ -35,18 +35,19 @@ def local_session(cpus: int = 8, app: str = "ridgeline", memory: str = "8g",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session.  Only when it is unset (local tests) a private folder is
-    created and registered, so later ``checkpoint()`` calls and written tables agree.
+    Read from the session.  A private folder is created and registered only where it is unset
+    and the master is local (tests); on a cluster an unset folder is an error, because each
+    executor would write to its own disk.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf = sc.getConf().get("spark.checkpoint.dir", None)
+    conf = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not conf:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="ridgeline-ckpt-")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(conf)
+    return conf
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
