@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ridgeline.llm.mixing import mix_sources
 from ridgeline.llm.packing import pack_documents
 from ridgeline.llm.token_files import token_table
 from ridgeline.llm.tokens import tokenizer_path
+from ridgeline.llm.winnowing import fingerprint_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,3 +33,13 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), end_id=1, capacity=4096)
+
+
+@query
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
+@query
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
