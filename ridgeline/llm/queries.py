@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ridgeline.llm.minhash import near_duplicates
 from ridgeline.llm.mixing import mix_sources
 from ridgeline.llm.packing import pack_documents
 from ridgeline.llm.token_files import token_table
@@ -43,3 +44,8 @@ def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), size=4, percent=80)
