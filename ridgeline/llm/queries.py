@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ridgeline.llm.minhash import near_duplicates
 from ridgeline.llm.mixing import mix_sources
 from ridgeline.llm.packing import pack_documents
+from ridgeline.llm.suffix_dedup import remove_repeats, sha256
 from ridgeline.llm.token_files import token_table
 from ridgeline.llm.tokens import tokenizer_path
 from ridgeline.llm.winnowing import fingerprint_documents
@@ -49,3 +50,8 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), size=4, percent=80)
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sha256(remove_repeats(documents(spark, sf_dir)))
