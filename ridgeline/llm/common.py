@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,15 @@ _INVERSE = pow(BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if it is not installed there."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    have = environment.get("PYTHONPATH", "")
+    if root not in have.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, have)))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 

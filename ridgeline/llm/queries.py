@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ridgeline.llm.common import on_workers
+from ridgeline.llm.language import fit_language, predict_language
 from ridgeline.llm.minhash import near_duplicates
 from ridgeline.llm.mixing import mix_sources
 from ridgeline.llm.packing import pack_documents
+from ridgeline.llm.quality import fit_quality, score_quality
 from ridgeline.llm.suffix_dedup import remove_repeats, sha256
 from ridgeline.llm.token_files import token_table
 from ridgeline.llm.tokens import tokenizer_path
@@ -19,8 +24,13 @@ ORACLE: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        on_workers(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,3 +65,23 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sha256(remove_repeats(documents(spark, sf_dir)))
+
+
+def remainder(modulus: int) -> Column:
+    """``crc32`` of the id's decimal text, modulo ``modulus``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder(4) != 2).select("doc_id", F.col("quality").alias("label"))
+    scored = score_quality(docs, fit_quality(docs, labels), limit=0.7)
+    return scored.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    predicted = predict_language(docs, fit_language(docs, remainder(5) != 0))
+    return predicted.select("doc_id", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
