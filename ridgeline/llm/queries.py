@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeline.llm.common import on_workers
+from ridgeline.llm.embeddings import near_vectors
 from ridgeline.llm.language import fit_language, predict_language
 from ridgeline.llm.minhash import near_duplicates
 from ridgeline.llm.mixing import mix_sources
@@ -85,3 +86,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     predicted = predict_language(docs, fit_language(docs, remainder(5) != 0))
     return predicted.select("doc_id", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), limit=0.98)
