@@ -169,17 +169,22 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return has
 
 
-def predict_language(docs: DataFrame, model: bytes) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row: the language of the likeliest family, and its probability.
+def with_language(docs: DataFrame, model: bytes) -> DataFrame:
+    """All columns of ``docs`` with ``lang_pred`` and ``lang_score`` (replaced, if there are such).
 
-    Null texts and texts without a letter are ``und`` with score 0; so is everything if no
-    language was learned.  Ties go to the first name in order.  Repeated rows and null ids are
-    rows like others; an empty table gives no rows; other columns are not read.
+    The prediction is the likeliest language of the likeliest family, the score its
+    probability.  Null texts and texts without a letter are ``und`` with score 0; so is
+    everything if no language was learned.  Ties go to the first name in order.  Repeated rows
+    and null ids are rows like others; an empty table gives no rows.
     """
+    docs = docs.drop("lang_pred", "lang_score")
+    text = docs.columns.index("text")
+
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = pickle.loads(model)
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
+            data, offsets = text_bytes(batch.column(text))
+            found: list[tuple] = []
             for first, last in row_blocks(offsets):
                 low, n = offsets[first], last - first
                 block, at = data[low:offsets[last]], offsets[first:last + 1] - low
@@ -199,9 +204,16 @@ def predict_language(docs: DataFrame, model: bytes) -> DataFrame:
                             pick = inner.argmax(axis=1)
                             names[own] = np.array(members, object)[pick]
                             score[own] = chance[own, k] * inner[np.arange(len(own)), pick]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, n), pa.array(names.tolist(), pa.string()), pa.array(score)],
-                    ["doc_id", "lang_pred", "score"])
+                found.append((names, score))
+            names = pa.array([x for part, _ in found for x in part], pa.string())
+            score = pa.array(np.concatenate([x for _, x in found]) if found else np.zeros(0))
+            yield pa.RecordBatch.from_arrays([*batch.columns, names, score], [*batch.schema.names, "lang_pred", "lang_score"])
+
+    schema = docs.schema.add("lang_pred", "string").add("lang_score", "double")
+    return docs.mapInArrow(predict, schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        predict, "doc_id long, lang_pred string, score double")
+
+def predict_language(docs: DataFrame, model: bytes) -> DataFrame:
+    """``doc_id, lang_pred, score`` of every row; see :func:`with_language`.  Other columns are not read."""
+    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return with_language(narrow, model).select("doc_id", "lang_pred", F.col("lang_score").alias("score"))

@@ -8,9 +8,11 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridgeline.llm import licenses
 from ridgeline.llm.common import on_workers
 from ridgeline.llm.embeddings import near_vectors
 from ridgeline.llm.language import fit_language, predict_language
+from ridgeline.llm.licenses import scan_licenses
 from ridgeline.llm.minhash import near_duplicates
 from ridgeline.llm.mixing import mix_sources
 from ridgeline.llm.packing import pack_documents
@@ -91,3 +93,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), limit=0.98)
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
+ORACLE["op8_license_scan"] = licenses.oracle_sql()

@@ -208,7 +208,7 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` from ``doc_id, text, spans``."""
+    """All columns but ``text`` and ``spans``, then ``n_bytes, n_removed, n_spans, kept``."""
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         out: list[tuple] = []
@@ -226,9 +226,10 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begins = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
             out.append((len(raw), int(gone.sum()), begins, raw[~gone].tobytes()))
         columns = list(zip(*out)) or [(), (), (), ()]
+        others = [c for c in batch.schema.names if c not in ("text", "spans")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            [*(batch.column(c) for c in others), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())],
+            [*others, "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
@@ -260,19 +261,35 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     return spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "n")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, others: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` of every row: ``kept`` holds the remaining bytes.
 
     Null text is empty.  Rows with a null ``doc_id`` have no place in the order: they are not
     compared and keep all bytes.  Rows that repeat a document (id and text) are one document
-    and get the same result.  An empty table gives no rows; other columns are not read.
+    and get the same result.  An empty table gives no rows; of other columns only ``others``
+    are read, and carried along as ``other_<name>``.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *(F.col(c).alias(f"other_{c}") for c in others))
     placed = rows.where("doc_id IS NOT NULL")
-    spans = repeated_spans(placed)
+    spans = repeated_spans(placed.select("doc_id", "text"))
     nothing = rows.where("doc_id IS NULL").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
-    return (placed.join(spans, "doc_id", "left").select("doc_id", "text", "spans").union(nothing)
-            .mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
+    joined = placed.join(spans, "doc_id", "left").select(*rows.columns, "spans").union(nothing)
+    schema = rows.drop("text").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
+    return joined.mapInArrow(_removed, schema)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` with the repeated strings cut out of ``text`` and ``n_chars`` to match.
+
+    A character of which a cut took some bytes goes as a whole.  Null text becomes empty text.
+    """
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    cut = remove_repeats(docs, others).withColumn("text", F.try_validate_utf8(F.col("kept").cast("string")))
+    text = F.coalesce(F.col("text"), F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\uFFFD", ""))
+    restored = cut.select("doc_id", text.alias("text"), *(F.col(f"other_{c}").alias(c) for c in others))
+    if "n_chars" in docs.columns:
+        restored = restored.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return restored.select(*docs.columns)
 
 
 def sha256(kept: DataFrame) -> DataFrame:
