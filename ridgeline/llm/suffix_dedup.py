@@ -10,7 +10,9 @@ under one hash; consecutive windows of one hash are one row (a stretch), not one
 3. Different stretches of one hash are put together in strings of a few and suffix-sorted:
    equal windows are then neighbours.  A hash with more stretches is dealt into several
    strings; the earliest window of each class leaves its string as a digest and the
-   earliest of all is found by aggregation, so no hash is too frequent.
+   earliest of all is found by aggregation, so no hash is too frequent.  Those windows leave
+   in rows of up to ``CORE_WINDOWS`` at fixed distances from their smallest gram; what the
+   windows of a row have in common, its core, must occur in two rows for them to be compared.
 4. Windows that repeat an earlier one give the spans to remove.
 """
 
@@ -30,9 +32,11 @@ LENGTH, GRAM = 100, 24
 #: Grams per window; also the most windows of a stretch.
 GRAMS = LENGTH - GRAM + 1
 #: Different stretches that are suffix-sorted as one string; a hash with more has several strings.
-STRING_STRETCHES = 8
+STRING_STRETCHES = 16
 #: Symbols of a matrix of strings that is sorted at once.
-MATRIX = 1 << 21
+MATRIX = 1 << 20
+#: Neighbouring windows that are looked up by their common core first.
+CORE_WINDOWS = 8
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -103,10 +107,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffix-sort strings of stretches (rows ordered by ``h, part, doc_id, low``) and report repeats.
 
-    ``digest`` null: ``n`` windows from ``low`` repeat earlier ones of their string.  Else (a hash
-    with several strings): the window at ``low`` is the earliest of its class in its string.
+    ``core`` null: ``n`` windows from ``low`` repeat earlier ones of their string.  Else (a hash
+    with several strings): the windows at ``lows``, with ``digests``, share ``core`` and are each
+    the earliest of its class in its string.
     """
     names = ["h", "part", "parts", "doc_id", "low", "bytes"]
+    out = ["h", "core", "doc_id", "low", "n", "lows", "digests"]
 
     def matrices(table: pa.Table) -> Iterator[pa.RecordBatch]:
         h, part, doc, low = (table.column(c).to_numpy() for c in ("h", "part", "doc_id", "low"))
@@ -155,6 +161,9 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         spot = spot[stretch_at[spot] >= 0]
         same = np.zeros(len(spot), bool)
         same[1:] = spot[1:] // width == spot[:-1] // width
+        whole = prefix_hash(text.reshape(-1))
+        digest = segment_hash(whole, spot, spot + LENGTH)
+        same[1:] &= digest[1:] == digest[:-1]
         views = np.lib.stride_tricks.sliding_window_view(text.reshape(-1), LENGTH)
         check = np.flatnonzero(same)
         for some in np.array_split(check, -(-len(check) // 65_536) or 1):
@@ -172,20 +181,38 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             run = np.diff(np.append(first, len(again)))
             m = member[s[first]]
             start = low[m] + again[first] - (row * width + inner)[s[first]]
+            none = [pa.nulls(len(m), pa.list_(pa.int32())), pa.nulls(len(m), pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[m]), pa.nulls(len(m), pa.int64()), pa.array(doc[m]), pa.array(start), pa.array(run)],
-                ["h", "digest", "doc_id", "low", "n"])
-        s = stretch_at[earliest] if len(heads) else np.zeros(0, np.int64)
-        spread = parts[member[s]] > 1
-        if spread.any():
-            spots, s = earliest[spread], s[spread]
-            flat = (text.reshape(-1) - 1).astype(np.uint8)
-            digest = segment_hash(prefix_hash(flat), spots, spots + LENGTH)
-            m = member[s]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[m]), pa.array(digest.view(np.int64)), pa.array(doc[m]),
-                 pa.array(low[m] + spots - (row * width + inner)[s]), pa.array(np.ones(len(m), np.int64))],
-                ["h", "digest", "doc_id", "low", "n"])
+                [pa.array(h[m]), pa.nulls(len(m), pa.int64()), pa.array(doc[m]), pa.array(start), pa.array(run), *none], out)
+        if len(heads) and (parts[member] > 1).any():
+            earliest = np.sort(earliest)
+            s = stretch_at[earliest]
+            spread = parts[member[s]] > 1
+            yield from cores(text, earliest[spread], s[spread], row * width + inner, member, n, h, doc, low)
+
+    def cores(text, spots, s, begin, member, n, h, doc, low) -> Iterator[pa.RecordBatch]:
+        if not len(spots):
+            return
+        flat = (text.reshape(-1) - 1).astype(np.uint8)
+        prefix = prefix_hash(flat)
+        places = np.arange(len(flat) - GRAM + 1)
+        own = np.zeros(len(flat), np.int64)
+        own[np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)] = np.repeat(h[member], n)
+        hit = segment_hash(prefix, places, places + GRAM).view(np.int64) == own[:len(places)]
+        gram = np.minimum.accumulate(np.where(hit, places, len(flat))[::-1])[::-1][spots]  # leftmost in the window
+        far = (gram - spots) // CORE_WINDOWS * CORE_WINDOWS
+        core = mix(segment_hash(prefix, gram - far, gram - far + LENGTH - CORE_WINDOWS + 1) + far.astype(np.uint64))
+        digest = segment_hash(prefix, spots, spots + LENGTH).view(np.int64)
+        new = np.ones(len(spots), bool)
+        new[1:] = (s[1:] != s[:-1]) | (gram[1:] != gram[:-1]) | (far[1:] != far[:-1])
+        first = np.flatnonzero(new)
+        at = np.append(first, len(spots)).astype(np.int32)
+        m = member[s]
+        lows = (low[m] + spots - begin[s]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(h[m[first]]), pa.array(core[first].view(np.int64)), pa.array(doc[m[first]]),
+             pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.int64()),
+             pa.ListArray.from_arrays(at, pa.array(lows)), pa.ListArray.from_arrays(at, pa.array(digest))], out)
 
     rest, held = [], 0
     for batch in batches:
@@ -253,11 +280,16 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     cut = (rows.join(wanted, "doc_id").select("doc_id", "text", "wanted")
            .mapInArrow(_cut, "h long, part int, parts int, doc_id long, low long, bytes binary"))
     windows = written(cut.repartition("h", "part").sortWithinPartitions("h", "part", "doc_id", "low")
-                      .mapInArrow(_sorted_windows, "h long, digest long, doc_id long, low long, n long"), "repeats")
-    spread = windows.where("digest IS NOT NULL")
+                      .mapInArrow(_sorted_windows, "h long, core long, doc_id long, low long, n long, lows array<int>, digests array<long>"),
+                      "repeats")
+    rows_of = windows.where("core IS NOT NULL").select("h", "core", "doc_id", "lows", "digests")
+    common = rows_of.groupBy("h", "core").count().where("count > 1").select("h", "core")
+    spread = (rows_of.join(common, ["h", "core"])
+              .select("h", "doc_id", F.explode(F.arrays_zip("lows", "digests")).alias("window"))
+              .select("h", "doc_id", F.col("window.lows").cast("long").alias("low"), F.col("window.digests").alias("digest")))
     across = (spread.join(spread.groupBy("h", "digest").agg(F.min(F.struct("doc_id", "low")).alias("first")), ["h", "digest"])
-              .where("doc_id != first.doc_id OR low != first.low"))
-    spans = copies.union(windows.where("digest IS NULL").select("doc_id", "low", "n")).union(across.select("doc_id", "low", "n"))
+              .where("doc_id != first.doc_id OR low != first.low").select("doc_id", "low", F.lit(1).cast("long").alias("n")))
+    spans = copies.union(windows.where("core IS NULL").select("doc_id", "low", "n")).union(across)
     return spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "n")).alias("spans"))
 
 

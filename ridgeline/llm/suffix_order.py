@@ -25,10 +25,22 @@ def suffix_arrays(text: np.ndarray, length: np.ndarray) -> np.ndarray:
     rows, n = text.shape
     if rows == 0 or n == 0:
         return np.full((rows, n), -1, np.int32)
-    inside = np.arange(n) < length[:, None]
+    wide = -(-n // 8) * 8  # whole machine words a row; see _equal
+    if wide != n:
+        text = np.concatenate((text, np.zeros((rows, wide - n), text.dtype)), axis=1)
+    inside = np.arange(wide) < length[:, None]
     group, size = _first_groups(text, inside)
     final, end = _lyndon_groups(group, size, inside, length)
-    return _emit(final, end, inside, length)
+    return _emit(final, end, inside, length)[:, :n]
+
+
+def _equal(matrix: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the cells that equal their row's value, in order; looks at words of eight cells first."""
+    hit = matrix == value[:, None]
+    word = np.flatnonzero(hit.reshape(-1).view(np.uint64))
+    w, c = np.nonzero(hit.reshape(-1, 8)[word])
+    at = word[w] * 8 + c
+    return at // matrix.shape[1], at % matrix.shape[1]
 
 
 def _first_groups(text: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,17 +72,19 @@ def _lyndon_groups(group: np.ndarray, size: np.ndarray, inside: np.ndarray, leng
     right = np.tile(np.arange(1, n + 3, dtype=np.int32), rows)
     final = np.where(inside, group, 0).astype(np.int32)
     end = np.zeros((rows, n), np.int32)
-    work, flat_work, flat_final, flat_end = group, group.reshape(-1), final.reshape(-1), end.reshape(-1)
-    alive = np.flatnonzero(length > 0)
-    while len(alive):
-        part = work[alive] if len(alive) < rows else work
+    work, flat_final, flat_end = group, final.reshape(-1), end.reshape(-1)
+    alive, part = np.arange(rows), work  # rows of ``part``, a copy of some rows of ``work`` once most are done
+    while True:
         current = part.max(axis=1)
         still = current >= 0
-        if not still.all():
+        left_over = int(still.sum())
+        if not left_over:
+            break
+        if 4 * left_over < 3 * len(alive):
             alive, part, current = alive[still], part[still], current[still]
-            if not len(alive):
-                break
-        r, i = np.nonzero(part == current[:, None])
+        elif left_over < len(alive):
+            current = np.where(still, current, np.int16(-2))
+        r, i = _equal(part, current)
         at = alive[r] * n + i
         cell = alive[r] * width + i + 1
         to_left, to_right = left[cell], right[cell]
@@ -82,18 +96,18 @@ def _lyndon_groups(group: np.ndarray, size: np.ndarray, inside: np.ndarray, leng
         tails = np.append(heads[1:], len(at)) - 1
         run = tails - heads + 1
         row, before, after = alive[r[heads]], to_left[heads], to_right[tails]
-        flat_work[at] = -1
+        part[r, i] = -1
         right[row * width + before] = after
         left[row * width + after] = before
         some = before > 0
-        row, pointed, run = row[some], before[some] - 1, run[some]
+        row, pointed, run, own = row[some], before[some] - 1, run[some], r[heads[some]]
         if not len(row):
             continue
         # new groups: within each old group by run length, longer runs last
         suffix = row * n + pointed
         old = row * n + flat_final[suffix]
         order = np.argsort(old * (n + 1) + (n - run), kind="stable")
-        suffix, old, run = suffix[order], old[order], run[order]
+        suffix, old, run, own, pointed = suffix[order], old[order], run[order], own[order], pointed[order]
         places = np.arange(len(order))
         new_old = np.ones(len(order), bool)
         new_old[1:] = old[1:] != old[:-1]
@@ -109,7 +123,7 @@ def _lyndon_groups(group: np.ndarray, size: np.ndarray, inside: np.ndarray, leng
         size[name_at] = class_last - class_first + 1
         name = np.repeat(name_at, class_last - class_first + 1) % n
         flat_final[suffix] = name
-        flat_work[suffix] = name
+        part[own, pointed] = name
     return final, end
 
 
