@@ -82,10 +82,10 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int
             .join(_before(totals, ["_rank"], "_range", "_sum"), ["_rank", "_range"])
             .withColumn("_sent", F.col("_sent") + F.col("_before")).drop("_before"))
     # a copy that starts after virtual time 1 can not be reached before the budget is spent
-    rounds = F.floor((F.col("target") - (F.col("_sent") - F.col("size"))) / F.col("source_size")).cast("int") + 1
+    rounds = F.floor(F.try_divide(F.col("target") - (F.col("_sent") - F.col("size")), F.col("source_size"))).cast("int") + 1
     rounds = F.least(F.lit(most), F.greatest(F.lit(1), F.coalesce(rounds, F.lit(1))))
     copies = (sent.withColumn("_round", F.explode(F.sequence(F.lit(0), rounds - 1)))
-              .withColumn("_finish", F.coalesce((F.col("_round") * F.col("source_size") + F.col("_sent")) / F.col("target"), F.lit(0.0)))
+              .withColumn("_finish", F.coalesce(F.try_divide(F.col("_round") * F.col("source_size") + F.col("_sent"), F.col("target")), F.lit(0.0)))
               .withColumn("_slot", F.floor(F.col("_finish") * ranges).cast("long")))
     slots = copies.groupBy("_slot").agg(F.sum("size").alias("_sum"))
     in_slot = (Window.partitionBy("_slot").orderBy("_finish", "_rank", "_key", "doc_id", "size", "_range", "_row")
@@ -106,7 +106,7 @@ def take_copies(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     repeat an id and a size all follow the one of them that is taken most often.
     """
     copies = (mixed.where("taken > 0").groupBy("doc_id", "size")
-              .agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("_copies"))
+              .agg(F.max(F.try_divide("taken", "size").cast("int")).alias("_copies"))
               .select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "_copies"))
     sized = docs.withColumn("_words", word_count(F.col("text")))
     joined = sized.join(copies, sized["doc_id"].eqNullSafe(copies["_id"]) & (sized["_words"] == copies["_size"]))

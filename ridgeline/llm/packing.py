@@ -62,8 +62,8 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         gap = capacity
         if size < capacity:
             # change of the sum: bins with gap g lose one, bins with gap g - size gain one (a full bin is not counted)
-            change = count[:capacity + 1 - size] - count[size:]
-            change[0] = -count[size] - (count[size] > 0)
+            change = 2 * (count[:capacity + 1 - size] - count[size:])
+            change[0] = -2 * count[size] - 1
             change[count[size:] == 0] = np.iinfo(np.int64).max
             best = int(change.argmin())
             if count[size + best]:
