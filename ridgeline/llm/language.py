@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridgeline.llm.common import BASE, mix, row_blocks, text_bytes
 from ridgeline.llm.svm import Rows, hinge_svm, platt, sigmoid
@@ -139,7 +140,8 @@ def fit_language(docs: DataFrame, use: Column | None = None, sample: int = SAMPL
               .select("lang", "share", "fold", "text")
               .mapInArrow(_frequencies, "lang string, share double, fold int, columns array<int>, values array<float>")
               .repartition(1).sortWithinPartitions("lang", "fold", "columns", "values").mapInArrow(_fit, "model binary"))
-    return bytes(fitted.first()[0])
+    found = fitted.first()
+    return bytes(found[0]) if found else pickle.dumps(None)
 
 
 def _margin(machine: tuple, row: np.ndarray, column: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -209,8 +211,8 @@ def with_language(docs: DataFrame, model: bytes) -> DataFrame:
             score = pa.array(np.concatenate([x for _, x in found]) if found else np.zeros(0))
             yield pa.RecordBatch.from_arrays([*batch.columns, names, score], [*batch.schema.names, "lang_pred", "lang_score"])
 
-    schema = docs.schema.add("lang_pred", "string").add("lang_score", "double")
-    return docs.mapInArrow(predict, schema)
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())]
+    return docs.mapInArrow(predict, T.StructType([*docs.schema.fields, *added]))
 
 
 def predict_language(docs: DataFrame, model: bytes) -> DataFrame:

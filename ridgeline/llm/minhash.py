@@ -10,9 +10,11 @@ similarity of 0.8 the expected distance is 12.8 with a deviation of 3.2, so a li
 with a probability of about 1e-7.
 
 Copies are one class from the start.  In every key's bucket all members are first compared
-with the smallest one only; their verified links give components.  Buckets that still hold
-several components are compared pairwise across components, in blocks of bounded size, and
-pairs within the signature distance are verified too.  Links are verified on the full sets.
+with the smallest one only; their verified links give components.  In buckets that still hold
+several components, the pairs across components within the signature distance join documents
+to candidate groups (a bucket sends spanning edges, not pairs).  A candidate group is compared
+pairwise in blocks of bounded size, again only across components and within the signature
+distance, and sends the links that connect its documents.  Links are verified on the full sets.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ CHUNKS, CHUNK_SYMBOLS, ERRORS = 16, 4, 1
 SYMBOLS = CHUNKS * CHUNK_SYMBOLS
 #: Largest distance at which two signatures surely meet.
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
-#: Members per block of a bucket that is compared pairwise.
-BLOCK = 1024
+#: Members per block of a bucket, and of a candidate group, that is compared pairwise.
+BLOCK, TEXT_BLOCK = 1024, 256
 
 
 def _signatures(size: int):
@@ -89,51 +91,121 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(keys.reshape(-1)), pa.array(np.repeat(part.column(0).to_numpy(), SYMBOLS))], ["key", "rep"])
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``a, b``: members of one block pair, of different components, within DISTANCE, at their first common key.
-
-    Rows are ordered by ``key, one, two`` (the block pair); a group has at most two blocks.
-    """
-    names = ["key", "one", "two", "block", "rep", "component", "signature"]
-    rest: pa.Table | None = None
-
-    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, one, two, block, rep, comp = (table.column(c).to_numpy() for c in names[:6])
-        signature = _matrix(table.column("signature").combine_chunks())
-        n = len(key)
-        new = np.ones(n, bool)
-        new[1:] = (key[1:] != key[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-        start = np.flatnonzero(new)
-        end = np.repeat(np.append(start[1:], n), np.diff(np.append(start, n)))
-        place = key >> 48
-        i, step = np.arange(n), 1
-        while len(i := i[i + step < end[i]]):
-            for part in np.array_split(i, -(-len(i) // 65_536)):
-                j = part + step
-                ok = (comp[part] != comp[j]) & ((block[part] != block[j]) | (one[part] == two[part]))
-                x, y = part[ok], j[ok]
-                same = signature[x] == signature[y]
-                close = same.sum(axis=1) >= SYMBOLS - DISTANCE
-                x, y, same = x[close], y[close], same[close].reshape(-1, CHUNKS, CHUNK_SYMBOLS)
-                if len(x):
-                    chunk = (same.sum(axis=2) >= CHUNK_SYMBOLS - ERRORS).argmax(axis=1)
-                    first = chunk * CHUNK_SYMBOLS + (~same[np.arange(len(x)), chunk]).argmax(axis=1)
-                    own = first == place[x]
-                    a, b = rep[x[own]], rep[y[own]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-            step += 1
-
+def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """Tables of whole groups; rows are ordered by the first three of ``names``, a group's key."""
+    rest: list[pa.Table] = []
+    held = 0
     for batch in batches:
-        table = pa.Table.from_batches([batch]).select(names)
-        table = pa.concat_tables([rest, table]) if rest is not None else table
-        key, one, two = (table.column(c).to_numpy() for c in names[:3])
-        last = np.flatnonzero((key != key[-1]) | (one != one[-1]) | (two != two[-1]))
-        cut = int(last[-1]) + 1 if len(last) else 0
-        rest = table.slice(cut)
+        rest.append(pa.Table.from_batches([batch]).select(names))
+        held += batch.nbytes
+        if held < 4 << 20:
+            continue
+        table = pa.concat_tables(rest)
+        key = [table.column(c).to_numpy() for c in names[:3]]
+        other = np.flatnonzero(np.any([k != k[-1] for k in key], axis=0))
+        cut = int(other[-1]) + 1 if len(other) else 0
         if cut:
-            yield from pairs(table.slice(0, cut))
-    if rest is not None and rest.num_rows:
-        yield from pairs(rest)
+            yield table.slice(0, cut).combine_chunks()
+        rest = [table.slice(cut)]
+        held = rest[0].nbytes
+    if rest and (table := pa.concat_tables(rest)).num_rows:
+        yield table.combine_chunks()
+
+
+def _close_pairs(table: pa.Table, keys: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row pairs ``x, y`` of a group, of different blocks or one block's own group, of different
+    components, within DISTANCE, and which symbols agree."""
+    key = [table.column(c).to_numpy() for c in keys]
+    one, two, block, comp = (table.column(c).to_numpy() for c in ("one", "two", "block", "component"))
+    signature = _matrix(table.column("signature").combine_chunks())
+    n = len(comp)
+    new = np.ones(n, bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in key], axis=0)
+    start = np.flatnonzero(new)
+    end = np.repeat(np.append(start[1:], n), np.diff(np.append(start, n)))
+    i, step = np.arange(n), 1
+    while len(i := i[i + step < end[i]]):
+        for part in np.array_split(i, -(-len(i) // 65_536)):
+            j = part + step
+            ok = (comp[part] != comp[j]) & ((block[part] != block[j]) | (one[part] == two[part]))
+            x, y = part[ok], j[ok]
+            same = signature[x] == signature[y]
+            close = same.sum(axis=1) >= SYMBOLS - DISTANCE
+            if close.any():
+                yield x[close], y[close], same[close]
+        step += 1
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``a, b``: edges that span what the close pairs of each bucket connect."""
+    for table in _groups(batches, ["key", "one", "two", "block", "rep", "component", "signature"]):
+        place, rep = table.column("key").to_numpy() >> 48, table.column("rep").to_numpy()
+        found = [np.zeros((2, 0), np.int64)]
+        for x, y, same in _close_pairs(table, ["key", "one", "two"]):
+            chunks = same.reshape(-1, CHUNKS, CHUNK_SYMBOLS)
+            chunk = (chunks.sum(axis=2) >= CHUNK_SYMBOLS - ERRORS).argmax(axis=1)
+            first = chunk * CHUNK_SYMBOLS + (~chunks[np.arange(len(x)), chunk]).argmax(axis=1)
+            own = first == place[x]  # a pair counts under its first common key
+            found.append(np.stack((x[own], y[own])))
+        x, y = np.concatenate(found, axis=1)
+        low = np.arange(len(rep))
+        while True:
+            before = low.copy()
+            np.minimum.at(low, x, low[y])
+            np.minimum.at(low, y, low[x])
+            low = low[low]
+            if (low == before).all():
+                break
+        more = np.flatnonzero(low != np.arange(len(rep)))
+        yield pa.RecordBatch.from_arrays([pa.array(rep[low[more]]), pa.array(rep[more])], ["a", "b"])
+
+
+def _group_links(size: int, percent: int):
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``a, b``: verified links that span what the links of each block pair connect."""
+        for table in _groups(batches, ["candidate", "one", "two", "block", "rep", "component", "signature", "text"]):
+            rep, component = table.column("rep").to_numpy(), table.column("component").to_numpy()
+            data, offsets = text_bytes(table.column("text"))
+            parts = [shingle_sets(data[offsets[f]:offsets[t]], offsets[f:t + 1] - offsets[f], size) for f, t in row_blocks(offsets)]
+            h = np.concatenate([p[1] for p in parts])
+            count = np.concatenate([np.bincount(p[0], minlength=t - f) for p, (f, t) in zip(parts, row_blocks(offsets))])
+            at = np.concatenate(([0], np.cumsum(count))).tolist()
+            parent = {c: c for c in component.tolist()}
+
+            def root(c: int) -> int:
+                while parent[c] != c:
+                    parent[c] = parent[parent[c]]
+                    c = parent[c]
+                return c
+
+            out = []
+            for xs, ys, _ in _close_pairs(table, ["candidate", "one", "two"]):
+                fits = 100 * np.minimum(count[xs], count[ys]) >= percent * np.maximum(count[xs], count[ys])
+                for x, y in zip(xs[fits].tolist(), ys[fits].tolist()):
+                    a, b = root(int(component[x])), root(int(component[y]))
+                    if a == b:
+                        continue
+                    p, q = h[at[x]:at[x + 1]], h[at[y]:at[y + 1]]
+                    spot = np.searchsorted(p, q)
+                    spot[spot == len(p)] = 0
+                    both = int((p[spot] == q).sum())
+                    if 100 * both >= percent * (len(p) + len(q) - both):
+                        parent[max(a, b)] = min(a, b)
+                        out.append((int(rep[x]), int(rep[y])))
+            columns = list(zip(*out)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    return links
+
+
+def _block_pairs(rows: DataFrame, key: str, sizes: DataFrame, block: int) -> DataFrame:
+    """``rows`` dealt into blocks of each ``key`` (``sizes``: key, n) and copied to each pair of blocks they are in."""
+    blocks = sizes.select(key, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    return (rows.join(blocks, key)
+            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")}).drop("blocks", "other")
+            .repartition(key, "one", "two").sortWithinPartitions(key, "one", "two"))
 
 
 def _linked(size: int, percent: int):
@@ -188,15 +260,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     mixed = (shared.join(found.withColumnRenamed("node", "rep"), "rep", "left")
              .select("key", "rep", F.coalesce("component", "rep").alias("component")))
     open_keys = (mixed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
-                 .where("x < y").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    blocks = (mixed.join(open_keys, "key").join(reps, "rep")
-              .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-                      "block", "rep", "component", "signature"))
-    cross = (blocks.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-             .mapInArrow(_cross_pairs, "a long, b long"))
-    more = written(verified(cross, texts, size, percent), "more-links")
+                 .where("x < y").select("key", "n"))
+    close = _block_pairs(mixed.join(reps, "rep"), "key", open_keys, BLOCK).mapInArrow(_candidates, "a long, b long")
+    groups = components(close).select(F.col("node").alias("rep"), F.col("component").alias("candidate"))
+    in_groups = (groups.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+                 .join(reps, "rep").join(texts.withColumnRenamed("doc_id", "rep"), "rep"))
+    more = written(_block_pairs(in_groups, "candidate", groups.groupBy("candidate").agg(F.count("*").alias("n")), TEXT_BLOCK)
+                   .mapInArrow(_group_links(size, percent), "a long, b long"), "more-links")
     found = components(links.union(more)).select(F.col("node").alias("rep"), "component")
     named = classes.join(found, "rep", "left").select(*same_set, F.coalesce("component", "rep").alias("component"))
     in_class = F.when(F.col("doc_id").isNotNull(), F.col("n_shingles"))

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridgeline.llm.common import mix, prefix_hash, row_blocks, segment_hash, text_bytes, written
 from ridgeline.llm.suffix_order import suffix_arrays
@@ -306,8 +307,8 @@ def remove_repeats(docs: DataFrame, others: tuple[str, ...] = ()) -> DataFrame:
     spans = repeated_spans(placed.select("doc_id", "text"))
     nothing = rows.where("doc_id IS NULL").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
     joined = placed.join(spans, "doc_id", "left").select(*rows.columns, "spans").union(nothing)
-    schema = rows.drop("text").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
-    return joined.mapInArrow(_removed, schema)
+    added = [*(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType())]
+    return joined.mapInArrow(_removed, T.StructType([*rows.drop("text").schema.fields, *added]))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
