@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows per range that a running sum runs over, about.
-RANGE_ROWS = 16_384
+RANGE_ROWS = 4_096
 
 
 def word_count(text: Column) -> Column:
