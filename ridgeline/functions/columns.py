@@ -55,13 +55,14 @@ def null_flag(c: str | Column) -> Column:
     return _c(c).isNull().cast("int")
 
 
-def hash_unit(key: str | Column, modulus: int) -> Column:
-    """Stable bucket ``0..modulus-1`` of a key: first 32 bits of MD5 of its text form.
+def hash_unit(key: str | Column, modulus: int, salt: str = "") -> Column:
+    """Stable bucket ``0..modulus-1`` of a key: first 32 bits of MD5 of its text form and ``salt``.
 
-    Independent of partitioning, task retries and engine, so a split or a fold
+    Draws that must be independent of each other (a split, folds within its train part, a
+    sample) use different salts.  Independent of partitioning, task retries and engine, so a split or a fold
     assignment recomputed after an executor loss is the same.
     """
-    hexpart = F.substring(F.md5(_c(key).cast("string")), 1, 8)
+    hexpart = F.substring(F.md5(F.concat(_c(key).cast("string"), F.lit(salt))), 1, 8)
     return (F.conv(hexpart, 16, 10).cast("bigint") % F.lit(modulus)).cast("int")
 
 

@@ -13,18 +13,19 @@ column gets ``min - 0.5 .. max + 0.5``); a value's bin is
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions.columns import with_stats
-from ridgeline.operators.ordered import quantiles_from_counts, value_counts
+from ridgeline.operators.ordered import finite, quantiles_from_counts
 
 
-def values(df: DataFrame, c: str) -> DataFrame:
-    """Non-NULL, non-NaN values of ``c`` as double, column ``x``."""
-    x = F.col(c).cast("double")
-    return df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+def values(df: DataFrame, c: str, by: str | None = None) -> DataFrame:
+    """Finite values of ``c`` as double, column ``x`` (and ``by``): NULL, NaN and infinities are left out."""
+    keep = [F.col(by)] if by else []
+    return finite(df.select(*keep, F.col(c).cast("double").alias("x")))
 
 
 def auto_bin_count(n: Column, lo: Column, hi: Column, q25: Column, q75: Column) -> Column:
@@ -40,26 +41,20 @@ def auto_bin_count(n: Column, lo: Column, hi: Column, q25: Column, q75: Column)
     return F.when(width > 0, F.ceil(rng / width)).otherwise(F.lit(1)).cast("int")
 
 
-def _stats(vals: DataFrame, bins: int | str, counts: DataFrame | None = None) -> DataFrame:
-    """One row: ``first``, ``last`` (outer edges) and ``k`` (bin count).
-
-    With ``counts`` (the ``(x, w)`` value-count table) every statistic comes from it, so
-    the automatic rule reads the raw column once."""
-    if counts is not None:
-        base = counts.agg(F.sum("w").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-    else:
-        base = vals.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+def _stats(counts: DataFrame, bins: int | str, by: list[str]) -> DataFrame:
+    """``([by,] first, last, k)``: outer edges and bin count, from a ``([by,] x, w)`` value-count table."""
+    base = counts.groupBy(*by).agg(F.sum("w").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     if bins == "auto":
-        src = counts if counts is not None else value_counts(vals, "x")
-        q = quantiles_from_counts(src, [0.25, 0.75], ["q25", "q75"])
-        base = with_stats(base, q, "_q")
-        k = auto_bin_count(F.col("n"), F.col("lo"), F.col("hi"), F.col("_q.q25"), F.col("_q.q75"))
+        q = quantiles_from_counts(counts, [0.25, 0.75], ["q25", "q75"], by=by)
+        base = base.join(q, by) if by else with_stats(base, q, "_q").select("*", "_q.q25", "_q.q75")
+        k = auto_bin_count(F.col("n"), F.col("lo"), F.col("hi"), F.col("q25"), F.col("q75"))
     else:
         if int(bins) < 1:
             raise ValueError("bins must be >= 1")
         k = F.lit(int(bins))
     same = F.col("hi") == F.col("lo")
     return base.select(
+        *by,
         F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("first"),
         F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("last"),
         F.when(F.col("n") > 0, k).otherwise(F.lit(0)).alias("k"),
@@ -79,114 +74,94 @@ def _edges(bin_col: Column) -> list[Column]:
     return [(first + bin_col * step).alias("lo"), hi.alias("hi")]
 
 
+def _bins() -> Column:
+    some = F.sequence(F.lit(0), F.col("_s.k") - 1)
+    return F.explode(F.when(F.col("_s.k") > 0, some).otherwise(F.array().cast("array<int>"))).alias("bin")
+
+
 def histogram(df: DataFrame, c: str, bins: int | str = "auto", by: str | None = None) -> DataFrame:
     """``([by,] bin, lo, hi, n)`` for every bin (empty bins have ``n = 0``).
 
-    With ``by``, edges are shared by all groups (computed over all rows), and every
-    group gets every bin.  Counting is a grouped count with map-side combine, so a hot
-    group or bin is pre-aggregated before the shuffle."""
-    keep = [F.col(c).cast("double").alias("x")] + ([F.col(by)] if by else [])
-    vals = df.select(*keep).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    keys = ([by] if by else []) + ["bin"]
-    if bins == "auto" and not by:
-        # the automatic rule needs the value counts anyway: derive everything from them
-        counts_x = value_counts(vals, "x")
-        stats = _stats(vals, bins, counts_x)
-        counts = with_stats(counts_x, stats).withColumn("bin", _bin_of(F.col("x"))) \
-            .groupBy("bin").agg(F.sum("w").alias("n"))
-    else:
-        stats = _stats(vals.select("x"), bins)
-        binned = with_stats(vals, stats).withColumn("bin", _bin_of(F.col("x")))
-        counts = binned.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-
-    # every (group, bin): explode the bin range on the group list (or the stats row)
-    if by:
-        carrier = with_stats(vals.select(by).distinct(), stats)
-    else:
-        carrier = stats.select(F.struct("first", "last", "k").alias("_s"))
-    bin_range = F.when(F.col("_s.k") > 0, F.sequence(F.lit(0), F.col("_s.k") - 1)) \
-        .otherwise(F.array().cast("array<int>"))
-    grid = carrier.select(*([F.col(by)] if by else []), F.explode(bin_range).alias("bin"), "_s")
-    grid = grid.select(*([F.col(by)] if by else []), "bin", *_edges(F.col("bin")))
-    out = grid.join(counts, keys, "left").withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("bigint"))
-    return out.select(*([by] if by else []), "bin", "lo", "hi", "n")
+    With ``by``, edges are shared by all groups (computed over all rows), every group gets
+    every bin, and a NULL group is a group.  NULL, NaN and infinite values are in no bin.
+    Everything derives from the counts per distinct value (combined map-side), so a hot
+    group, value or bin is pre-aggregated before the shuffle and the column is read once."""
+    g = [by] if by else []
+    counts = values(df, c, by).groupBy(*g, "x").agg(F.count(F.lit(1)).alias("w"))
+    stats = _stats(counts.groupBy("x").agg(F.sum("w").alias("w")) if by else counts, bins, [])
+    found = with_stats(counts, stats).withColumn("bin", _bin_of(F.col("x"))).groupBy(*g, "bin").agg(F.sum("w").alias("n"))
+    carrier = with_stats(counts.select(by).distinct(), stats) if by else stats.select(F.struct("first", "last", "k").alias("_s"))
+    grid = carrier.select(*g, _bins(), "_s").select(*g, "bin", *_edges(F.col("bin")))
+    found = found.select(*[F.col(k).alias(f"_{k}") for k in [*g, "bin"]], "n")
+    match = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in [*g, "bin"]))
+    return grid.join(found, match, "left").select(*g, "bin", "lo", "hi", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
 
 # Density curve: Gaussian KDE, Scott's bandwidth sd * n^(-1/5), evaluated on `points`
 # equally spaced points over [min - cut * h, max + cut * h].
 DEFAULT_POINTS = 200
-# A value adds nothing measurable beyond this many bandwidths: exp(-0.5 * 12^2) < 1e-31.
-KERNEL_REACH = 12.0
 
 
 def density(df: DataFrame, c: str, points: int = DEFAULT_POINTS, cut: float = 0.0,
-            by: str | None = None) -> DataFrame:
+            by: str | None = None, reach: float | None = None) -> DataFrame:
     """``([by,] point, x, density)`` on ``points`` grid points.
 
-    Work is bounded by distinct values, not rows: values are pre-counted, and each
-    distinct value is exploded only onto the grid points within ``KERNEL_REACH``
-    bandwidths of it, then summed per point (a grouped aggregate over at most
-    ``points`` keys per group).  A constant column (zero bandwidth) gives NULL densities.
+    Work is bounded by distinct values, not rows: values are counted first, everything else
+    (span, size, bandwidth) follows from the counts, and each distinct value is exploded onto
+    the grid and summed per point (a grouped aggregate over at most ``points`` keys per
+    group).  ``reach`` leaves out terms beyond so many bandwidths; the default sums all.  A
+    constant column (zero bandwidth) gives NULL densities.
 
     With ``by``, every group has its own bandwidth and normalisation (a density per
-    group, as a KDE drawn per hue); the grid spans all groups.  Group statistics are a
-    grouped aggregate joined back on the group key, so the number of groups is not
-    bounded by the driver."""
+    group, as a KDE drawn per hue) and a NULL group is a group; the grid spans all groups.
+    Group statistics are a grouped aggregate joined back on the group key, so the number of
+    groups is not bounded by the driver.  NULL, NaN and infinite values are left out."""
     if points < 2:
         raise ValueError("points must be >= 2")
-    g = [by] if by else []
-    x = F.col(c).cast("double")
-    vals = df.select(*g, x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    counts = vals.groupBy(*g, "x").agg(F.count(F.lit(1)).alias("w"))
-    span = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    per = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"))
-    per = per.select(*g, "n", (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"))
-    # grid from the overall span; cut widens it by the largest bandwidth
-    hmax = per.agg(F.max("h").alias("hmax"))
-    grid_stats = with_stats(span, hmax, "_h").select(
-        (F.col("lo") - F.lit(cut) * F.col("_h.hmax")).alias("g0"),
-        ((F.col("hi") - F.col("lo") + F.lit(2 * cut) * F.col("_h.hmax")) / F.lit(points - 1)).alias("step"),
-    )
-    g0, step = F.col("_s.g0"), F.col("_s.step")
-    keyed = counts.join(per, g, "inner") if by else with_stats(counts, per, "_p").select(
-        "x", "w", F.col("_p.n").alias("n"), F.col("_p.h").alias("h"))
-    keyed = with_stats(keyed, grid_stats)
-    reach = F.lit(KERNEL_REACH) * F.col("h")
-    j_lo = F.greatest(F.ceil((F.col("x") - reach - g0) / step), F.lit(0)).cast("int")
-    j_hi = F.least(F.floor((F.col("x") + reach - g0) / step), F.lit(points - 1)).cast("int")
-    usable = (F.col("h") > 0) & (step > 0)
-    near = keyed.filter(usable).select(
-        *g, "x", "w", "n", "h", "_s",
-        F.explode(F.when(j_lo <= j_hi, F.sequence(j_lo, j_hi)).otherwise(F.array().cast("array<int>")))
-        .alias("point"),
-    )
-    z = (g0 + F.col("point") * step - F.col("x")) / F.col("h")
-    sums = near.groupBy(*g, "point").agg(
-        F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("_k"),
-        F.max("n").alias("_n"), F.max("h").alias("_hh"),
-    ).select(*g, "point", (F.col("_k") / (F.col("_n") * F.col("_hh") * F.lit(math.sqrt(2 * math.pi)))).alias("d"))
-    carrier = per if by else per.select("n", "h")
-    grid = with_stats(carrier.filter(F.col("n") > 0), grid_stats).select(
-        *g, "h", "_s", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    out = grid.join(sums, g + ["point"], "left").select(
-        *g, "point",
-        (g0 + F.col("point") * step).alias("x"),
-        F.when((F.col("h") > 0) & (step > 0), F.coalesce(F.col("d"), F.lit(0.0))).alias("density"),
-    )
-    return out
+    # a NULL group gets a key of its own, so plain equi-joins keep it
+    keyed = values(df, c, by).select(F.struct(*([by] if by else [F.lit(0).alias("all")])).alias("g"), "x")
+    counts = keyed.groupBy("g", "x").agg(F.count(F.lit(1)).alias("w"))
+    n = F.sum("w")
+    mean = F.sum(F.col("w") * F.col("x")) / n
+    first = counts.groupBy("g").agg(n.alias("n"), mean.alias("mean"))
+    square = F.sum(F.col("w") * (F.col("x") - F.col("mean")) * (F.col("x") - F.col("mean")))
+    per = (counts.join(first, "g").groupBy("g").agg(F.max("n").alias("n"), square.alias("ss"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+           .withColumn("h", F.sqrt(F.try_divide(F.col("ss"), (F.col("n") - 1).cast("double"))) * F.pow(F.col("n").cast("double"), F.lit(-0.2))))
+    grid = per.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("h").alias("h")).select(
+        (F.col("lo") - F.lit(cut) * F.coalesce("h", F.lit(0.0))).alias("g0"),
+        ((F.col("hi") - F.col("lo") + F.lit(2 * cut) * F.coalesce("h", F.lit(0.0))) / F.lit(points - 1)).alias("step"))
+    at = with_stats(per.filter(F.col("n") > 0), grid).select(
+        "g", "n", "h", F.col("_s.step").alias("step"), F.posexplode(F.transform(
+            F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.col("_s.g0") + i * F.col("_s.step"))).alias("point", "at"))
+    z = (F.col("at") - F.col("x")) / F.col("h")
+    terms = counts.join(at.where("h > 0 AND step > 0"), "g").withColumn("z", z)
+    if reach is not None:
+        terms = terms.where(F.abs("z") <= F.lit(float(reach)))
+    sums = terms.groupBy("g", "point").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * F.col("z") * F.col("z"))).alias("k"))
+    scaled = F.coalesce(F.col("k"), F.lit(0.0)) / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
+    out = at.join(sums, ["g", "point"], "left")
+    return out.select(*([F.col(f"g.{by}").alias(by)] if by else []), "point", F.col("at").alias("x"),
+                      F.when((F.col("h") > 0) & (F.col("step") > 0), scaled).alias("density"))
 
 
 def numeric_histograms(df: DataFrame, bins: int | str = "auto",
                        types: tuple[str, ...] = ("int", "bigint", "float", "double")) -> DataFrame:
     """``(column, bin, lo, hi, n)``: a histogram of every numeric column (the profile's
-    per-column distributions), each with its own edges and bin count."""
+    per-column distributions), each with its own edges and bin count.
+
+    All columns share one pass: the rows are unpivoted to (column, value) and counted once,
+    and every statistic is grouped by column, so the number of jobs does not grow with the
+    number of columns."""
     from ridgeline.operators.clean import numeric_columns
 
-    parts = [histogram(df, c, bins).select(F.lit(c).alias("column"), "bin", "lo", "hi", "n")
-             for c in numeric_columns(df, types)]
-    if not parts:
+    names = numeric_columns(df, types)
+    if not names:
         return df.sparkSession.createDataFrame([], "column string, bin int, lo double, hi double, n bigint")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    long = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in names]).unpivot([], names, "column", "x")
+    counts = finite(long).groupBy("column", "x").agg(F.count(F.lit(1)).alias("w"))
+    stats = _stats(counts, bins, ["column"]).select("column", F.struct("first", "last", "k").alias("_s"))
+    found = (counts.join(stats, "column").withColumn("bin", _bin_of(F.col("x")))
+             .groupBy("column", "bin").agg(F.sum("w").alias("n")))
+    grid = stats.select("column", _bins(), "_s").select("column", "bin", *_edges(F.col("bin")))
+    return grid.join(found, ["column", "bin"], "left").select(
+        "column", "bin", "lo", "hi", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))

@@ -2,26 +2,25 @@
 
 A window ``ORDER BY x`` with no partition key moves every row to one task.  Instead:
 
-1. split the key range into contiguous ranges holding about the same number of keys:
-   edges are approximate quantiles of the key (one small aggregate; the edge list is
-   bounded by the bucket count), and ``Bucketizer`` assigns each row by binary search.
-   1,024 ranges by default, more when a range would exceed a million keys.  A skewed
-   or heavy-tailed key distribution still gives balanced buckets;
-2. total each bucket (partial + final aggregate, at most ``buckets`` rows), prefix-sum
-   those totals (a window over at most ``buckets`` rows) and attach the offsets by
-   broadcast (size bounded by ``buckets``);
-3. run the window *partitioned by bucket* and add the bucket offset.
+1. cut the key range into contiguous ranges holding about the same number of keys: the
+   edges are approximate quantiles of the key, one small aggregate inside the same plan
+   (nothing runs while the plan is built), and each row finds its range by binary search.
+   A skewed or heavy-tailed key distribution still gives balanced ranges;
+2. total each range (partial + final aggregate, at most ``buckets`` rows per group) and
+   prefix-sum those totals;
+3. run the window *partitioned by range* and add the range's offset.
 
 The result is exact whatever the edges are; the edges only balance the work.  Callers
 pass a table that is already unique on the order key (e.g. per-score or per-value
-counts), so a hot value is a single row here.
+counts), so a hot value is a single row here.  ``by`` keeps several sequences (one per
+group) in one pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgeline.functions.columns import with_stats
@@ -29,76 +28,52 @@ from ridgeline.functions.columns import with_stats
 DEFAULT_BUCKETS = 1024
 
 
+def range_of(edges: Column, x: Column, buckets: int) -> Column:
+    """How many of the sorted ``edges`` (an array of fewer than ``buckets``) are at most ``x``."""
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(1, (buckets - 1).bit_length())))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(edges)) & (F.get(edges, at + step - 1) <= x), at + step).otherwise(at))
+
+
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
-                 buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_") -> DataFrame:
-    """Add ``{prefix}{c}``: inclusive running sum of ``c`` in ``order_col`` order.
+                 buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_", by: Sequence[str] = ()) -> DataFrame:
+    """Add ``{prefix}{c}``: inclusive running sum of ``c`` in ``order_col`` order, within ``by``.
 
-    ``order_col`` must be unique, non-NULL and not NaN.  ``descending`` runs from the
-    largest key down."""
+    ``order_col`` must be unique within ``by``, non-NULL and not NaN; infinities are ordinary
+    keys.  ``by`` columns must not be NULL.  ``descending`` runs from the largest key down."""
+    by = list(by)
     key = F.col(order_col).cast("double")
     keyed = df.withColumn("_ord", -key if descending else key)
-    keyed = bucket_by_range(keyed, "_ord", "_bucket", buckets)
-
-    totals = keyed.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    probs = [i / buckets for i in range(1, buckets)]
+    if probs:
+        edges = keyed.groupBy(*by).agg(
+            F.array_sort(F.array_distinct(F.percentile_approx("_ord", probs, max(10_000, 10 * buckets)))).alias("e"))
+        keyed = keyed.join(edges, by) if by else with_stats(keyed, edges, "_q").withColumn("e", F.col("_q.e")).drop("_q")
+        keyed = keyed.withColumn("_bucket", range_of(F.col("e"), F.col("_ord"), buckets)).drop("e")
+    else:
+        keyed = keyed.withColumn("_bucket", F.lit(0))
+
+    totals = keyed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        "_bucket",
+        *by, "_bucket",
         *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
     )
-    within = Window.partitionBy("_bucket").orderBy("_ord").rowsBetween(Window.unboundedPreceding, 0)
-    out = keyed.join(F.broadcast(offsets), "_bucket", "inner").withColumns({
+    within = Window.partitionBy(*by, "_bucket").orderBy("_ord").rowsBetween(Window.unboundedPreceding, 0)
+    out = keyed.join(offsets, [*by, "_bucket"], "inner").withColumns({
         f"{prefix}{c}": F.col(f"_off_{c}") + F.sum(c).over(within) for c in sum_cols
     })
     return out.drop("_bucket", "_ord", *[f"_off_{c}" for c in sum_cols])
 
 
-MAX_KEYS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 65_536
-
-
-def _quantile_edges(df: DataFrame, c: str, buckets: int) -> tuple[int, list[float]]:
-    """``(row count, up to buckets - 1 split points at equal-count quantiles)`` in one
-    aggregate.  Rank error is at most ``1 / accuracy`` of the rows."""
-    accuracy = max(10_000, 10 * buckets)
-    probs = ", ".join(repr(i / buckets) for i in range(1, buckets))
-    row = df.selectExpr("count(1) AS n", f"percentile_approx(`{c}`, array({probs}), {accuracy}) AS e").first()
-    return row["n"], sorted({float(x) for x in (row["e"] or []) if x is not None and x == x})
-
-
-def range_edges(df: DataFrame, c: str, buckets: int = DEFAULT_BUCKETS,
-                max_keys_per_bucket: int = MAX_KEYS_PER_BUCKET) -> list[float]:
-    """Increasing split points of ``c`` cutting it into ranges of about equal row counts.
-
-    ``buckets`` ranges by default; when that would leave more than
-    ``max_keys_per_bucket`` rows per range, a second pass uses
-    ``ceil(n / max_keys_per_bucket)`` ranges (at most ``MAX_BUCKETS``).  The edge list is
-    bounded by the bucket count, never by the data."""
-    if buckets <= 1:
-        return []
-    n, edges = _quantile_edges(df, c, buckets)
-    wanted = min(MAX_BUCKETS, -(-n // max_keys_per_bucket))
-    if wanted > buckets:
-        _, edges = _quantile_edges(df, c, wanted)
-    return edges
-
-
-def bucket_by_range(df: DataFrame, c: str, out: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Add ``out``: index of the quantile range holding ``c`` (monotone in ``c``)."""
-    from pyspark.ml.feature import Bucketizer
+def value_counts(df: DataFrame, c: str) -> DataFrame:
+    """``(x, w)``: count per distinct value of ``c`` as double; NULL, NaN and infinities are left out."""
+    return finite(df.select(F.col(c).cast("double").alias("x"))).groupBy("x").agg(F.count(F.lit(1)).alias("w"))
 
-    edges = range_edges(df, c, buckets)
-    if not edges:  # empty input or a single key: one range
-        return df.withColumn(out, F.lit(0))
-    splits = [float("-inf")] + edges + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol=c, outputCol=out, handleInvalid="keep")
-    return b.transform(df).withColumn(out, F.col(out).cast("int"))
 
-
-def value_counts(df: DataFrame, c: str) -> DataFrame:
-    """``(x, w)``: count per distinct non-NULL, non-NaN value of ``c`` as double."""
-    x = F.col(c).cast("double")
-    vals = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    return vals.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
+def finite(df: DataFrame, c: str = "x") -> DataFrame:
+    """Rows whose ``c`` (double) is a finite number."""
+    return df.filter(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
 
 
 def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float],
@@ -108,35 +83,29 @@ def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float],
 
     Distributed: per-value counts, exact running counts (see module doc), then the rows
     holding the needed ranks are picked by a filter and one aggregate.  Nothing is
-    collected; the largest state is one bucket's distinct values in one window task."""
+    collected; the largest state is one range's distinct values in one window task."""
     return quantiles_from_counts(value_counts(df, c), probs, names, buckets)
 
 
 def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], names: Sequence[str] | None = None,
-                          buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """:func:`exact_quantiles` on a ``(x, w)`` value-count table."""
+                          buckets: int = DEFAULT_BUCKETS, by: Sequence[str] = ()) -> DataFrame:
+    """:func:`exact_quantiles` on a ``([by,] x, w)`` value-count table: one row (per group)."""
+    by = list(by)
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
-    ranked = running_sums(counts, "x", ["w"], buckets=buckets).withColumn("_start", F.col("cum_w") - F.col("w"))
-    n = counts.agg(F.sum("w").alias("n"))
-    joined = with_stats(ranked, n)
-    pos_cols = {}
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("_s.n") - 1).cast("double")
-        pos_cols[f"_pos{i}"] = pos
-        pos_cols[f"_lo{i}"] = F.floor(pos)
-        pos_cols[f"_hi{i}"] = F.ceil(pos)
-    joined = joined.withColumns(pos_cols)
+    ranked = running_sums(counts, "x", ["w"], buckets=buckets, by=by).withColumn("_start", F.col("cum_w") - F.col("w"))
+    n = counts.groupBy(*by).agg(F.sum("w").alias("n"))
+    joined = ranked.join(n, by) if by else with_stats(ranked, n).withColumn("n", F.col("_s.n")).drop("_s")
 
     def at_rank(r):
         return F.max(F.when((F.col("_start") <= r) & (r < F.col("cum_w")), F.col("x")))
 
     aggs = []
-    for i in range(len(probs)):
-        aggs += [at_rank(F.col(f"_lo{i}")).alias(f"_vlo{i}"), at_rank(F.col(f"_hi{i}")).alias(f"_vhi{i}"),
-                 F.max(f"_pos{i}").alias(f"_p{i}"), F.max(f"_lo{i}").alias(f"_l{i}")]
-    picked = joined.agg(*aggs)
-    return picked.select(*[
-        (F.col(f"_vlo{i}") + (F.col(f"_vhi{i}") - F.col(f"_vlo{i}")) * (F.col(f"_p{i}") - F.col(f"_l{i}")))
-        .alias(names[i])
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("n") - 1).cast("double")
+        aggs += [at_rank(F.floor(pos)).alias(f"_lo{i}"), at_rank(F.ceil(pos)).alias(f"_hi{i}"),
+                 F.max(pos - F.floor(pos)).alias(f"_f{i}")]
+    picked = joined.groupBy(*by).agg(*aggs)
+    return picked.select(*by, *[
+        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(names[i])
         for i in range(len(probs))
     ])

@@ -12,6 +12,7 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ridgeline.operators.clean import numeric_columns
 
@@ -67,8 +68,12 @@ def null_audit(df: DataFrame) -> DataFrame:
 
 
 def numeric_stats(df: DataFrame, types: Sequence[str] = NUMERIC_TYPES) -> DataFrame:
-    """Wide: ``{c}_min`` for all numeric columns, then maxes, means, sample stddevs."""
+    """Wide: ``{c}_min`` for all numeric columns, then maxes, means, sample stddevs.
+
+    A table without numeric columns gives an empty result without columns."""
     cols = numeric_columns(df, types)
+    if not cols:
+        return df.sparkSession.createDataFrame([], StructType())
     exprs = []
     for fn, suffix in (("min", "min"), ("max", "max"), ("avg", "mean"), ("stddev_samp", "stddev")):
         exprs += [f"{fn}({ident(c)}) AS {ident(c + '_' + suffix)}" for c in cols]
@@ -76,11 +81,16 @@ def numeric_stats(df: DataFrame, types: Sequence[str] = NUMERIC_TYPES) -> DataFr
 
 
 def date_range(df: DataFrame, c: str = "date") -> DataFrame:
-    """``min_date``, ``max_date`` (string columns compare lexicographically)."""
+    """``min_date``, ``max_date`` (string columns compare lexicographically); no row if there is no such column."""
+    if c not in df.columns:
+        return df.sparkSession.createDataFrame([], "min_date string, max_date string")
     return df.agg(F.min(_q(c)).alias("min_date"), F.max(_q(c)).alias("max_date"))
 
 
 def text_length_stats(df: DataFrame, c: str = "text") -> DataFrame:
+    """Minimum, maximum, mean and sample stddev of the length; no row if there is no such column."""
+    if c not in df.columns:
+        return df.sparkSession.createDataFrame([], "min_length int, max_length int, mean_length double, stddev_length double")
     n = F.length(_q(c))
     return df.agg(
         F.min(n).alias("min_length"),
@@ -102,8 +112,10 @@ def describe_long(df: DataFrame) -> DataFrame:
 def describe_numeric(df: DataFrame, types: Sequence[str] = NUMERIC_TYPES) -> DataFrame:
     """Typed describe of numeric columns: ``(column, count, mean, stddev, min, max)``.
 
-    One aggregate pass, then the single row is unpivoted."""
+    One aggregate pass, then the single row is unpivoted; no row without a numeric column."""
     cols = numeric_columns(df, types)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, count bigint, mean double, stddev double, min double, max double")
     exprs = []
     for i, c in enumerate(cols):
         x = f"CAST({ident(c)} AS DOUBLE)"
@@ -114,7 +126,11 @@ def describe_numeric(df: DataFrame, types: Sequence[str] = NUMERIC_TYPES) -> Dat
     return wide.selectExpr(_stack(rows, ["column", "count", "mean", "stddev", "min", "max"]))
 
 
-def _distinct(c: str, approx: bool, rsd: float) -> str:
+# A longer string takes part in distinct counts as its SHA-256 digest.
+DIGEST_ABOVE = 64
+
+
+def _distinct(c: str, approx: bool, rsd: float, dtype: str = "") -> str:
     """Distinct values of ``c`` with NULL counted as one value.
 
     Exact: ``count(DISTINCT named_struct('v', c))`` - the wrapping struct is never NULL,
@@ -123,7 +139,10 @@ def _distinct(c: str, approx: bool, rsd: float) -> str:
     if approx:
         return (f"CAST(approx_count_distinct({ident(c)}, {rsd}) + "
                 f"coalesce(max(CAST(isnull({ident(c)}) AS INT)), 0) AS BIGINT)")
-    return f"count(DISTINCT named_struct('v', {ident(c)}))"
+    value = ident(c)
+    if dtype == "string":
+        value = f"CASE WHEN length({value}) > {DIGEST_ABOVE} THEN concat('sha256:', sha2({value}, 256)) ELSE {value} END"
+    return f"count(DISTINCT named_struct('v', {value}))"
 
 
 def distinct_counts(df: DataFrame, approx: bool = False, rsd: float = 0.05) -> DataFrame:
@@ -132,49 +151,28 @@ def distinct_counts(df: DataFrame, approx: bool = False, rsd: float = 0.05) -> D
     Exact: all ``count(DISTINCT c)`` in one aggregate (Spark expands the rows once and
     pre-aggregates each value map-side, so a hot value is combined before the shuffle).
     Approximate: HyperLogLog++ sketches, one pass and no shuffle of values."""
-    cols = df.columns
-    wide = df.selectExpr(*[f"{_distinct(c, approx, rsd)} AS d{i}" for i, c in enumerate(cols)])
+    cols, types = df.columns, dict(df.dtypes)
+    wide = df.selectExpr(*[f"{_distinct(c, approx, rsd, types[c])} AS d{i}" for i, c in enumerate(cols)])
     return wide.selectExpr(_stack([(text(c), f"d{i}") for i, c in enumerate(cols)], ["column", "n_distinct"]))
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str] | None = None,
-                     types: Sequence[str] = CORRELATION_TYPES, method: str = "sums") -> DataFrame:
+                     types: Sequence[str] = CORRELATION_TYPES) -> DataFrame:
     """Pearson matrix as ``(x, y, corr)`` for every ordered pair, one aggregate pass.
 
     Rows with a NULL in any of the columns are left out (the matrix form needs complete
-    rows); a constant column gives NULL instead of a division error.
-
-    ``method="sums"`` (default) aggregates ``n``, ``sum(x)`` and ``sum(x * y)`` (the Gram
-    matrix, as Spark ML's ``RowMatrix`` covariance does): one multiply-add per pair and
-    row, so the pass stays IO-bound.  Relative error grows like ``(mean / sd)^2 * 1e-16``;
-    ``method="moments"`` uses ``covar_pop`` / ``stddev_pop`` (streaming co-moments, exact
-    to rounding for any offset) at several times the CPU per row."""
+    rows); a constant column gives NULL instead of a division error.  The pass keeps
+    streaming co-moments (``covar_pop`` / ``stddev_pop``), so columns far from zero (ids,
+    Unix times) lose no precision."""
     cols = list(cols) if cols is not None else numeric_columns(df, types)
     if not cols:
         return df.sparkSession.createDataFrame([], "x string, y string, corr double")
     complete = df.selectExpr(*[f"CAST({ident(c)} AS DOUBLE) AS v{i}" for i, c in enumerate(cols)]).dropna()
     pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    if method == "moments":
-        wide = complete.selectExpr(
-            *[f"stddev_pop(v{i}) AS sd{i}" for i in range(len(cols))],
-            *[f"covar_pop(v{i}, v{j}) AS cv{i}_{j}" for i, j in pairs],
-        )
-    elif method == "sums":
-        sums = complete.selectExpr(
-            "CAST(count(1) AS DOUBLE) AS n",
-            *[f"sum(v{i}) AS s{i}" for i in range(len(cols))],
-            *[f"sum(v{i} * v{j}) AS p{i}_{j}" for i, j in pairs],
-        )
-
-        def cov(i, j):
-            return f"(p{i}_{j} / n - (s{i} / n) * (s{j} / n))"
-
-        wide = sums.selectExpr(
-            *[f"sqrt(greatest({cov(i, i)}, 0D)) AS sd{i}" for i in range(len(cols))],
-            *[f"{cov(i, j)} AS cv{i}_{j}" for i, j in pairs],
-        )
-    else:
-        raise ValueError("method is 'sums' or 'moments'")
+    wide = complete.selectExpr(
+        *[f"stddev_pop(v{i}) AS sd{i}" for i in range(len(cols))],
+        *[f"covar_pop(v{i}, v{j}) AS cv{i}_{j}" for i, j in pairs],
+    )
     rows = []
     for i, j in pairs:
         r = f"CASE WHEN sd{i} * sd{j} > 0 THEN least(greatest(cv{i}_{j} / (sd{i} * sd{j}), -1D), 1D) END"
@@ -190,25 +188,33 @@ def class_counts(df: DataFrame, label: str = "is_high_star") -> DataFrame:
 
 
 def profile_long(df: DataFrame, table: str, types: Sequence[str] = NUMERIC_TYPES) -> DataFrame:
-    """Metadata document as a long table ``(table, column, metric, value)`` (value double).
-
-    Metrics: ``nulls`` and ``distinct`` for every column, ``min``/``max``/``mean``/``stddev``
-    for numeric ones.  Two aggregates, unioned: the plain ones in one pass (which reads
-    only the columns it needs), the distinct counts in another.  Mixing plain aggregates
-    into the distinct rewrite (``Expand``) would make every expanded row carry all the
-    plain aggregation buffers."""
-    numeric = set(numeric_columns(df, types))
+    """Metadata document as a long table ``(table, column, metric, value, text)``.
+
+    Metrics: ``type`` (in ``text``), ``nulls``, ``count`` (values that are not NULL) and
+    ``distinct`` for every column, ``min``/``max``/``mean``/``stddev`` for numeric ones (in
+    ``value``) and ``min``/``max`` for string ones (in ``text``).  Two aggregates, unioned: the
+    plain ones in one pass (which reads only the columns it needs), the distinct counts in
+    another.  Mixing plain aggregates into the distinct rewrite (``Expand``) would make every
+    expanded row carry all the plain aggregation buffers."""
+    numeric, dtypes = set(numeric_columns(df, types)), dict(df.dtypes)
     plain, plain_rows, distinct, distinct_rows = [], [], [], []
+    no_value, no_text = "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
     for i, c in enumerate(df.columns):
-        plain.append(f"CAST({_nulls(c)} AS DOUBLE) AS n{i}")
-        plain_rows.append((text(table), text(c), "'nulls'", f"n{i}"))
-        distinct.append(f"CAST({_distinct(c, False, 0.05)} AS DOUBLE) AS d{i}")
-        distinct_rows.append((text(table), text(c), "'distinct'", f"d{i}"))
+        name = (text(table), text(c))
+        plain += [f"CAST({_nulls(c)} AS DOUBLE) AS n{i}", f"CAST(count({ident(c)}) AS DOUBLE) AS c{i}"]
+        plain_rows += [(*name, "'type'", no_value, text(dtypes[c])), (*name, "'nulls'", f"n{i}", no_text),
+                       (*name, "'count'", f"c{i}", no_text)]
+        distinct.append(f"CAST({_distinct(c, False, 0.05, dtypes[c])} AS DOUBLE) AS d{i}")
+        distinct_rows.append((*name, "'distinct'", f"d{i}", no_text))
         if c in numeric:
             for m, fn in (("min", "min"), ("max", "max"), ("mean", "avg"), ("stddev", "stddev_samp")):
                 plain.append(f"{fn}(CAST({ident(c)} AS DOUBLE)) AS {m}{i}")
-                plain_rows.append((text(table), text(c), f"'{m}'", f"{m}{i}"))
-    names = ["table", "column", "metric", "value"]
+                plain_rows.append((*name, f"'{m}'", f"{m}{i}", no_text))
+        elif dtypes[c] == "string":
+            for m in ("min", "max"):
+                plain.append(f"{m}({ident(c)}) AS {m}{i}")
+                plain_rows.append((*name, f"'{m}'", no_value, f"{m}{i}"))
+    names = ["table", "column", "metric", "value", "text"]
     a = df.selectExpr(*plain).selectExpr(_stack(plain_rows, names))
     b = df.selectExpr(*distinct).selectExpr(_stack(distinct_rows, names))
     return a.unionByName(b)

@@ -12,8 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.functions.columns import hash_unit, with_stats
-from ridgeline.sources.io import EDA_SIZE_CAP_BYTES, input_bytes
+from ridgeline.functions.columns import hash_unit
+
+# Samples and folds draw independently of the split.
+SAMPLE_SALT, FOLD_SALT = ":sample", ":fold"
 
 
 def limit_rows(df: DataFrame, n: int, order_by: str | Sequence[str]) -> DataFrame:
@@ -32,17 +34,18 @@ def sample_rows(df: DataFrame, fraction: float, seed: int | None = None) -> Data
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def sample_to_bytes(df: DataFrame, cap: int = EDA_SIZE_CAP_BYTES, seed: int = 0,
-                    size_of: DataFrame | None = None) -> DataFrame:
-    """Bernoulli sample with fraction ``min(1, cap / input bytes)``, lazily.
+def sample_fraction(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """Stable sample of about ``fraction`` of the rows by a hash of ``key``, which every row states in
+    ``sample_fraction``.  The choice to sample is always the caller's: nothing samples by input size."""
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction must be between 0 and 1")
+    share = F.lit(float(fraction))
+    return df.filter(hash_unit(key, 1_000_000, SAMPLE_SALT) < F.lit(int(round(fraction * 1_000_000)))).withColumn("sample_fraction", share)
+
 
-    The byte total of the files behind ``size_of`` (default ``df``, which must then be
-    a file scan) comes from the ``_metadata`` column as a scalar subquery; below the cap
-    every row is kept."""
-    total = input_bytes(size_of if size_of is not None else df)
-    frac = F.when(F.col("_s.input_bytes") > F.lit(cap),
-                  F.lit(float(cap)) / F.col("_s.input_bytes").cast("double")).otherwise(F.lit(1.0))
-    return with_stats(df, total).filter(F.rand(seed) < frac).drop("_s")
+def fraction_for_bytes(total: int, cap: int) -> float:
+    """The fraction that brings ``total`` input bytes to about ``cap`` (1 at or below it)."""
+    return 1.0 if total <= cap else cap / total
 
 
 def split_random(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 42) -> list[DataFrame]:
@@ -62,5 +65,5 @@ def split_label(key: str, train_pct: int = 80):
 
 
 def fold_of(df: DataFrame, key: str, k: int = 5, out: str = "fold") -> DataFrame:
-    """Stable k-fold assignment ``0..k-1`` (usable as ``CrossValidator(foldCol=...)``)."""
-    return df.withColumn(out, hash_unit(key, k))
+    """Stable k-fold assignment ``0..k-1`` (usable as ``CrossValidator(foldCol=...)``), independent of the split."""
+    return df.withColumn(out, hash_unit(key, k, FOLD_SALT))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions.columns import binarise, bucketise, geo_round, safe_div, text_length
@@ -31,31 +31,36 @@ def add_target(df: DataFrame, c: str = "review_stars", at: float = HIGH_STAR_AT,
     return df.withColumn(out, binarise(c, at))
 
 
-def class_stats(df: DataFrame, label: str = "is_high_star") -> DataFrame:
-    """One row ``(n, n_pos, n_neg)``: the class counts behind the balanced weights."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col(label) == 1).alias("n_pos"),
-        F.count_if(F.col(label) == 0).alias("n_neg"),
-    )
+def class_aggs(label: str) -> list[Column]:
+    """Aggregates ``n``, ``n_pos``, ``n_neg``: the class counts behind the balanced weights."""
+    return [F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("n_pos"), F.count_if(F.col(label) == 0).alias("n_neg")]
+
+
+def max_aggs(cols: Sequence[str]) -> list[Column]:
+    return [F.max(c).alias(f"max_{i}") for i, c in enumerate(cols)]
+
+
+def balanced_weight(label: str) -> Column:
+    """``n / (2 * count(class))`` from the scalars in ``_s``."""
+    per_class = F.when(F.col(label) == 1, F.col("_s.n_pos")).otherwise(F.col("_s.n_neg"))
+    return safe_div("_s.n", per_class * 2)
+
+
+def max_ratios(cols: Sequence[str], prefix: str) -> dict[str, Column]:
+    """``x / max(x)`` from the scalars in ``_s``."""
+    return {f"{prefix}{c}": safe_div(c, f"_s.max_{i}") for i, c in enumerate(cols)}
 
 
 def class_weights(df: DataFrame, label: str = "is_high_star", out: str = "class_weight") -> DataFrame:
     """M2: balanced weights ``n / (2 * count(class))`` attached to every row.
 
     An absent class gives a NULL weight (the reference raises)."""
-    return with_stats(df, class_stats(df, label)).withColumn(
-        out, F.when(F.col(label) == 1, safe_div("_s.n", F.col("_s.n_pos") * 2))
-        .otherwise(safe_div("_s.n", F.col("_s.n_neg") * 2)),
-    ).drop("_s")
+    return with_stats(df, df.agg(*class_aggs(label))).withColumn(out, balanced_weight(label)).drop("_s")
 
 
 def normalise_max(df: DataFrame, cols: Sequence[str], prefix: str = "normalized_") -> DataFrame:
     """M3: ``x / max(x)`` over all rows; zero or NULL maximum gives NULL."""
-    stats = df.agg(*[F.max(c).alias(f"max_{i}") for i, c in enumerate(cols)])
-    return with_stats(df, stats).withColumns(
-        {f"{prefix}{c}": safe_div(c, f"_s.max_{i}") for i, c in enumerate(cols)}
-    ).drop("_s")
+    return with_stats(df, df.agg(*max_aggs(cols))).withColumns(max_ratios(cols, prefix)).drop("_s")
 
 
 def geo_grid(df: DataFrame, digits: int = GEO_DIGITS, cols: Sequence[str] = ("latitude", "longitude"),
@@ -77,32 +82,25 @@ def add_buckets(df: DataFrame, c: str = "user_review_count", cuts: Sequence[floa
 
 def feature_columns(df: DataFrame) -> DataFrame:
     """M4-M6: row-local columns (no aggregate)."""
-    return df.withColumns({
-        "rounded_latitude": geo_round("latitude", GEO_DIGITS),
-        "rounded_longitude": geo_round("longitude", GEO_DIGITS),
-        "review_text_length": text_length("text"),
-        "user_review_bucket": bucketise("user_review_count", USER_BUCKET_CUTS, USER_BUCKET_NAMES),
-    })
+    return add_buckets(add_text_length(geo_grid(df)))
 
 
 def build_features(reviews: DataFrame, business: DataFrame, users: DataFrame,
-                   salts: int | None = None) -> DataFrame:
-    """M7: the trusted feature table, 28 columns, one lazy plan.
-
-    All five scalars (n, n_pos, n_neg, two maxima) come from one aggregate.  ``salts``
-    opts into an explicitly salted star join (see :func:`ridgeline.operators.joins.enrich`)."""
+                   salts: int | None = None, staging: str | None = None) -> DataFrame:
+    """M7: the trusted feature table, 28 columns.
+
+    All five scalars (n, n_pos, n_neg, two maxima) come from one aggregate over the joined
+    rows.  With ``staging`` the join is written there once (in the shared folder) and both
+    the aggregate, which reads three columns, and the result scan that table, so the fact
+    table is shuffled once; without it the plan is lazy and the join runs for each of the
+    two.  ``salts`` opts into an explicitly salted star join (see
+    :func:`ridgeline.operators.joins.enrich`)."""
     joined = add_target(enrich(reviews, business, users, salts))
-    stats = joined.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("is_high_star") == 1).alias("n_pos"),
-        F.count_if(F.col("is_high_star") == 0).alias("n_neg"),
-        F.max("business_review_count").alias("max_b"),
-        F.max("user_review_count").alias("max_u"),
-    )
-    with_scalars = with_stats(joined, stats).withColumns({
-        "class_weight": F.when(F.col("is_high_star") == 1, safe_div("_s.n", F.col("_s.n_pos") * 2))
-        .otherwise(safe_div("_s.n", F.col("_s.n_neg") * 2)),
-        "normalized_business_review_count": safe_div("business_review_count", "_s.max_b"),
-        "normalized_user_review_count": safe_div("user_review_count", "_s.max_u"),
-    }).drop("_s")
-    return feature_columns(with_scalars)
+    if staging is not None:
+        joined.write.mode("overwrite").parquet(staging)
+        joined = joined.sparkSession.read.schema(joined.schema).parquet(staging)
+    counts = ("business_review_count", "user_review_count")
+    stats = joined.agg(*class_aggs("is_high_star"), *max_aggs(counts))
+    scaled = with_stats(joined, stats).withColumns(
+        {"class_weight": balanced_weight("is_high_star"), **max_ratios(counts, "normalized_")}).drop("_s")
+    return feature_columns(scaled)

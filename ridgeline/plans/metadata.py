@@ -17,7 +17,7 @@ from ridgeline.sources.io import schema_table
 
 
 def metadata_table(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``(table, column, metric, value)``: profile metrics, and ``corr:<other column>``
+    """``(table, column, metric, value, text)``: profile metrics, and ``corr:<other column>``
     for every pair of the table's int / double columns."""
     parts = []
     for name, df in tables.items():
@@ -26,6 +26,7 @@ def metadata_table(tables: Mapping[str, DataFrame]) -> DataFrame:
         parts.append(corr.select(
             F.lit(name).alias("table"), F.col("x").alias("column"),
             F.concat(F.lit("corr:"), F.col("y")).alias("metric"), F.col("corr").alias("value"),
+            F.lit(None).cast("string").alias("text"),
         ))
     out = parts[0]
     for p in parts[1:]:

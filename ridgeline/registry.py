@@ -19,8 +19,11 @@ from ridgeline.operators import metrics as M
 from ridgeline.operators import profile as P
 from ridgeline.operators import sampling as L
 from ridgeline.operators.joins import enrich, review_business
+from ridgeline.session import scratch_path
 from ridgeline.plans import features as FE
 from ridgeline.sources import fixtures as fx
+from ridgeline.sources import io as IO
+from ridgeline.sources import zone as Z
 from ridgeline.sources.fixtures import with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,7 +53,15 @@ def _star(spark, d):
 
 
 def _features(spark, d):
-    return FE.build_features(*_star(spark, d))
+    return FE.build_features(*_star(spark, d), staging=scratch_path(spark, "star"))
+
+
+def _invariants(spark, checks: dict[str, bool]) -> DataFrame:
+    return spark.createDataFrame([(k, bool(v)) for k, v in checks.items()], "check string, holds boolean")
+
+
+def _invariants_sql(*checks: str) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{c}', true)" for c in checks) + ') t("check", holds)'
 
 
 # --------------------------------------------------------------------------- SQL pieces
@@ -279,7 +290,7 @@ _COUNTED_BASE = ("events", "documents", "supplier", "customer")
     [f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in _COUNTED + _COUNTED_BASE]))
 def q_table_row_counts(spark, d):
     frames = [P.row_count(fx.VIEWS[t](spark, d), t) for t in _COUNTED]
-    frames += [P.row_count(fx.base(spark, d, t), t) for t in _COUNTED_BASE]
+    frames += [P.row_count(df, t) for t, df in IO.load_tables(spark, d, _COUNTED_BASE).items()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -325,9 +336,24 @@ def q_text_length_stats(spark, d):
     return round_doubles(P.text_length_stats(_dirty(spark, d)))
 
 
-@query("describe")
+def _describe_sql(view: str, cols, numeric) -> str:
+    parts = []
+    for c in cols:
+        number, none = c in numeric, "max(CAST(NULL AS DOUBLE))"
+        for m, fn in (("count", "count"), ("mean", "avg"), ("stddev", "stddev_samp"), ("min", "min"), ("max", "max")):
+            value = f"round(CAST({fn}({c}) AS DOUBLE), {ROUND})" if number or m == "count" else none
+            as_text = f"{fn}({c})" if not number and m in ("min", "max") else "CAST(NULL AS VARCHAR)"
+            parts.append(f"SELECT '{c}' AS \"column\", '{m}' AS metric, {value} AS value, {as_text} AS text FROM {view}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("describe", with_views("review_dirty") + _describe_sql(
+    "review_dirty", DIRTY_COLS, ("review_id", "user_id", "business_id", "stars", "useful", "funny", "cool")))
 def q_describe(spark, d):
-    return P.describe_long(_dirty(spark, d))
+    """``describe()`` with its strings typed: numbers in ``value``, other values in ``text``."""
+    number = F.expr("try_cast(value AS DOUBLE)")
+    return round_doubles(P.describe_long(_dirty(spark, d)).select(
+        "column", "metric", number.alias("value"), F.when(number.isNull(), F.col("value")).alias("text")))
 
 
 @query("describe_numeric", with_views("review_dirty") + "\nUNION ALL\n".join(
@@ -345,9 +371,13 @@ def q_distinct_counts(spark, d):
     return P.distinct_counts(_dirty(spark, d))
 
 
-@query("approx_distinct")
+@query("approx_distinct", "SELECT * FROM (VALUES " + ", ".join(f"('{c}', true)" for c in DIRTY_COLS) + ") t(\"column\", within)")
 def q_approx_distinct(spark, d):
-    return P.distinct_counts(_dirty(spark, d), approx=True)
+    """Sketch counts against exact ones: within five relative standard deviations (and 1)."""
+    dirty, rsd = _dirty(spark, d), 0.05
+    about = P.distinct_counts(dirty, approx=True, rsd=rsd).withColumnRenamed("n_distinct", "about")
+    near = F.abs(F.col("about") - F.col("n_distinct")) <= 5 * rsd * F.col("n_distinct") + 1
+    return P.distinct_counts(dirty).join(about, "column").select("column", near.alias("within"))
 
 
 _CORR_COLS = ("review_stars", "business_stars", "latitude", "longitude", "user_average_stars",
@@ -375,6 +405,22 @@ def q_correlation(spark, d):
     return round_doubles(P.correlation_long(_features(spark, d)))
 
 
+def _offset_sql() -> str:
+    cols = ("x", "y", "z")
+    views = {"far": "SELECT 1.7e9 + event_id % 10 AS x, 1.7e9 - event_id % 10 AS y, CAST(event_id % 10 AS DOUBLE) AS z FROM events"}
+    return with_views(extra=views) + "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS x, '{b}' AS y, round(covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})), {ROUND}) AS corr FROM far"
+        for a in cols for b in cols)
+
+
+@query("correlation_offset", _offset_sql())
+def q_correlation_offset(spark, d):
+    """Columns whose mean dwarfs their spread (Unix times, ids)."""
+    k = F.col("event_id") % 10
+    far = fx.base(spark, d, "events").select((F.lit(1.7e9) + k).alias("x"), (F.lit(1.7e9) - k).alias("y"), k.cast("double").alias("z"))
+    return round_doubles(P.correlation_long(far))
+
+
 @query("schema_table", with_views("review_dirty") + """
 SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS pos, column_name AS "column",
   CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
@@ -391,22 +437,37 @@ def q_preview_rows(spark, d):
     return preview(_features(spark, d), 5, "review_id")
 
 
+@query("top_reviews", with_views("review")
+       + "SELECT review_id, stars FROM review ORDER BY review_id LIMIT 20")
+def q_top_reviews(spark, d):
+    return L.limit_rows(fx.review(spark, d).select("review_id", "stars"), 20, "review_id")
+
+
 @query("limit_rows", with_views("review_dirty")
        + "SELECT useful FROM review_dirty WHERE useful IS NOT NULL ORDER BY useful LIMIT 10")
 def q_limit_rows(spark, d):
     return L.first_values(_dirty(spark, d), "useful", 10)
 
 
+_TYPES = {"is_open": "bigint", "name": "string", "text": "string", "date": "string", "stars": "double",
+          "average_stars": "double", "latitude": "double", "longitude": "double", "is_high_star": "int",
+          "review_text_length": "int", "user_review_bucket": "string"}
+
+
 def _profile_sql(view: str, cols, numeric) -> list[str]:
-    parts = []
+    parts, none = [], "CAST(NULL AS VARCHAR)"
     for c in cols:
         parts.append(f"SELECT '{view}' AS \"table\", '{c}' AS \"column\", 'nulls' AS metric, "
-                     f"CAST(count(*) - count({c}) AS DOUBLE) AS value FROM {view}")
+                     f"CAST(count(*) - count({c}) AS DOUBLE) AS value, {none} AS text FROM {view}")
+        parts.append(f"SELECT '{view}', '{c}', 'count', CAST(count({c}) AS DOUBLE), {none} FROM {view}")
+        parts.append(f"SELECT '{view}', '{c}', 'type', CAST(NULL AS DOUBLE), '{_TYPES.get(c, 'bigint')}'")
         parts.append(f"SELECT '{view}', '{c}', 'distinct', CAST(count(DISTINCT {c}) + "
-                     f"coalesce(max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0) AS DOUBLE) FROM {view}")
+                     f"coalesce(max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0) AS DOUBLE), {none} FROM {view}")
         if c in numeric:
             for m, fn in (("min", "min"), ("max", "max"), ("mean", "avg"), ("stddev", "stddev_samp")):
-                parts.append(f"SELECT '{view}', '{c}', '{m}', round({fn}(CAST({c} AS DOUBLE)), {ROUND}) FROM {view}")
+                parts.append(f"SELECT '{view}', '{c}', '{m}', round({fn}(CAST({c} AS DOUBLE)), {ROUND}), {none} FROM {view}")
+        else:
+            parts += [f"SELECT '{view}', '{c}', '{m}', CAST(NULL AS DOUBLE), {m}({c}) FROM {view}" for m in ("min", "max")]
     return parts
 
 
@@ -439,7 +500,7 @@ def _metadata_sql() -> str:
             for b in cols:
                 r = (f"CASE WHEN stddev_pop({a}) * stddev_pop({b}) > 0 THEN "
                      f"least(greatest(covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})), -1.0), 1.0) END")
-                parts.append(f"SELECT '{t}', '{a}', 'corr:{b}', round({r}, {ROUND}) FROM {t} WHERE {complete}")
+                parts.append(f"SELECT '{t}', '{a}', 'corr:{b}', round({r}, {ROUND}), CAST(NULL AS VARCHAR) FROM {t} WHERE {complete}")
     return with_views(*_PROFILE_TABLES) + "\nUNION ALL\n".join(parts)
 
 
@@ -449,6 +510,16 @@ def q_metadata_document(spark, d):
     return round_doubles(metadata_table({t: fx.VIEWS[t](spark, d) for t in _PROFILE_TABLES}))
 
 
+@query("metadata_roundtrip", _metadata_sql())
+def q_metadata_roundtrip(spark, d):
+    """The metadata document written as JSON lines and read back."""
+    from ridgeline.plans.metadata import write_metadata
+    path = scratch_path(spark, "metadata")
+    write_metadata({t: fx.VIEWS[t](spark, d) for t in _PROFILE_TABLES}, path)
+    schema = "`table` string, `column` string, metric string, value double, text string"
+    return round_doubles(IO.read_json(spark, f"{path}/metrics", schema))
+
+
 # --------------------------------------------------------------------------- distributions
 def _hist_sql(values_sql: str, bins: str | int, by: str | None = None) -> str:
     """DuckDB twin of operators.histogram.histogram."""
@@ -516,6 +587,22 @@ def q_histogram_by_label(spark, d):
     return round_doubles(H.histogram(fx.scored(spark, d), "score", 20, by="label"))
 
 
+def _null_safe(sql: str) -> str:
+    return sql.replace("USING (label, bin)", "ON grid.bin = c.bin AND grid.label IS NOT DISTINCT FROM c.label").replace(
+        "SELECT label, grid.bin,", "SELECT grid.label, grid.bin,")
+
+
+_NULL_LABEL = "SELECT nullif(label, 0) AS label, CAST(score AS DOUBLE) AS x FROM scored WHERE score IS NOT NULL AND NOT isnan(score)"
+
+
+@query("histogram_null_group", with_views("scored").rstrip() + ",\n"
+       + _null_safe(_hist_sql(_NULL_LABEL, 20, by="label").strip()[len("WITH "):]))
+def q_histogram_null_group(spark, d):
+    """A NULL group is a group."""
+    rows = fx.scored(spark, d).withColumn("label", F.nullif(F.col("label"), F.lit(0)))
+    return round_doubles(H.histogram(rows, "score", 20, by="label"))
+
+
 DENSITY_DIGITS = 12
 
 
@@ -566,6 +653,16 @@ def q_density_by_label(spark, d):
                       F.round("density", DENSITY_DIGITS).alias("density"))
 
 
+@query("density_null_group", with_views("scored").rstrip() + ",\n" + _density_by_sql(_NULL_LABEL, "label")
+       .replace("ON pts.label = cnt.label", "ON pts.label IS NOT DISTINCT FROM cnt.label")
+       .replace("USING (label, point)", "ON pts.point = d.point AND pts.label IS NOT DISTINCT FROM d.label")
+       .replace("SELECT pts.label, point, round", "SELECT pts.label, pts.point, round"))
+def q_density_null_group(spark, d):
+    rows = fx.scored(spark, d).withColumn("label", F.nullif(F.col("label"), F.lit(0)))
+    out = H.density(rows, "score", by="label")
+    return out.select("label", "point", F.round("x", ROUND).alias("x"), F.round("density", DENSITY_DIGITS).alias("density"))
+
+
 # --------------------------------------------------------------------------- metrics
 def _scored(spark, d):
     return fx.scored(spark, d)
@@ -649,7 +746,11 @@ def q_metrics_report(spark, d):
 
 
 # --------------------------------------------------------------------------- sampling / splits
-HASH_SQL = "CAST(('0x' || substr(md5(CAST(review_id AS VARCHAR)), 1, 8)) AS BIGINT)"
+def _hash_sql(key: str, salt: str = "") -> str:
+    return f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || '{salt}'), 1, 8)) AS BIGINT)"
+
+
+HASH_SQL = _hash_sql("review_id")
 
 
 @query("split_hash", with_views("review") + f"""
@@ -659,28 +760,39 @@ def q_split_hash(spark, d):
 
 
 @query("kfold_sizes", with_views("review") + f"""
-SELECT CAST({HASH_SQL} % 5 AS INTEGER) AS fold, count(*) AS n FROM review GROUP BY 1""")
+SELECT CAST({_hash_sql("review_id", L.FOLD_SALT)} % 5 AS INTEGER) AS fold, count(*) AS n FROM review GROUP BY 1""")
 def q_kfold_sizes(spark, d):
     f = L.fold_of(fx.review(spark, d).select("review_id"), "review_id", 5)
     return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sample_rows")
+@query("sample_rows", _invariants_sql("rows_of_the_table", "within_five_sigma"))
 def q_sample_rows(spark, d):
-    return L.sample_rows(fx.review(spark, d), 0.1, seed=7)
-
-
-# The test tables are far below the 2^29-byte cap, so every row is kept (fraction 1).
-@query("sample_to_bytes", "SELECT * FROM events")
+    """A Bernoulli sample: distinct rows of the table, about the asked share of them."""
+    rows, fraction = fx.review(spark, d).select("review_id"), 0.1
+    drawn = L.sample_rows(rows, fraction, seed=7)
+    n = rows.count()
+    m, distinct, inside = drawn.join(rows.withColumn("inside", F.lit(1)), "review_id", "left").agg(
+        F.count("*"), F.count_distinct("review_id"), F.count("inside")).first()
+    return _invariants(spark, {"rows_of_the_table": m == distinct == inside,
+                               "within_five_sigma": abs(m - n * fraction) <= 5 * (n * fraction * (1 - fraction)) ** 0.5})
+
+
+@query("sample_to_bytes", f"""
+SELECT *, CAST(0.25 AS DOUBLE) AS sample_fraction FROM events WHERE {_hash_sql("event_id", L.SAMPLE_SALT)} % 1000000 < 250000""")
 def q_sample_to_bytes(spark, d):
-    events = fx.base(spark, d, "events")
-    return L.sample_to_bytes(events, seed=11)
+    """The fraction for a cap of a quarter of 400 bytes of input, which the rows state."""
+    return L.sample_fraction(fx.base(spark, d, "events"), "event_id", L.fraction_for_bytes(400, 100))
 
 
-@query("split_random")
+@query("split_random", _invariants_sql("complete", "disjoint", "within_five_sigma"))
 def q_split_random(spark, d):
-    train, test = L.split_random(fx.review(spark, d).select("review_id", "stars"), (0.8, 0.2), seed=42)
-    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    rows = fx.review(spark, d).select("review_id", "stars")
+    train, test = L.split_random(rows, (0.8, 0.2), seed=42)
+    n, n_train = rows.count(), train.count()
+    both = train.unionByName(test).agg(F.count("*"), F.count_distinct("review_id")).first()
+    return _invariants(spark, {"complete": both[0] == n, "disjoint": both[1] == n,
+                               "within_five_sigma": abs(n_train - 0.8 * n) <= 5 * (n * 0.16) ** 0.5})
 
 
 @query("minmax_scale", _features_with(mm="""
@@ -702,9 +814,6 @@ def q_minmax_scale(spark, d):
 
 
 # --------------------------------------------------------------------------- sources / sinks
-from ridgeline.session import scratch_path  # noqa: E402
-from ridgeline.sources import io as IO  # noqa: E402
-from ridgeline.sources import zone as Z  # noqa: E402
 
 
 @query("json_scan", with_views("review_dirty") + "SELECT * FROM review_dirty")
@@ -730,23 +839,29 @@ def q_parquet_roundtrip(spark, d):
 
 _ZONE_TABLES = {
     "review_dirty": (DIRTY_COLS, DIRTY_DOUBLES),
-    "business": (("business_id", "name", "stars", "is_open", "latitude", "longitude", "review_count"),
-                 ("stars", "latitude", "longitude")),
-    "users": (("user_id", "average_stars", "review_count", "fans", "cool", "funny", "useful"),
-              ("average_stars",)),
+    "business_dirty": (("business_id", "name", "stars", "is_open", "latitude", "longitude", "review_count"),
+                       ("stars", "latitude", "longitude")),
+    "users_dirty": (("user_id", "average_stars", "review_count", "fans", "cool", "funny", "useful", *fx.COMPLIMENTS),
+                    ("average_stars",)),
+    "checkin": (("business_id", "date"), ()),
+    "tip": (("user_id", "business_id", "text", "date", "compliment_count"), ()),
 }
+# Malformed lines added to every landed table.
+BROKEN = 3
 
 
 def _land(spark, d) -> str:
     """Write the fixture tables to a fresh landing zone as JSON lines."""
     landing = scratch_path(spark, "landing")
     for name in _ZONE_TABLES:
-        IO.write_json(fx.VIEWS[name](spark, d), Z.landing_path(landing, name))
+        path = Z.landing_path(landing, name)
+        IO.write_json(fx.VIEWS[name](spark, d), path)
+        spark.range(BROKEN).selectExpr("concat('{\"broken\": ', id) AS value").write.mode("append").text(path)
     return landing
 
 
 @query("clean_zone_counts", with_views(*_ZONE_TABLES) + "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS \"table\", rows_before AS rows_in, rows_after AS rows_out, "
+    f"SELECT '{t}' AS \"table\", rows_before + {BROKEN} AS rows_in, CAST({BROKEN} AS BIGINT) AS malformed, rows_after AS rows_out, "
     f"columns_before AS cols_in, columns_after AS cols_out FROM ({clean_stats_sql(t, cols, dbl, C.DEFAULT_POLICY)}) s"
     for t, (cols, dbl) in _ZONE_TABLES.items()))
 def q_clean_zone_counts(spark, d):
@@ -754,13 +869,41 @@ def q_clean_zone_counts(spark, d):
     return Z.clean_zone(spark, landing, scratch_path(spark, "cleaned"), list(_ZONE_TABLES))
 
 
+@query("json_malformed", with_views("review_dirty") + f"""
+SELECT count(*) + {BROKEN} AS n_lines, CAST({BROKEN} AS BIGINT) AS malformed, count(stars) AS with_stars FROM review_dirty""")
+def q_json_malformed(spark, d):
+    """Every line is read; malformed ones are counted."""
+    lines = IO.read_json_lines(spark, Z.landing_path(_land(spark, d), "review_dirty"))
+    return lines.agg(F.count("*").alias("n_lines"), F.count(IO.CORRUPT).alias("malformed"), F.count("stars").alias("with_stars"))
+
+
+FILES = 7
+
+
+def _repartitioned(spark, d) -> str:
+    path = scratch_path(spark, "repartitioned")
+    IO.write_parquet(C.clean(_dirty(spark, d), "validated"), path, partitions=FILES)
+    return path
+
+
 @query("repartition_rows", ORACLE["clean_05"])
 def q_repartition_rows(spark, d):
-    """Cleaned rows written with the reference's partition rule, read back."""
-    path = scratch_path(spark, "repartitioned")
-    raw = _dirty(spark, d)
-    IO.write_parquet(C.clean(raw, "validated"), path, partitions=IO.write_partitions_for(fx.base(spark, d, "events")))
-    return IO.read_table(spark, path)
+    """Cleaned rows repartitioned to a given number of files, read back."""
+    return IO.read_table(spark, _repartitioned(spark, d))
+
+
+@query("repartition_files", f"SELECT CAST({FILES} AS BIGINT) AS input_files, n FROM (SELECT count(*) AS n FROM ({ORACLE['clean_05']}) c) t")
+def q_repartition_files(spark, d):
+    path = _repartitioned(spark, d)
+    rows = IO.read_table(spark, path).agg(F.count("*")).scalar()
+    return IO.input_bytes(spark, path).select("input_files", rows.alias("n"))
+
+
+@query("feature_profile", _features_with() + "\nUNION ALL\n".join(
+    _profile_sql("features", ("is_high_star", "review_text_length", "user_review_bucket"), ("is_high_star", "review_text_length"))))
+def q_feature_profile(spark, d):
+    cols = ["is_high_star", "review_text_length", "user_review_bucket"]
+    return round_doubles(P.profile_long(_features(spark, d).select(*cols), "features"))
 
 
 @query("stream_clean_zone", ORACLE["clean_05"])
@@ -779,56 +922,130 @@ def q_stream_clean_zone(spark, d):
 
 
 # --------------------------------------------------------------------------- model
+# The model queries run on ``review_signal``, whose target depends on both features.
 _FITS: dict = {}
 
+SIGNAL_SQL = JOINED_SQL.replace("FROM review r", "FROM review_signal r")
+
+
+def _signal_with(**extra) -> str:
+    return with_views("review_signal", "business", "users", extra={
+        "joined": SIGNAL_SQL, "targeted": TARGET_SQL, "features": FEATURES_SQL, **extra})
+
+
+def _signal(spark, d):
+    reviews = fx.review_signal(spark, d)
+    return FE.build_features(reviews, fx.business(spark, d), fx.users(spark, d), staging=scratch_path(spark, "signal"))
+
 
 def _fit(spark, d):
-    """Cross-validated model and held-out predictions, fitted once per session and input."""
+    """``(model, features, path of the written predictions)``, fitted once per session and input."""
     from ridgeline.plans import model as MO
     key = (spark.sparkContext.applicationId, d)  # a new session never sees an old model
     if key not in _FITS:
-        _FITS[key] = MO.train_score(_features(spark, d))
+        features = _signal(spark, d)
+        model, pred = MO.train_score(features)
+        path = scratch_path(spark, "predictions")
+        MO.write_predictions(pred, path)
+        _FITS[key] = (model, features, path)
     return _FITS[key]
 
 
-@query("predictions")
+def _predictions(spark, d):
+    """The written predictions, read back: what every evaluation reads."""
+    return IO.read_table(spark, _fit(spark, d)[2])
+
+
+_TEST_SQL = _signal_with(
+    keyed=f"SELECT *, {HASH_SQL} % 100 < 80 AS train FROM features",
+    mm="""SELECT min(normalized_business_review_count) AS lo_b, max(normalized_business_review_count) AS hi_b,
+  min(normalized_user_review_count) AS lo_u, max(normalized_user_review_count) AS hi_u FROM keyed WHERE train""")
+
+
+@query("predictions", _TEST_SQL + f"""
+SELECT review_id, review_stars, text, is_high_star AS label, round(class_weight, {ROUND}) AS class_weight,
+  round((normalized_business_review_count - lo_b) / (hi_b - lo_b), {ROUND}) AS scaled_business,
+  round((normalized_user_review_count - lo_u) / (hi_u - lo_u), {ROUND}) AS scaled_user
+FROM keyed, mm WHERE NOT train""")
 def q_predictions(spark, d):
-    from ridgeline.plans import model as MO
-    _, pred = _fit(spark, d)
-    return MO.flatten_predictions(pred)
+    """Split, label, weight, assembled and scaled features of the written predictions."""
+    from pyspark.ml.functions import vector_to_array
+    scaled = vector_to_array("scaled_features")
+    return round_doubles(_predictions(spark, d).select(
+        "review_id", "review_stars", "text", "label", "class_weight",
+        scaled[0].alias("scaled_business"), scaled[1].alias("scaled_user")))
+
+
+_PREDICTION_COLUMNS = ("label", "numeric_features", "scaled_features", "rawPrediction", "probability", "prediction")
+
 
+@query("model_checks", _invariants_sql(
+    "probability_is_sigmoid", "prediction_is_half_or_more", "coefficients_not_zero", "auc_above_three_quarters",
+    "auc_near_exact", "reload_scores_alike", "all_columns_written"))
+def q_model_checks(spark, d):
+    """The fitted model by value: its coefficients give the probabilities, a reloaded copy the same scores."""
+    from pyspark.ml.classification import LogisticRegressionModel
+    from pyspark.ml.functions import vector_to_array
 
-@query("cv_metrics")
+    from ridgeline.plans import model as MO
+    model, features, _ = _fit(spark, d)
+    pred = _predictions(spark, d)
+    lr = MO.fitted_stage(model.bestModel, LogisticRegressionModel)
+    x, p = vector_to_array("scaled_features"), vector_to_array("probability")[1]
+    z = sum((F.lit(float(w)) * x[i] for i, w in enumerate(lr.coefficients)), F.lit(float(lr.intercept)))
+    off, wrong = pred.agg(F.max(F.abs(p - 1 / (1 + F.exp(-z)))), F.count_if((p > 0.5) != (F.col("prediction") == 1))).first()
+    path = scratch_path(spark, "model")
+    MO.save_model(model.bestModel, path)
+    again = MO.load_model(path).transform(features).select("review_id", vector_to_array("probability")[1].alias("q"))
+    differ = pred.select("review_id", p.alias("p")).join(again, "review_id").agg(F.count_if(F.abs(F.col("p") - F.col("q")) > 1e-12), F.count("*")).first()
+    binned, exact = MO.auc_ml(pred), M.auc_exact(MO.flatten_predictions(pred), "label", "probability_1").first()[0]
+    return _invariants(spark, {
+        "probability_is_sigmoid": off < 1e-9, "prediction_is_half_or_more": wrong == 0,
+        "coefficients_not_zero": all(abs(w) > 0.1 for w in lr.coefficients), "auc_above_three_quarters": exact > 0.75,
+        "auc_near_exact": abs(binned - exact) < 1e-3, "reload_scores_alike": differ[0] == 0 and differ[1] == pred.count(),
+        "all_columns_written": set(pred.columns) == {*features.columns, *_PREDICTION_COLUMNS}})
+
+
+@query("cv_metrics", "SELECT r AS regParam, e AS elasticNetParam, true AS plausible FROM (VALUES (CAST(0.01 AS DOUBLE)), (0.1), (1.0)) a(r), "
+       "(VALUES (CAST(0.0 AS DOUBLE)), (0.5), (1.0)) b(e)")
 def q_cv_metrics(spark, d):
+    """Every grid setting once, with a mean AUC over the folds between chance and 1."""
     from ridgeline.plans import model as MO
-    model, _ = _fit(spark, d)
-    return MO.cv_metrics(model)
+    plausible = F.col("avg_auc").between(0.45, 1.0) & (F.col("std_auc") >= 0)
+    return MO.cv_metrics(_fit(spark, d)[0]).select("regParam", "elasticNetParam", plausible.alias("plausible"))
 
 
-@query("auc_ml")
+@query("auc_ml", _invariants_sql("above_three_quarters", "below_one"))
 def q_auc_ml(spark, d):
     from ridgeline.plans import model as MO
-    _, pred = _fit(spark, d)
-    return spark.createDataFrame([(MO.auc_ml(pred),)], "auc double")
+    auc = MO.auc_ml(_predictions(spark, d))
+    return _invariants(spark, {"above_three_quarters": auc > 0.75, "below_one": auc < 1.0})
 
 
-@query("feature_importance")
+@query("feature_importance", "SELECT * FROM (VALUES ('normalized_business_review_count', true), ('normalized_user_review_count', true)) "
+       "t(feature, sorted_and_positive)")
 def q_feature_importance(spark, d):
+    """Both features, by descending magnitude; the target grows with both."""
     from ridgeline.plans import model as MO
-    model, _ = _fit(spark, d)
-    return MO.feature_importance(model.bestModel)
+    rows = MO.feature_importance(_fit(spark, d)[0].bestModel).collect()
+    size = [r.abs_coefficient for r in rows]
+    good = size == sorted(size, reverse=True)
+    return spark.createDataFrame([(r.feature, good and r.coefficient > 0 and r.abs_coefficient == abs(r.coefficient)) for r in rows],
+                                 "feature string, sorted_and_positive boolean")
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", _TEST_SQL + "SELECT review_id, is_high_star AS label, true AS alike FROM keyed WHERE NOT train")
 def q_model_roundtrip(spark, d):
-    """Save the best pipeline, load it back, score the held-out rows with the copy."""
+    """Save the best pipeline, load it back, score the held-out rows with the copy: alike row by row."""
     from ridgeline.plans import model as MO
-    model, _ = _fit(spark, d)
+    model, features, _ = _fit(spark, d)
     path = scratch_path(spark, "model")
     MO.save_model(model.bestModel, path)
-    loaded = MO.load_model(path)
-    _, test = MO.split_train_test(_features(spark, d))
-    return MO.flatten_predictions(loaded.transform(test))
+    _, test = MO.split_train_test(features)
+    copy = MO.flatten_predictions(MO.load_model(path).transform(test)).select("review_id", F.col("probability_1").alias("q"), F.col("prediction").alias("b"))
+    own = MO.flatten_predictions(_predictions(spark, d))
+    alike = (F.abs(F.col("probability_1") - F.col("q")) < 1e-12) & (F.col("prediction") == F.col("b"))
+    return own.join(copy, "review_id").select("review_id", "label", alike.alias("alike"))
 
 
 @query("correlation_ml", ORACLE["correlation"])
@@ -839,38 +1056,58 @@ def q_correlation_ml(spark, d):
     return round_doubles(out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr"))))
 
 
-@query("evaluation_report")
+@query("evaluation_report", _invariants_sql("roc_auc", "roc_auc_exact", "precision", "recall", "f1"))
 def q_evaluation_report(spark, d):
+    """The report, written by its sink and read back, against the metrics of the written predictions."""
     from ridgeline.plans import model as MO
-    _, pred = _fit(spark, d)
-    return MO.evaluation_report(pred)
-
-
-@query("model_probability_histogram")
+    pred = _predictions(spark, d)
+    path = scratch_path(spark, "report")
+    MO.write_report(MO.evaluation_report(pred), path)
+    stored = {r.metric: r.value for r in IO.read_json(spark, path, "metric string, value double").collect()}
+    flat = MO.flatten_predictions(pred)
+    want = {**M.precision_recall_f1(flat).first().asDict(), "roc_auc": MO.auc_ml(pred),
+            "roc_auc_exact": M.auc_exact(flat, "label", "probability_1").first()[0]}
+    return _invariants(spark, {k: k in stored and abs(stored[k] - v) < 1e-6 for k, v in want.items()})
+
+
+@query("model_probability_histogram", _TEST_SQL + "SELECT is_high_star AS label, count(*) AS n, CAST(20 AS BIGINT) AS bins FROM keyed "
+       "WHERE NOT train GROUP BY 1")
 def q_model_probability_histogram(spark, d):
-    """Predicted probability of class 1, 20 shared bins, split by true label."""
+    """Predicted probability of class 1, 20 shared bins, by true label: every held-out row is in one bin."""
     from ridgeline.plans import model as MO
-    _, pred = _fit(spark, d)
-    return H.histogram(MO.flatten_predictions(pred), "probability_1", 20, by="label")
+    bins = H.histogram(MO.flatten_predictions(_predictions(spark, d)), "probability_1", 20, by="label")
+    return bins.groupBy("label").agg(F.sum("n").alias("n"), F.count("*").alias("bins"))
 
 
-@query("model_roc_curve")
+@query("model_roc_curve", _invariants_sql("starts_at_origin", "ends_at_one", "monotone", "area_is_auc"))
 def q_model_roc_curve(spark, d):
-    from ridgeline.plans import model as MO
-    _, pred = _fit(spark, d)
-    return M.roc_points(MO.flatten_predictions(pred), "label", "probability_1")
+    from pyspark.sql import Window
 
-
-@query("model_confusion_matrix")
+    from ridgeline.plans import model as MO
+    flat = MO.flatten_predictions(_predictions(spark, d))
+    points = M.roc_points(flat, "label", "probability_1")
+    order = Window.orderBy("fpr", "tpr")  # at most one point a row of the held-out set: a report, not a plan step
+    step = points.select("fpr", "tpr", F.lag("fpr", 1, 0.0).over(order).alias("f"), F.lag("tpr", 1, 0.0).over(order).alias("t"))
+    area, back, low, high = step.agg(F.sum((F.col("fpr") - F.col("f")) * (F.col("tpr") + F.col("t")) / 2),
+                                     F.count_if(F.col("tpr") < F.col("t")), F.min(F.col("fpr") + F.col("tpr")), F.max(F.col("fpr") + F.col("tpr"))).first()
+    exact = M.auc_exact(flat, "label", "probability_1").first()[0]
+    return _invariants(spark, {"starts_at_origin": low == 0, "ends_at_one": abs(high - 2) < 1e-12, "monotone": back == 0,
+                               "area_is_auc": abs(area - exact) < 1e-9})
+
+
+@query("model_confusion_matrix", _TEST_SQL + "SELECT is_high_star AS label, count(*) AS n, true AS learned FROM keyed WHERE NOT train GROUP BY 1")
 def q_model_confusion_matrix(spark, d):
+    """Confusion cells by true label: complete, and more right than wrong in each class."""
     from ridgeline.plans import model as MO
-    _, pred = _fit(spark, d)
-    return M.confusion_matrix(MO.flatten_predictions(pred), "label", "prediction")
+    cells = M.confusion_matrix(MO.flatten_predictions(_predictions(spark, d)), "label", "prediction")
+    right = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0))
+    return cells.groupBy("label").agg(F.sum("n").alias("n"), (right * 2 > F.sum("n")).alias("learned"))
 
 
-@query("model_probability_density")
+@query("model_probability_density", "SELECT * FROM (VALUES (0, true), (1, true)) t(label, integrates_to_one)")
 def q_model_probability_density(spark, d):
-    """Density curve of the predicted probability per true label."""
+    """Density curve of the predicted probability per true label, over a grid wide enough to hold its mass."""
     from ridgeline.plans import model as MO
-    _, pred = _fit(spark, d)
-    return H.density(MO.flatten_predictions(pred), "probability_1", by="label")
+    curve = H.density(MO.flatten_predictions(_predictions(spark, d)), "probability_1", by="label", cut=4.0)
+    step = (F.max("x") - F.min("x")) / (H.DEFAULT_POINTS - 1)
+    return curve.groupBy("label").agg((F.abs(F.sum("density") * step - 1) < 0.01).alias("integrates_to_one"))

@@ -11,7 +11,7 @@ Every review links to a whole document: ``doc_id = event_id % count(documents)``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BASE_TABLES = (
@@ -105,8 +105,55 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("prediction", F.when(F.col("score") >= 0.5, F.lit(1)).otherwise(F.lit(0)))
 
 
+def review_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``review`` with stars that depend on both model features (the two review counts) and noise."""
+    def part(c: str, times: int, modulus: int) -> Column:
+        return (F.col(c) * times % modulus).cast("double") / F.lit(float(modulus))
+
+    score = part("business_id", 7, 500) + part("user_id", 13, 97) + part("review_id", 7919, 1000)
+    return review(spark, sf_dir).withColumn("stars", F.when(score >= 1.5, F.lit(5.0)).otherwise(F.lit(2.0)))
+
+
+def business_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``business`` with a value out of range in every checked column."""
+    k = F.col("business_id")
+    return business(spark, sf_dir).withColumns({
+        "stars": F.when(k % 23 == 0, F.lit(0.5)).otherwise(F.col("stars")),
+        "latitude": F.when(k % 13 == 0, F.lit(95.0)).otherwise(F.col("latitude")),
+        "longitude": F.when(k % 17 == 0, F.lit(-200.0)).otherwise(F.col("longitude")),
+        "review_count": F.when(k % 19 == 0, F.lit(-5)).otherwise(F.col("review_count")).cast("bigint"),
+    })
+
+
+# The user table's compliment columns.
+COMPLIMENTS = tuple(f"compliment_{x}" for x in (
+    "cool", "cute", "funny", "hot", "list", "more", "note", "photos", "plain", "profile", "writer"))
+
+
+def users_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``users`` with compliment counts, and negative values in every checked column."""
+    k = F.col("user_id")
+    return users(spark, sf_dir).withColumns({
+        "fans": F.when(k % 29 == 0, F.lit(-1)).otherwise(F.col("fans")).cast("bigint"),
+        **{c: F.when(k % (31 + i) == 0, F.lit(-1)).otherwise(k * (i + 1) % 50).cast("bigint") for i, c in enumerate(COMPLIMENTS)},
+    })
+
+
+def checkin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review(spark, sf_dir).select("business_id", "date")
+
+
+def tip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review(spark, sf_dir).select("user_id", "business_id", "text", "date", F.col("useful").alias("compliment_count"))
+
+
 VIEWS = {
     "review": review,
+    "review_signal": review_signal,
+    "business_dirty": business_dirty,
+    "users_dirty": users_dirty,
+    "checkin": checkin,
+    "tip": tip,
     "business": business,
     "users": users,
     "review_dirty": review_dirty,
@@ -143,6 +190,24 @@ SELECT review_id, user_id, business_id,
   CASE WHEN review_id % 4 = 0 THEN NULL ELSE text END AS text,
   CASE WHEN review_id % 10 = 0 THEN NULL ELSE date END AS date
 FROM review""",
+    "review_signal": """
+SELECT review_id, user_id, business_id,
+  CAST(CASE WHEN CAST(business_id * 7 % 500 AS DOUBLE) / CAST(500 AS DOUBLE) + CAST(user_id * 13 % 97 AS DOUBLE) / CAST(97 AS DOUBLE)
+    + CAST(review_id * 7919 % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) >= CAST(1.5 AS DOUBLE) THEN 5 ELSE 2 END AS DOUBLE) AS stars,
+  useful, funny, cool, text, date
+FROM review""",
+    "business_dirty": """
+SELECT business_id, name, CASE WHEN business_id % 23 = 0 THEN CAST(0.5 AS DOUBLE) ELSE stars END AS stars, is_open,
+  CASE WHEN business_id % 13 = 0 THEN CAST(95 AS DOUBLE) ELSE latitude END AS latitude,
+  CASE WHEN business_id % 17 = 0 THEN CAST(-200 AS DOUBLE) ELSE longitude END AS longitude,
+  CASE WHEN business_id % 19 = 0 THEN CAST(-5 AS BIGINT) ELSE review_count END AS review_count
+FROM business""",
+    "users_dirty": "SELECT user_id, average_stars, review_count, CASE WHEN user_id % 29 = 0 THEN CAST(-1 AS BIGINT) ELSE fans END AS fans, "
+                   "cool, funny, useful, " + ", ".join(
+                       f"CAST(CASE WHEN user_id % {31 + i} = 0 THEN -1 ELSE user_id * {i + 1} % 50 END AS BIGINT) AS {c}"
+                       for i, c in enumerate(COMPLIMENTS)) + " FROM users",
+    "checkin": "SELECT business_id, date FROM review",
+    "tip": "SELECT user_id, business_id, text, date, useful AS compliment_count FROM review",
     "scored": """
 SELECT review_id, label, score, CASE WHEN score >= CAST(0.5 AS DOUBLE) THEN 1 ELSE 0 END AS prediction
 FROM (SELECT review_id, CAST(CASE WHEN stars >= 4 THEN 1 ELSE 0 END AS INTEGER) AS label,
@@ -156,6 +221,11 @@ _DEPENDS = {
     "users": (),
     "review_dirty": ("review",),
     "scored": ("review",),
+    "review_signal": ("review",),
+    "business_dirty": ("business",),
+    "users_dirty": ("users",),
+    "checkin": ("review",),
+    "tip": ("review",),
 }
 
 

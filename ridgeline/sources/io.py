@@ -1,4 +1,4 @@
-"""Readers, writers and table inspection (S1-S4, S6-S8, L4 input size)."""
+"""Readers, writers and table inspection (S1-S4, S6-S8)."""
 
 from __future__ import annotations
 
@@ -6,26 +6,20 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-# Fixed values from the reference: above this input size the profile runs on a
-# sample, and the cleaned write uses (at least) this many partitions.
-EDA_SIZE_CAP_BYTES = 2 ** 29
-LARGE_WRITE_PARTITIONS = 200
-# Ours: above the cap, one output partition per this many input bytes, so files stay
-# bounded however large the input is.
-INPUT_BYTES_PER_FILE = 2 ** 30
+CORRUPT = "_corrupt_record"
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None,
-              mode: str = "DROPMALFORMED", sampling_ratio: float = 1.0) -> DataFrame:
+              mode: str = "PERMISSIVE", sampling_ratio: float = 1.0) -> DataFrame:
     """JSON-lines scan.  Without a schema Spark infers one, which is one extra pass over
     the files; ``sampling_ratio < 1`` infers from a sample of the lines instead (at
     large scale, or pass the schema of a previous run).
 
-    ``DROPMALFORMED`` drops unparsable lines instead of adding ``_corrupt_record``
-    (which would make a drop-any-null policy remove every good row); ``PERMISSIVE``
-    stays selectable.
+    ``PERMISSIVE`` keeps every line: a malformed one is a row of NULLs with its text in
+    ``_corrupt_record`` (a column that inference adds when there is one, or that the schema
+    names).  ``DROPMALFORMED`` leaves such lines out.
     """
     reader = spark.read.option("mode", mode)
     if schema is not None:
@@ -35,6 +29,16 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
     return reader.json(path)
 
 
+def read_json_lines(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """JSON-lines scan that always has ``_corrupt_record`` as its last column (NULL for good lines).
+
+    Spark refuses a query that reads no other column of raw JSON; aggregate another one with it."""
+    if schema is None:
+        schema = read_json(spark, path).schema
+    fields = [f for f in schema.fields if f.name != CORRUPT]
+    return read_json(spark, path, StructType([*fields, StructField(CORRUPT, StringType())]))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Parquet scan (vectorised; filters and projections reach the reader)."""
     return spark.read.parquet(path)
@@ -47,50 +51,22 @@ def load_tables(spark: SparkSession, base: str, names: Iterable[str],
     return {n: spark.read.parquet(f"{base}/{n}{suffix}") for n in names}
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partitions: int | None = None, shuffle: bool = False) -> None:
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partitions: int | None = None) -> None:
     """Parquet sink.  By default the plan's own partitioning is written as is.
 
-    ``partitions`` sets the output partition count: without ``shuffle`` by merging
-    partitions (``coalesce``: no data movement; it can only reduce the count), with
-    ``shuffle`` by a round-robin ``repartition`` (even files, one full shuffle)."""
-    out = df
-    if partitions:
-        out = df.repartition(partitions) if shuffle else df.coalesce(partitions)
-    out.write.mode(mode).parquet(path)
+    ``partitions`` repartitions the rows evenly to that many files (one full shuffle)."""
+    (df.repartition(partitions) if partitions else df).write.mode(mode).parquet(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def input_bytes(df: DataFrame) -> DataFrame:
-    """One row ``(input_bytes, input_files)``: total size of the files behind a file scan.
-
-    Uses the hidden ``_metadata`` column, so it works on any file source and reads no
-    data columns; the per-file rows are grouped on the executors.
-    """
-    files = df.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size"),
-    ).groupBy("file_path").agg(F.max("file_size").alias("file_size"))
-    return files.agg(
-        F.coalesce(F.sum("file_size"), F.lit(0)).cast("bigint").alias("input_bytes"),
-        F.count(F.lit(1)).alias("input_files"),
-    )
-
-
-def write_partitions_for(df: DataFrame, cap: int = EDA_SIZE_CAP_BYTES,
-                         large: int = LARGE_WRITE_PARTITIONS,
-                         bytes_per_file: int = INPUT_BYTES_PER_FILE) -> int | None:
-    """Output partitions for the cleaned write: above ``cap`` input bytes, ``large`` (the
-    reference's count) or one per ``bytes_per_file`` input bytes if that is more.
-
-    Returns None below the cap: keep the input's partitioning (the reference's rule)."""
-    total = input_bytes(df).first()["input_bytes"]
-    if total <= cap:
-        return None
-    return max(large, -(-total // bytes_per_file))
+def input_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """One row ``(input_bytes, input_files)`` of a path, from the file listing (no file is opened)."""
+    files = spark.read.format("binaryFile").load(path).select("length")
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("input_bytes"),
+                     F.count(F.lit(1)).alias("input_files"))
 
 
 def schema_table(df: DataFrame) -> DataFrame:

@@ -1,20 +1,22 @@
 """Landing (JSON) -> cleaned (Parquet) zone job (S5, S6).
 
-One lazy plan per table: JSON scan -> cleaning policy -> Parquet write.  The write
-uses the reference's partition rule (200 partitions above 2^29 input bytes, else the
-plan's own partitioning).  The summary is computed by reading both zones back, so it
-reports what was actually written.
+Per table: one schema inference (none if the caller gives the schema), one pass for the
+null counts that the sparse-column rule needs, and one pass that cleans and writes.  The rows
+read, the malformed lines among them and the rows written are observed during that write.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ridgeline.operators.clean import DEFAULT_POLICY, clean
-from ridgeline.sources.io import read_json, write_parquet, write_partitions_for
+from ridgeline.sources.io import CORRUPT, read_json_lines, write_parquet
+
+SUMMARY = "table string, rows_in bigint, malformed bigint, rows_out bigint, cols_in int, cols_out int"
 
 
 def landing_path(landing: str, name: str) -> str:
@@ -25,38 +27,42 @@ def cleaned_path(cleaned: str, name: str) -> str:
     return f"{cleaned.rstrip('/')}/{name}.parquet"
 
 
-def clean_table(spark: SparkSession, landing: str, cleaned: str, name: str,
-                policy: str = DEFAULT_POLICY, eda_path: str | None = None) -> None:
-    """Clean one landed table.  With ``eda_path``, first write its profile there as JSON
-    lines: on all rows, or on a byte-capped Bernoulli sample when the input is larger
-    than the cap (the reference's rule); the cleaning itself always uses every row."""
-    raw = read_json(spark, landing_path(landing, name))
+def good_lines(lines: DataFrame) -> DataFrame:
+    return lines.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def clean_table(spark: SparkSession, landing: str, cleaned: str, name: str, policy: str = DEFAULT_POLICY,
+                eda_path: str | None = None, schema: StructType | None = None, partitions: int | None = None) -> tuple:
+    """Clean one landed table; returns its row of the summary.
+
+    With ``eda_path``, first write its profile there as JSON lines, over all rows.  A
+    malformed line is counted, in ``rows_in`` too, and not written.  ``partitions`` sets the
+    number of files written."""
+    lines = read_json_lines(spark, landing_path(landing, name), schema)
+    good = good_lines(lines)
     if eda_path:
         from ridgeline.operators.profile import profile_long
-        from ridgeline.operators.sampling import sample_to_bytes
-
-        profile_long(sample_to_bytes(raw), name).write.mode("overwrite").json(
-            f"{eda_path.rstrip('/')}/{name}")
-    out = clean(raw, policy)
-    write_parquet(out, cleaned_path(cleaned, name), partitions=write_partitions_for(raw))
-
-
-def clean_zone(spark: SparkSession, landing: str, cleaned: str, names: Iterable[str],
-               policy: str = DEFAULT_POLICY, eda_path: str | None = None) -> DataFrame:
-    """Clean every named table; return ``(table, rows_in, rows_out, cols_in, cols_out)``."""
-    names = list(names)
-    for n in names:
-        clean_table(spark, landing, cleaned, n, policy, eda_path)
-    parts = []
-    for n in names:
-        raw = read_json(spark, landing_path(landing, n))
-        done = spark.read.parquet(cleaned_path(cleaned, n))
-        rows_out = done.agg(F.count(F.lit(1))).scalar()
-        parts.append(raw.agg(F.count(F.lit(1)).alias("rows_in")).select(
-            F.lit(n).alias("table"), "rows_in", rows_out.alias("rows_out"),
-            F.lit(len(raw.columns)).alias("cols_in"), F.lit(len(done.columns)).alias("cols_out"),
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+        profile_long(good, name).write.mode("overwrite").json(f"{eda_path.rstrip('/')}/{name}")
+    kept = clean(good, policy).columns  # one pass: the null counts decide which columns stay
+    read, wrote = Observation(), Observation()
+    counted = lines.observe(read, F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("malformed"))
+    out = clean_rows(good_lines(counted), kept, policy).observe(wrote, F.count(F.lit(1)).alias("rows"))
+    write_parquet(out, cleaned_path(cleaned, name), partitions=partitions)
+    return (name, read.get["rows"], read.get["malformed"], wrote.get["rows"], len(good.columns), len(kept))
+
+
+def clean_rows(df: DataFrame, kept: list[str], policy: str) -> DataFrame:
+    """The row part of a policy on a table of which the columns ``kept`` (after renaming) stay."""
+    from ridgeline.operators.clean import POLICIES, drop_null_rows, normalise_names, validity_filter
+
+    out = (normalise_names(df) if POLICIES[policy]["rename"] else df).select(*[F.col(f"`{c}`") for c in kept])
+    return drop_null_rows(validity_filter(out) if POLICIES[policy]["validate"] else out)
+
+
+def clean_zone(spark: SparkSession, landing: str, cleaned: str, names: Iterable[str], policy: str = DEFAULT_POLICY,
+               eda_path: str | None = None, schemas: Mapping[str, StructType] | None = None,
+               partitions: int | None = None) -> DataFrame:
+    """Clean every named table; return ``(table, rows_in, malformed, rows_out, cols_in, cols_out)``."""
+    rows = [clean_table(spark, landing, cleaned, n, policy, eda_path, (schemas or {}).get(n), partitions) for n in names]
+    return spark.createDataFrame(rows, SUMMARY)

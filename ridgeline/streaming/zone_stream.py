@@ -6,6 +6,9 @@ stream.  The sparse-column step cannot: it needs null fractions over the whole t
 so a streaming job takes the dropped columns as a parameter (for example the list a
 batch :func:`ridgeline.operators.clean.sparse_columns` run produced).
 
+Malformed lines become rows of NULLs, which the null-row step removes; a schema that names
+``_corrupt_record`` keeps their text for a step of the caller's own.
+
 The stream reads JSON files with a fixed schema (no inference on a stream), writes
 Parquet, and keeps its progress in a checkpoint under the shared folder, so a restarted
 job resumes and files are written exactly once.
@@ -35,7 +38,7 @@ def start_clean_stream(spark: SparkSession, landing: str, cleaned: str, checkpoi
                        available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream.  ``available_now`` processes what has landed and stops (a
     scheduled incremental batch); otherwise it keeps running on new files."""
-    reader = spark.readStream.schema(schema).option("mode", "DROPMALFORMED")
+    reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = clean_rows(reader.json(landing), drop, validate)

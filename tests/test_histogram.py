@@ -103,18 +103,38 @@ def test_density_constant_is_null(spark):
     assert len(out) == 5 and all(r.density is None for r in out)
 
 
-def test_running_sums_many_buckets_when_keys_exceed_cap(spark, monkeypatch):
-    from ridgeline.operators import ordered as O
-    monkeypatch.setattr(O, "MAX_KEYS_PER_BUCKET", 50)
-    edges = O.range_edges(spark.range(5000).selectExpr("CAST(id AS DOUBLE) AS k"), "k", buckets=8,
-                          max_keys_per_bucket=50)
-    assert 80 <= len(edges) <= 100
+def test_running_sums_with_outliers_and_infinities(spark):
     rng = np.random.default_rng(9)
-    keys = np.concatenate([rng.random(3000), [1e9]])  # heavy tail: one huge outlier
+    keys = np.concatenate([rng.random(3000), [1e9, float("inf"), float("-inf")]])  # heavy tail, infinite keys
     df = spark.createDataFrame([(float(k), 1) for k in keys], "k double, w long")
-    got = {r.k: r.cum_w for r in running_sums(df, "k", ["w"], buckets=8).collect()}
     order = np.argsort(keys)
-    assert [got[keys[i]] for i in order] == list(range(1, len(keys) + 1))
+    for buckets in (1, 8, 100):
+        got = {r.k: r.cum_w for r in running_sums(df, "k", ["w"], buckets=buckets).collect()}
+        assert [got[keys[i]] for i in order] == list(range(1, len(keys) + 1))
+
+
+def test_running_sums_by_group(spark):
+    rows = [(g, float(i * 37 % 101), 1) for g in ("a", "b") for i in range(101)]
+    out = running_sums(spark.createDataFrame(rows, "g string, k double, w long"), "k", ["w"], buckets=4, by=["g"]).collect()
+    assert all(r.cum_w == r.k + 1 for r in out) and len(out) == 202
+
+
+def test_infinite_values_and_null_groups(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 1.0), ("a", inf), ("a", -inf), ("a", 3.0)], "g string, v double")
+    for bins in (4, "auto"):
+        out = H.histogram(df, "v", bins, by="g").collect()
+        assert sum(r.n for r in out if r.g is None) == 2 and sum(r.n for r in out if r.g == "a") == 2
+    assert sum(r.n for r in H.histogram(df, "v", "auto").collect()) == 4
+    curve = H.density(df, "v", points=5, by="g").collect()
+    assert len(curve) == 10 and all(r.density > 0 for r in curve)
+
+
+def test_density_reach_is_exact_by_default(spark):
+    df = spark.createDataFrame([(0.0,), (0.1,), (0.2,), (1000.0,)], "v double")
+    far = H.density(df, "v", points=3).collect()
+    assert all(r.density > 0 for r in far)
+    assert len(H.density(df, "v", points=3, reach=1.0).collect()) == 3
 
 
 def test_numeric_histograms_per_column(spark):
@@ -156,14 +176,19 @@ def test_all_null_column_gives_empty_results(spark):
     assert q[0] is None
 
 
-def test_range_buckets_balanced_on_heavy_tail(spark):
-    from ridgeline.operators.ordered import bucket_by_range
+def test_ranges_balanced_on_heavy_tail(spark):
+    from pyspark.sql import functions as F
+
+    from ridgeline.operators.ordered import range_of
     rng = np.random.default_rng(21)
     keys = np.unique(np.concatenate([rng.pareto(0.7, 20000), [1e12, 1e15]]))
+    edges = np.quantile(keys, np.arange(1, 16) / 16)
     df = spark.createDataFrame([(float(k),) for k in keys], "k double")
-    sizes = [r["count"] for r in bucket_by_range(df, "k", "b", 16).groupBy("b").count().collect()]
-    assert sum(sizes) == len(keys) and len(sizes) >= 14
-    assert max(sizes) <= 2 * len(keys) / 16  # equal-width buckets would put nearly all in one
+    ranged = df.withColumn("b", range_of(F.array(*[F.lit(float(e)) for e in edges]), F.col("k"), 16))
+    assert all(r.b == np.searchsorted(edges, r.k, "right") for r in ranged.sample(0.1, seed=1).collect())
+    sizes = [r["count"] for r in ranged.groupBy("b").count().collect()]
+    assert sum(sizes) == len(keys) and len(sizes) == 16
+    assert max(sizes) <= 2 * len(keys) / 16  # equal-width ranges would put nearly all in one
 
 
 def test_grouped_histogram_auto_bins(spark):

@@ -1,5 +1,4 @@
 from conftest import SF_MID
-from ridgeline.operators.clean import clean
 from ridgeline.session import scratch_path, shared_dir
 from ridgeline.sources import fixtures as fx
 from ridgeline.sources import io as IO
@@ -14,13 +13,15 @@ def test_shared_dir_is_stable(spark):
 def test_json_malformed_and_nested(spark, tmp_path):
     p = tmp_path / "in.json"
     p.write_text('{"a": 1, "o": {"k": 2}, "arr": [1, 2]}\n{"a": 2, "o": null, "arr": []}\n{broken\n')
-    good = IO.read_json(spark, str(p))
-    assert good.count() == 2 and "_corrupt_record" not in good.columns
-    assert dict(good.dtypes)["o"].startswith("struct")
-    permissive = IO.read_json(spark, str(p), mode="PERMISSIVE")
-    assert "_corrupt_record" in permissive.columns
-    # a policy that drops null rows would remove every good row in permissive mode
-    assert clean(permissive.drop("o", "arr"), "rename").count() == 0
+    lines = IO.read_json_lines(spark, str(p))
+    assert lines.columns[-1] == IO.CORRUPT and [r.a for r in lines.where("a IS NOT NULL").sort("a").collect()] == [1, 2]
+    assert lines.where(f"{IO.CORRUPT} IS NOT NULL AND a IS NULL").count() == 1
+    good = Z.good_lines(lines)
+    assert len(good.collect()) == 2 and dict(good.dtypes)["o"].startswith("struct")
+    assert IO.read_json(spark, str(p), mode="DROPMALFORMED").count() == 2
+    clean_file = tmp_path / "good.json"
+    clean_file.write_text('{"a": 1}\n')
+    assert IO.read_json_lines(spark, str(clean_file)).columns == ["a", IO.CORRUPT]
 
 
 def test_parquet_roundtrip_and_schema(spark):
@@ -35,13 +36,9 @@ def test_parquet_roundtrip_and_schema(spark):
     assert [(r.pos, r.column, r.type) for r in st][:2] == [(0, "business_id", "bigint"), (1, "name", "string")]
 
 
-def test_input_bytes_and_partition_rule(spark):
-    ev = fx.base(spark, SF_MID, "events")
-    r = IO.input_bytes(ev).first()
-    assert r.input_files == 1 and r.input_bytes > 0
-    assert IO.write_partitions_for(ev) is None
-    assert IO.write_partitions_for(ev, cap=10) == 200
-    assert IO.write_partitions_for(ev, cap=10, bytes_per_file=r.input_bytes // 300) >= 300
+def test_input_bytes(spark):
+    r = IO.input_bytes(spark, f"{SF_MID}/events.parquet").first()
+    assert r.input_files == 1 and r.input_bytes == 220511
 
 
 def test_clean_zone(spark):
@@ -80,11 +77,40 @@ def test_load_tables(spark):
     assert set(t) == {"supplier", "customer"} and t["supplier"].count() == 100
 
 
-def test_write_parquet_partition_modes(spark):
-    df = fx.review(spark, SF_MID).select("review_id", "stars").repartition(6)
-    for shuffle, want in ((False, 3), (True, 4)):
+def test_write_parquet_partitions(spark):
+    df = fx.review(spark, SF_MID).select("review_id", "stars").repartition(2)
+    for want in (1, 7):  # fewer and more files than the input has partitions
         path = scratch_path(spark, "parts")
-        IO.write_parquet(df, path, partitions=3 if not shuffle else 4, shuffle=shuffle)
+        IO.write_parquet(df, path, partitions=want)
         back = IO.read_table(spark, path)
         assert back.count() == 10000
         assert len(back.inputFiles()) == want
+
+
+def test_profile_of_a_large_table_reads_every_row(spark, tmp_path):
+    landing = scratch_path(spark, "landing")
+    path = Z.landing_path(landing, "big")
+    spark.range(5000).selectExpr("id", "id % 7 AS k").write.json(path)
+    spark.createDataFrame([("{oops",)], "value string").write.mode("append").text(path)
+    eda = scratch_path(spark, "eda")
+    row = Z.clean_zone(spark, landing, scratch_path(spark, "cleaned"), ["big"], eda_path=eda, partitions=3).first()
+    assert (row.rows_in, row.malformed, row.rows_out) == (5001, 1, 5000)
+    prof = {(r.column, r.metric): r.value for r in spark.read.json(f"{eda}/big").collect()}
+    assert prof["id", "distinct"] == 5000 and prof["id", "max"] == 4999 and prof["k", "count"] == 5000
+
+
+def test_shared_dir_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        shared_dir(SimpleNamespace(sparkContext=sc))
+
+
+def test_every_review_has_its_document(spark):
+    docs = fx.base(spark, SF_MID, "documents").agg({"doc_id": "min", "*": "count"}).first()
+    ids = fx.base(spark, SF_MID, "documents").select("doc_id").distinct().count()
+    assert docs["min(doc_id)"] == 0 and ids == docs["count(1)"]
+    assert fx.review(spark, SF_MID).count() == fx.base(spark, SF_MID, "events").count()

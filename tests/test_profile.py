@@ -1,7 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
-
 from conftest import SF_MID, SF_SMALL
 from ridgeline.operators import profile as P
 from ridgeline.plans import features as FE
@@ -98,7 +96,27 @@ def test_text_length_stats(spark):
     r = P.text_length_stats(df).first()
     assert (r.min_length, r.max_length, r.mean_length) == (2, 4, 3.0)
     assert abs(r.stddev_length - math.sqrt(2)) < 1e-12
-    assert F is not None
+
+
+def test_missing_columns_give_empty_results(spark):
+    df = spark.createDataFrame([("a",)], "name string")
+    assert P.date_range(df).collect() == [] and P.text_length_stats(df).collect() == []
+    assert P.describe_numeric(df).collect() == [] and P.numeric_stats(df).columns == []
+
+
+def test_correlation_far_from_zero(spark):
+    rows = [(1.7e9 + i % 10, 1.7e9 - i % 10, float(i % 10), 5.0) for i in range(1000)]
+    got = {(r.x, r.y): r["corr"] for r in P.correlation_long(spark.createDataFrame(rows, "x double, y double, z double, c double")).collect()}
+    assert abs(got["x", "y"] + 1) < 1e-9 and abs(got["x", "x"] - 1) < 1e-9 and abs(got["y", "z"] + 1) < 1e-9
+    assert got["c", "x"] is None
+    from ridgeline.plans.model import correlation_ml
+    ml = {(r.x, r.y): r["corr"] for r in correlation_ml(spark.createDataFrame([r[:3] for r in rows], "x double, y double, z double")).collect()}
+    assert all(abs(got[k] - v) < 1e-9 for k, v in ml.items())
+
+
+def test_distinct_of_long_strings(spark):
+    df = spark.createDataFrame([("a" * 100,), ("a" * 100,), ("a" * 99 + "b",), (None,), ("x",)], "t string")
+    assert P.distinct_counts(df).first().n_distinct == 4
 
 
 def test_approx_distinct_close_to_exact(spark):

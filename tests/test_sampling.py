@@ -1,7 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
-
 from conftest import SF_MID
 from ridgeline.operators import sampling as L
 from ridgeline.sources import fixtures as fx
@@ -32,12 +30,19 @@ def test_sample_rows_within_five_sigma(spark):
     assert abs(n - 1000) < 5 * math.sqrt(10000 * 0.1 * 0.9)
 
 
-def test_sample_to_bytes(spark):
+def test_sample_fraction(spark):
     ev = fx.base(spark, SF_MID, "events")
-    assert L.sample_to_bytes(ev).count() == 10000  # far below the cap: all rows
-    size = ev.select(F.col("_metadata.file_size")).first()[0]
-    n = L.sample_to_bytes(ev, cap=size // 4, seed=5).count()
-    assert abs(n - 2500) < 5 * math.sqrt(10000 * 0.25 * 0.75)
+    assert L.sample_fraction(ev, "event_id", 1.0).count() == 10000
+    drawn = L.sample_fraction(ev.repartition(5), "event_id", 0.25).collect()
+    assert abs(len(drawn) - 2500) < 5 * math.sqrt(10000 * 0.25 * 0.75)
+    assert {r.sample_fraction for r in drawn} == {0.25}
+    assert L.fraction_for_bytes(100, 100) == 1.0 and L.fraction_for_bytes(400, 100) == 0.25
+
+
+def test_folds_are_independent_of_a_small_split(spark):
+    r = fx.review(spark, SF_MID).select("review_id")
+    train, _ = L.split_hash(r, "review_id", 3)
+    assert {x.fold for x in L.fold_of(train, "review_id", 5).collect()} == {0, 1, 2, 3, 4}
 
 
 def test_split_random_partitions_all_rows(spark):

@@ -56,6 +56,19 @@ def test_hot_key_split_by_aqe(spark):
                 spark.conf.set(k, v)
 
 
+def test_star_join_shuffles_the_fact_once(spark):
+    from ridgeline.plans.features import build_features
+    from ridgeline.session import scratch_path
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(k, "-1")
+    try:
+        out = build_features(*_frames(spark, 3000), staging=scratch_path(spark, "star"))
+        assert "Join" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 3000
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
+
+
 def test_salted_star_join_equals_plain(spark):
     r, b, u = _frames(spark, 6000)
     plain = sorted(tuple(x) for x in enrich(r, b, u).collect())
