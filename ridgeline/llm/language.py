@@ -34,7 +34,9 @@ FAMILIES: dict[str, tuple[str, ...]] = {
 BITS = 16
 COLUMNS = 1 << BITS
 #: Documents a language that the machines are fitted on, about.
-SAMPLE = 1_500
+SAMPLE = 800
+#: Bytes of text that are worked on at once (a longer text is one block).
+BLOCK_BYTES = 1 << 18
 #: Scale of the frequencies, so that rows have about unit length.
 SCALE = 20.0
 
@@ -78,7 +80,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``lang, share, fold, columns, values`` of ``lang, share, fold, text``."""
     for batch in batches:
         data, offsets = text_bytes(batch.column(3))
-        for first, last in row_blocks(offsets):
+        for first, last in row_blocks(offsets, BLOCK_BYTES):
             low = offsets[first]
             row, column = grams(data[low:offsets[last]], offsets[first:last + 1] - low)
             key, count = np.unique(row * COLUMNS + column, return_counts=True)
@@ -113,8 +115,7 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = 1 / table.column("share").to_numpy()
         fold = table.column("fold").to_numpy()
         lists, values = (table.column(c).combine_chunks() for c in ("columns", "values"))
-        rows = Rows(lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy().astype(np.int64),
-                    values.values.to_numpy().astype(np.float64))
+        rows = Rows(lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy(), values.values.to_numpy())
         model = {"families": {k: sorted(set(lang[kin == k])) for k in sorted(set(kin))}, "machines": {}}
 
         def pairs(names: np.ndarray) -> None:
@@ -186,8 +187,7 @@ def with_language(docs: DataFrame, model: bytes) -> DataFrame:
         fitted = pickle.loads(model)
         for batch in batches:
             data, offsets = text_bytes(batch.column(text))
-            found: list[tuple] = []
-            for first, last in row_blocks(offsets):
+            for first, last in row_blocks(offsets, BLOCK_BYTES):
                 low, n = offsets[first], last - first
                 block, at = data[low:offsets[last]], offsets[first:last + 1] - low
                 known = _has_letter(block, at) if fitted else np.zeros(n, bool)
@@ -206,10 +206,9 @@ def with_language(docs: DataFrame, model: bytes) -> DataFrame:
                             pick = inner.argmax(axis=1)
                             names[own] = np.array(members, object)[pick]
                             score[own] = chance[own, k] * inner[np.arange(len(own)), pick]
-                found.append((names, score))
-            names = pa.array([x for part, _ in found for x in part], pa.string())
-            score = pa.array(np.concatenate([x for _, x in found]) if found else np.zeros(0))
-            yield pa.RecordBatch.from_arrays([*batch.columns, names, score], [*batch.schema.names, "lang_pred", "lang_score"])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(first, n).columns, pa.array(names.tolist(), pa.string()), pa.array(score)],
+                    [*batch.schema.names, "lang_pred", "lang_score"])
 
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())]
     return docs.mapInArrow(predict, T.StructType([*docs.schema.fields, *added]))

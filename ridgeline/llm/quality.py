@@ -26,8 +26,10 @@ from ridgeline.llm.svm import Rows, hinge_svm, platt, sigmoid
 #: Hashed features: words and word pairs, then shapes.
 WORD_BITS, SHAPE_BITS = 18, 14
 COLUMNS = (1 << WORD_BITS) + (1 << SHAPE_BITS)
+#: Bytes of text that are worked on at once (a longer text is one block).
+BLOCK_BYTES = 1 << 18
 #: Labelled documents a class that the model is fitted on, about.
-SAMPLE = 6_000
+SAMPLE = 4_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -79,7 +81,7 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """``label, share, fold, columns`` of ``label, share, fold, text``."""
     for batch in batches:
         data, offsets = text_bytes(batch.column(3))
-        for first, last in row_blocks(offsets):
+        for first, last in row_blocks(offsets, BLOCK_BYTES):
             low = offsets[first]
             row, column = features(data[low:offsets[last]], offsets[first:last + 1] - low)
             at = np.searchsorted(row, np.arange(last - first + 1))
@@ -100,8 +102,8 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     weight = 1 / table.column("share").to_numpy()
     fold = table.column("fold").to_numpy()
     lists = table.column("columns").combine_chunks()
-    column = lists.values.to_numpy().astype(np.int64)
-    rows = Rows(lists.offsets.to_numpy().astype(np.int64), column, np.ones(len(column)))
+    column = lists.values.to_numpy()
+    rows = Rows(lists.offsets.to_numpy().astype(np.int64), column, np.ones(len(column), np.float32))
     if (label > 0).all() or (label < 0).all():  # one class: its score is certain
         yield pa.RecordBatch.from_arrays(
             [pa.array([pickle.dumps((np.zeros(COLUMNS, np.float32), 0.0, 1.0, 8.0 * label[0]))], pa.binary())], ["model"])
@@ -128,10 +130,10 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unit(rows: Rows, ratio: np.ndarray) -> np.ndarray:
-    scaled = ratio[rows.column]
-    total = np.concatenate(([0.0], np.cumsum(scaled ** 2)))
+    scaled = ratio[rows.column].astype(np.float32)
+    total = np.concatenate(([0.0], np.cumsum(scaled ** 2, dtype=np.float64)))
     norm = np.sqrt(np.maximum(total[rows.at[1:]] - total[rows.at[:-1]], 1e-12))
-    return scaled / np.repeat(norm, np.diff(rows.at))
+    return scaled / np.repeat(norm, np.diff(rows.at)).astype(np.float32)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 0) -> bytes:
@@ -166,7 +168,7 @@ def score_quality(docs: DataFrame, model: bytes, limit: float = 0.7) -> DataFram
         fitted = pickle.loads(model)
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            for first, last in row_blocks(offsets):
+            for first, last in row_blocks(offsets, BLOCK_BYTES):
                 low, n = offsets[first], last - first
                 if fitted is None:
                     p = np.full(n, 0.5)

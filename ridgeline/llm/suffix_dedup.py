@@ -239,25 +239,27 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All columns but ``text`` and ``spans``, then ``n_bytes, n_removed, n_spans, kept``."""
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
-        out: list[tuple] = []
-        for k, spans in enumerate(batch.column("spans").to_pylist()):
-            raw = data[offsets[k]:offsets[k + 1]]
-            if not spans:
-                out.append((len(raw), 0, 0, raw.tobytes()))
-                continue
-            low = np.minimum(np.array([s["low"] for s in spans]), len(raw))
-            high = np.minimum(low + np.array([s["n"] for s in spans]) + LENGTH - 1, len(raw))
-            depth = np.zeros(len(raw) + 1, np.int32)
-            np.add.at(depth, low, 1)
-            np.add.at(depth, high, -1)
-            gone = np.cumsum(depth[:-1]) > 0
-            begins = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-            out.append((len(raw), int(gone.sum()), begins, raw[~gone].tobytes()))
-        columns = list(zip(*out)) or [(), (), (), ()]
         others = [c for c in batch.schema.names if c not in ("text", "spans")]
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in others), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())],
-            [*others, "n_bytes", "n_removed", "n_spans", "kept"])
+        for first, last in row_blocks(offsets):
+            part = batch.slice(first, last - first)
+            out: list[tuple] = []
+            for k, spans in enumerate(part.column("spans").to_pylist(), first):
+                raw = data[offsets[k]:offsets[k + 1]]
+                if not spans:
+                    out.append((len(raw), 0, 0, raw.tobytes()))
+                    continue
+                low = np.minimum(np.array([s["low"] for s in spans]), len(raw))
+                high = np.minimum(low + np.array([s["n"] for s in spans]) + LENGTH - 1, len(raw))
+                depth = np.zeros(len(raw) + 1, np.int32)
+                np.add.at(depth, low, 1)
+                np.add.at(depth, high, -1)
+                gone = np.cumsum(depth[:-1]) > 0
+                begins = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+                out.append((len(raw), int(gone.sum()), begins, raw[~gone].tobytes()))
+            columns = list(zip(*out))
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in others), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())],
+                [*others, "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:

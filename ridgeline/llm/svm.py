@@ -22,7 +22,7 @@ class Rows:
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
         """Row sums of ``weights[column] * value``."""
-        total = np.concatenate(([0.0], np.cumsum(weights[self.column] * self.value)))
+        total = np.concatenate(([0.0], np.cumsum(weights[self.column] * self.value, dtype=np.float64)))
         return total[self.at[1:]] - total[self.at[:-1]]
 
 
@@ -33,7 +33,7 @@ def hinge_svm(rows: Rows, label: np.ndarray, columns: int, cost: np.ndarray, epo
     order each epoch, between 0 and the row's cost.
     """
     weights, dual = np.zeros(columns + 1), np.zeros(len(rows))
-    total = np.concatenate(([0.0], np.cumsum(rows.value ** 2)))
+    total = np.concatenate(([0.0], np.cumsum(rows.value ** 2, dtype=np.float64)))
     square = total[rows.at[1:]] - total[rows.at[:-1]] + 1.0
     order, at = np.random.default_rng(seed), rows.at.tolist()
     for _ in range(epochs):
