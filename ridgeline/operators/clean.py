@@ -142,11 +142,13 @@ def _plan(df: DataFrame, policy: str, drop: Sequence[str] = (),
     return df, dropped, keep
 
 
-def clean(df: DataFrame, policy: str = DEFAULT_POLICY, drop: Sequence[str] = ()) -> DataFrame:
-    """Apply a cleaning policy (order kept: sparse columns, validity, null rows)."""
+def clean(df: DataFrame, policy: str = DEFAULT_POLICY, drop: Sequence[str] = (), null_row: dict | None = None) -> DataFrame:
+    """Apply a cleaning policy (order kept: sparse columns, validity, null rows).
+
+    ``null_row``: the table's :func:`null_count_row`, if it is known already."""
     if policy not in POLICIES:
         raise ValueError(f"unknown policy {policy!r}; choose from {sorted(POLICIES)}")
-    out, _, _ = _plan(df, policy, drop)
+    out, _, _ = _plan(df, policy, drop, null_row)
     spec = POLICIES[policy]
     if spec["validate"]:
         out = validity_filter(out)

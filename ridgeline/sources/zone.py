@@ -1,19 +1,19 @@
 """Landing (JSON) -> cleaned (Parquet) zone job (S5, S6).
 
-Per table: one schema inference (none if the caller gives the schema), one pass for the
-null counts that the sparse-column rule needs, and one pass that cleans and writes.  The rows
-read, the malformed lines among them and the rows written are observed during that write.
+Per table: one schema inference (none if the caller gives the schema), one pass that counts
+rows, malformed lines and the NULLs that the sparse-column rule needs, and one pass that cleans
+and writes.  The rows written are counted from the written files' footers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ridgeline.operators.clean import DEFAULT_POLICY, clean
+from ridgeline.operators.clean import DEFAULT_POLICY, clean, null_count_row
 from ridgeline.sources.io import CORRUPT, read_json_lines, write_parquet
 
 SUMMARY = "table string, rows_in bigint, malformed bigint, rows_out bigint, cols_in int, cols_out int"
@@ -44,20 +44,14 @@ def clean_table(spark: SparkSession, landing: str, cleaned: str, name: str, poli
         from ridgeline.operators.profile import profile_long
 
         profile_long(good, name).write.mode("overwrite").json(f"{eda_path.rstrip('/')}/{name}")
-    kept = clean(good, policy).columns  # one pass: the null counts decide which columns stay
-    read, wrote = Observation(), Observation()
-    counted = lines.observe(read, F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("malformed"))
-    out = clean_rows(good_lines(counted), kept, policy).observe(wrote, F.count(F.lit(1)).alias("rows"))
+    nulls = null_count_row(lines).first().asDict()
+    rows = nulls.pop("__rows")
+    malformed = rows - nulls.pop(CORRUPT)  # a malformed line is NULL in every other column
+    null_row = {"__rows": rows - malformed, **{c: n - malformed for c, n in nulls.items()}}
+    out = clean(good, policy, null_row=null_row)
     write_parquet(out, cleaned_path(cleaned, name), partitions=partitions)
-    return (name, read.get["rows"], read.get["malformed"], wrote.get["rows"], len(good.columns), len(kept))
-
-
-def clean_rows(df: DataFrame, kept: list[str], policy: str) -> DataFrame:
-    """The row part of a policy on a table of which the columns ``kept`` (after renaming) stay."""
-    from ridgeline.operators.clean import POLICIES, drop_null_rows, normalise_names, validity_filter
-
-    out = (normalise_names(df) if POLICIES[policy]["rename"] else df).select(*[F.col(f"`{c}`") for c in kept])
-    return drop_null_rows(validity_filter(out) if POLICIES[policy]["validate"] else out)
+    written = spark.read.schema(out.schema).parquet(cleaned_path(cleaned, name)).count()  # from the footers
+    return (name, rows, malformed, written, len(good.columns), len(out.columns))
 
 
 def clean_zone(spark: SparkSession, landing: str, cleaned: str, names: Iterable[str], policy: str = DEFAULT_POLICY,
