@@ -20,6 +20,7 @@ HEADLINE = [
     "trusted_features", "star_enrich", "clean_05", "clean_summary", "null_audit", "distinct_counts",
     "numeric_stats", "profile_long", "metadata_document", "correlation", "histogram_auto", "histogram_by_label",
     "density_curve", "auc_exact", "roc_curve", "metrics_report", "split_hash", "minmax_scale",
+    "histograms_numeric", "clean_zone_counts", "cv_metrics",
 ]
 
 
