@@ -7,6 +7,8 @@ document is looked up as a whole and line by line (a notice is one line).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,13 +77,33 @@ THIS SOFTWARE."""),
 )
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form of a text (of a line: without line breaks); null is empty."""
-    low = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    plain = F.regexp_replace(F.regexp_replace(low, COPYRIGHT_LINE, ""), "[^a-z0-9]+", " ")
+def _has_any(column: str, parts: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a | b, (F.contains(F.col(column), F.lit(p)) for p in parts))
+
+
+def _spelled(column: str) -> Column:
+    """One spelling for equivalent ones; texts without any of them are not searched by pattern."""
+    out = F.col(column)
     for word, same in SPELLINGS:
-        plain = F.regexp_replace(plain, f"\\b{word}\\b", same)
-    return F.trim(plain)
+        out = F.regexp_replace(out, f"\\b{word}\\b", same)
+    return F.when(_has_any(column, tuple(w for w, _ in SPELLINGS)), out).otherwise(F.col(column))
+
+
+def with_forms(df: DataFrame, text: str) -> DataFrame:
+    """Add ``_form``, the canonical form of ``text`` (null is empty), and ``_lines``, those of its lines.
+
+    The text is brought to its form once, line breaks kept; lines and whole text derive from
+    that.  The steps are projections of their own because each reads its input more than once.
+    """
+    names = df.columns
+    df = df.withColumn("_low", F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _LOWER))
+    stated = F.when(_has_any("_low", ("copyright", "(c)", "all rights reserved")),
+                    F.regexp_replace("_low", COPYRIGHT_LINE, "")).otherwise(F.col("_low"))
+    df = df.withColumn("_plain", F.regexp_replace(stated, "[^a-z0-9\n]+", " "))
+    df = df.withColumn("_plain", _spelled("_plain"))
+    df = df.withColumn("_form", F.regexp_replace("_plain", "[ \n]+", " "))
+    df = df.withColumn("_form", F.trim(_spelled("_form")))
+    return df.select(*names, "_form", F.transform(F.split("_plain", "\n"), lambda x: F.trim(x)).alias("_lines"))
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
@@ -91,7 +113,7 @@ def known_licenses(spark: SparkSession) -> DataFrame:
 
 def digests(known: DataFrame) -> DataFrame:
     """``digest, license``; of several names of one canonical text the first in order."""
-    return (known.select("license", canonical(F.col("text")).alias("_form")).where("_form != ''")
+    return (with_forms(known.select("license", "text"), "text").where("_form != ''")
             .groupBy(F.sha2("_form", 256).alias("digest")).agg(F.min("license").alias("license")))
 
 
@@ -105,19 +127,21 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     gives no rows; other columns are not read.
     """
     table = digests(known_licenses(docs.sparkSession) if known is None else known)
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select(
-        "doc_id", F.xxhash64("text").alias("_text"), F.sha2(canonical(F.col("text")), 256).alias("_whole"),
-        F.split("text", "\n").alias("_lines"))
-    lines = (rows.select("doc_id", "_text", F.explode("_lines").alias("_line"))
-             .select("doc_id", "_text", F.sha2(canonical(F.col("_line")), 256).alias("digest")))
-    found = (lines.join(table, "digest").groupBy("doc_id", "_text")
-             .agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"), F.count_distinct("digest").alias("n_lines"))
-             .select(F.col("doc_id").alias("_id"), F.col("_text").alias("_of"), "licenses", "n_lines"))
-    whole = table.select(F.col("digest").alias("_whole"), F.col("license").alias("whole_license"))
-    return (rows.drop("_lines").join(whole, "_whole", "left")
-            .join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_of")), "left")
-            .select("doc_id", "whole_license", F.coalesce("licenses", F.lit("")).alias("licenses"),
-                    F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines")))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    forms = with_forms(rows, "text").select(
+        "doc_id", F.xxhash64("text").alias("_text"),
+        F.posexplode(F.concat(F.array("_form"), "_lines")).alias("_place", "_part"))
+    whole = F.col("_place") == 0
+    parts = (forms.where(whole | (F.col("_part") != ""))
+             .select("doc_id", "_text", whole.alias("_is_whole"), F.sha2("_part", 256).alias("digest"))
+             .join(table, "digest", "left").where(F.col("_is_whole") | F.col("license").isNotNull()))
+    line = ~F.col("_is_whole")
+    found = parts.groupBy("doc_id", "_text").agg(
+        F.count_if(F.col("_is_whole")).alias("_rows"), F.min(F.when(F.col("_is_whole"), F.col("license"))).alias("whole_license"),
+        F.array_join(F.array_sort(F.collect_set(F.when(line, F.col("license")))), ",").alias("licenses"),
+        F.count_distinct(F.when(line, F.col("digest"))).alias("n_lines"))
+    # a row for each that repeats the document
+    return found.select("doc_id", "whole_license", "licenses", "n_lines", F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int"))).alias("_row")).drop("_row")
 
 
 def _canonical_sql(text: str) -> str:
