@@ -18,8 +18,14 @@ _INVERSE = pow(BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
 
 
+#: Bytes of an Arrow batch that a Python worker gets at once.
+BATCH_BYTES = 8 << 20
+
+
 def on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, if it is not installed there."""
+    """Let Python workers import this package from where the driver has it, if it is not installed
+    there, and bound their batches by bytes, so that long texts do not fill a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     have = environment.get("PYTHONPATH", "")
