@@ -36,8 +36,10 @@ SAMPLE, CENTROIDS = 4_096, 256
 SHARD = 1_024
 #: Neighbours of a node, candidates for them, and the pruning factor.
 DEGREE, POOL, ALPHA = 16, 48, 1.2
+#: Random links of a node besides its pruned ones.
+FAR = 4
 #: Beam of the greedy search, and how far below the range an expanded node may be.
-BEAM, SLACK = 12, 0.04
+BEAM, SLACK = 16, 0.05
 #: Ids divisible by this are audited; members per block of the audit.
 AUDIT, BLOCK = 50, 4_096
 
@@ -114,7 +116,7 @@ def assign(found: DataFrame, centroids: int, shard: int, sample: int) -> DataFra
 
 
 def _prune(x: np.ndarray) -> list[np.ndarray]:
-    """Robust-pruned neighbours of every row of ``x`` among its nearest rows, with reverse edges."""
+    """Robust-pruned neighbours of every row of ``x`` among its nearest rows, and random ones, with reverse edges."""
     n = len(x)
     if n < 2:
         return [np.zeros(0, np.int64)] * n
@@ -140,6 +142,10 @@ def _prune(x: np.ndarray) -> list[np.ndarray]:
             gap = between[np.arange(len(own)), first]
             alive &= ~((ALPHA * gap <= to_own) & some[:, None])
             alive[rows, first[rows]] = False
+    # links to a few members at random, as the graph would start with: no dense group is cut off
+    far = np.random.default_rng(0).integers(0, n, (n, FAR))
+    for i in range(n):
+        edges[i].update(far[i][far[i] != i].tolist())
     for i in range(n):
         for j in list(edges[i]):
             edges[j].add(i)
