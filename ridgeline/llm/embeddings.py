@@ -14,8 +14,9 @@ of its two nearest centroids, so shards overlap.
 5. Audit: every member whose id is divisible by ``AUDIT`` is compared with all members of its
    label, in blocks; the share of its links that the search found is the recall.
 
-A shard of more than ``SHARD`` members is split into parts by a hash; each part has a graph,
-and the members of the other parts only search it.  So a task holds a bounded number of vectors.
+A shard of more than ``2 * SHARD`` members is split into parts by a hash; each part has a graph,
+and the members of the other parts only search it, dealt into blocks of ``QUERIES``.  A task
+holds one part and one block, and counts links in a matrix of bits: its size is bounded.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.llm.common import written
@@ -34,12 +35,16 @@ from ridgeline.llm.graph import components
 SAMPLE, CENTROIDS = 4_096, 256
 #: Members per shard part, aimed at.
 SHARD = 1_024
+#: Members that search a part in one task, aimed at.
+QUERIES = 4_096
 #: Neighbours of a node, candidates for them, and the pruning factor.
 DEGREE, POOL, ALPHA = 16, 48, 1.2
 #: Random links of a node besides its pruned ones.
 FAR = 4
 #: Beam of the greedy search, and how far below the range an expanded node may be.
 BEAM, SLACK = 16, 0.05
+#: A query that found more than this many within the range is compared with its whole part.
+DENSE = 64
 #: Ids divisible by this are audited; members per block of the audit.
 AUDIT, BLOCK = 50, 4_096
 
@@ -173,6 +178,7 @@ def _search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, limit: f
         known = np.full((len(q), n), -np.inf)
         known[:, medoid] = q @ x[medoid]
         waiting = known.copy()
+        found = np.zeros(len(q), np.int64)
         active = own
         while len(active):
             pick = waiting[active].argmax(axis=1)
@@ -192,57 +198,69 @@ def _search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, limit: f
             value = np.einsum("ij,ij->i", q[row], x[flat])
             known[row, flat] = value
             waiting[row, flat] = value
+            np.add.at(found, row, value >= limit)
+            dense = found[active] > DENSE
+            if dense.any():
+                known[active[dense]] = q[active[dense]] @ x.T
+                active = active[~dense]
         for k in own:
             yield low + int(k), np.flatnonzero(known[k] >= limit)
 
 
-def _search_shard(limit: float):
+def _search_part(limit: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """Links of a shard part: per member the number of copies it links with, and spanning links."""
-        rows = rows.sort_values(["in_part", "vec_id"], ascending=[False, True], ignore_index=True)
-        inside = int(rows["in_part"].sum())
-        if not inside:
+        """Links of one block of queries with one part of targets: per query the number of copies it links with, and spanning links."""
+        rows = rows.sort_values(["target", "vec_id"], ascending=[False, True], ignore_index=True)
+        inside = int(rows["target"].sum())
+        asks = np.flatnonzero(rows["asks"].to_numpy())
+        if not inside or not len(asks):
             return pd.DataFrame({"vec_id": [], "links": [], "other": []})
-        ids, copies = rows["vec_id"].to_numpy(), rows["copies"].to_numpy()
-        first_common = rows["shards"].tolist()
+        ids, copies = rows["vec_id"].to_numpy(), rows["copies"].to_numpy().astype(np.float64)
+        first = np.array([s[0] for s in rows["shards"]])
         shard = int(rows["shard"].iloc[0])
         x = _matrix(rows["embedding"])
         place = {v: i for i, v in enumerate(ids[:inside].tolist())}
         near = [np.array([place[v] for v in (e if e is not None else []) if v in place], np.int64) for e in rows["near"][:inside]]
-        pairs = set()
-        for k, hits in _search(x[:inside], near, x, limit):
-            for j in hits.tolist():
-                if j != k:
-                    pairs.add((min(j, k), max(j, k)))
-        links = np.zeros(len(rows), np.int64)
-        parent = np.arange(len(rows))
-
-        def root(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        joined = []
-        for j, k in sorted(pairs):
+        hit = np.zeros((len(asks), inside), bool)
+        for k, hits in _search(x[:inside], near, x[asks], limit):
+            hit[k, hits] = True
+        own = np.flatnonzero(asks < inside)  # queries that are targets, too: a pair found from either side counts for both
+        square = hit[np.ix_(own, asks[own])]
+        hit[np.ix_(own, asks[own])] = square | square.T
+        hit[own, asks[own]] = False
+        links = np.zeros(len(asks))
+        for low in range(0, len(asks), 256):
+            q = asks[low:low + 256]
             # a pair that shares two shards counts in the first one
-            if min(set(first_common[j]) & set(first_common[k])) == shard:
-                if k < inside:
-                    links[j] += copies[k]
-                    links[k] += copies[j]
-                else:  # k only searches here; its own part counts the pair from the other side
-                    links[k] += copies[j]
-            a, b = root(j), root(k)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                joined.append((ids[j], ids[k]))
+            counts = hit[low:low + 256] & ((first[q][:, None] != first[None, :inside]) | (first[q] == shard)[:, None])
+            links[low:low + 256] = counts @ copies[:inside]
+        hit[own, asks[own]] = True
+        joined = _spanning(hit, asks, ids, inside)
         some = np.flatnonzero(links)
-        return pd.concat([pd.DataFrame({"vec_id": ids[some], "links": links[some], "other": pd.array([None] * len(some), "Int64")}),
-                          pd.DataFrame({"vec_id": [a for a, _ in joined], "links": 0, "other": pd.array([b for _, b in joined], "Int64")})])
+        return pd.concat([
+            pd.DataFrame({"vec_id": ids[asks[some]], "links": links[some].astype(np.int64), "other": pd.array([None] * len(some), "Int64")}),
+            pd.DataFrame({"vec_id": [a for a, _ in joined], "links": 0, "other": pd.array([b for _, b in joined], "Int64")})])
 
     return run
 
 
+def _spanning(hit: np.ndarray, asks: np.ndarray, ids: np.ndarray, inside: int) -> list[tuple[int, int]]:
+    """Pairs of ids that connect what the rows of ``hit`` (queries by targets) connect, at most one a query and one a target."""
+    part = np.arange(inside)
+    joined = []
+    for k, q in enumerate(asks.tolist()):
+        j = np.flatnonzero(hit[k])
+        if not len(j):
+            continue
+        if q >= inside:
+            joined.append((ids[q], ids[j[0]]))
+        found, at = np.unique(part[j], return_index=True)
+        if len(found) > 1:
+            joined += [(ids[j[i]], ids[j[at[0]]]) for i in at[1:].tolist()]
+            part[np.isin(part, found)] = found[0]
+    return joined
+
+
 def _audit_block(limit: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         query = rows["query"].to_numpy()
@@ -258,6 +276,20 @@ def _audit_block(limit: float):
     return run
 
 
+def _blocks(graph: DataFrame, asked: Column) -> DataFrame:
+    """Rows of every task ``(to, block)``: the targets of part ``to``, and a block of its shard's members that ask them.
+
+    Members of other parts ask a part where ``asked`` holds.
+    """
+    own = F.pmod(F.xxhash64(F.lit(2), "vec_id"), F.col("blocks")).cast("int")
+    targets = (graph.withColumn("to", F.col("part")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+               .withColumn("target", F.lit(True)).withColumn("asks", F.col("block") == own))
+    others = (graph.where("parts > 1").withColumn("to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where(asked)
+              .withColumn("block", own).withColumn("target", F.lit(False)).withColumn("asks", F.lit(True))
+              .withColumn("near", F.lit(None).cast("array<long>")))
+    return targets.unionByName(others)
+
+
 def near_vectors(rows: DataFrame, limit: float = 0.98, shard: int = SHARD, centroids: int = CENTROIDS,
                  sample: int = SAMPLE, audit: int = AUDIT) -> DataFrame:
     """``vec_id, n_links, component_id, kept, audit_links`` of every row of ``rows``.
@@ -277,15 +309,14 @@ def near_vectors(rows: DataFrame, limit: float = 0.98, shard: int = SHARD, centr
     placed = written(assign(found, centroids, shard, sample), "shards")
     in_shards = placed.withColumn("shard", F.explode("shards"))
     key = [*group, "shard"]
-    parts = in_shards.groupBy(*key).count().select(*key, F.ceil(F.col("count") / (2 * shard)).cast("int").alias("parts"))
+    parts = in_shards.groupBy(*key).count().select(*key, F.ceil(F.col("count") / (2 * shard)).cast("int").alias("parts"),
+                                                   F.ceil(F.col("count") / QUERIES).cast("int").alias("blocks"))
     dealt = (in_shards.join(parts, key).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")))
     lists = (dealt.groupBy(*key, "part").applyInPandas(_build, "vec_id long, near array<long>")
              .groupBy("vec_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near")))
     graph = written(dealt.join(lists, "vec_id"), "graph")
-    searching = (graph.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-                 .withColumn("in_part", F.col("to") == F.col("part"))
-                 .withColumn("near", F.when(F.col("in_part"), F.col("near"))))
-    links = written(searching.groupBy(*key, "to").applyInPandas(_search_shard(limit), "vec_id long, links long, other long"), "links")
+    searching = _blocks(graph, F.col("part") != F.col("to"))
+    links = written(searching.groupBy(*key, "to", "block").applyInPandas(_search_part(limit), "vec_id long, links long, other long"), "links")
     counted = links.where("other IS NULL").groupBy("vec_id").agg(F.sum("links").alias("links"))
     named = components(links.where("other IS NOT NULL").select(F.col("vec_id").alias("a"), F.col("other").alias("b")))
     blocks = found.groupBy(*group).count().select(*group, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"),

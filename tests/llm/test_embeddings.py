@@ -69,3 +69,27 @@ def test_odd_rows(spark):
     assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in out) == [
         (0, 0, 0, True), (5, 1, 5, True), (5, 1, 5, True), (7, 1, 5, False), (9, 0, 9, True)]
     assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_tasks_are_bounded(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ridgeline.llm import embeddings
+
+    monkeypatch.setattr(embeddings, "QUERIES", 200)
+    rng = np.random.default_rng(4)
+    hot = rng.normal(size=16)
+    rows = [(i, hot + rng.normal(size=16) * 0.02, 0) for i in range(1200)]  # one group that no centroid divides
+    seen = []
+    dealt = embeddings._blocks
+
+    def blocks(graph, asked):
+        out = dealt(graph, asked)
+        seen.extend(out.groupBy("label", "shard", "to", "block").agg(F.count_if("target").alias("t"), F.count_if("asks").alias("q")).collect())
+        return out
+
+    monkeypatch.setattr(embeddings, "_blocks", blocks)
+    out = near_vectors(frame(spark, rows), shard=100, centroids=1).collect()
+    links, component = brute(rows)
+    assert max(r.t for r in seen) <= 300 and max(r.q for r in seen) <= 300
+    assert all(r.n_links == links[r.vec_id] and r.component_id == component[r.vec_id] for r in out)
