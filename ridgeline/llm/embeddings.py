@@ -1,8 +1,9 @@
 """Near-duplicate embeddings by a flat, robust-pruned neighbour graph.
 
 Vectors are compared only within their label.  Equal vectors are one member with a number of
-copies.  Per label, centroids are fitted on a bounded sample; every member lies in the shards
-of its two nearest centroids, so shards overlap.
+copies.  Per label, centroids are fitted on a bounded sample; those nearer to each other than
+the link radius make one shard, so that no dense group is torn apart.  Every member lies in its
+two nearest shards, so shards overlap.
 
 1. Build: each shard finds candidate neighbours of its members and prunes them robustly (a
    candidate goes if a kept neighbour is closer to it, by ``ALPHA``, than the member is).
@@ -13,6 +14,8 @@ of its two nearest centroids, so shards overlap.
 4. Verify: the cosine of a found pair is computed in double precision.
 5. Audit: every member whose id is divisible by ``AUDIT`` is compared with all members of its
    label, in blocks; the share of its links that the search found is the recall.
+6. Exact search: a label of which the audit knows a link that the search did not find is
+   compared all against all, part by part, in matrix products of bounded tasks.
 
 A shard of more than ``2 * SHARD`` members is split into parts by a hash; each part has a graph,
 and the members of the other parts only search it, dealt into blocks of ``QUERIES``.  A task
@@ -70,7 +73,16 @@ def members(rows: DataFrame, audit: int) -> DataFrame:
             .withColumn("width", F.size("embedding")))
 
 
-def _centroids(rows: pd.DataFrame) -> pd.DataFrame:
+def _merged(centre: np.ndarray, limit: float) -> np.ndarray:
+    """Shard of every centroid: those whose cosine is ``limit`` or more, in chains, share one."""
+    shard = np.arange(len(centre))
+    for i, row in enumerate(centre @ centre.T >= limit):
+        found = np.unique(shard[row])
+        shard[np.isin(shard, found)] = found.min(initial=shard[i])
+    return shard
+
+
+def _centroids(rows: pd.DataFrame, limit: float) -> pd.DataFrame:
     """Spherical k-means of one label's sample; one row a centroid."""
     rows = rows.sort_values("vec_id")
     x = _matrix(rows["embedding"])
@@ -84,11 +96,11 @@ def _centroids(rows: pd.DataFrame) -> pd.DataFrame:
         norm = np.sqrt((total * total).sum(axis=1))
         centre = np.where(norm[:, None] > 1e-12, total / np.maximum(norm, 1e-12)[:, None], centre)
     return pd.DataFrame({"label": rows["label"].iloc[0], "width": rows["width"].iloc[0],
-                         "shard": np.arange(len(centre)), "centre": list(centre)})
+                         "shard": _merged(centre, limit), "centre": list(centre)})
 
 
-def assign(found: DataFrame, centroids: int, shard: int, sample: int) -> DataFrame:
-    """``found`` with ``shards``: the numbers of each member's two nearest centroids (one if there is one)."""
+def assign(found: DataFrame, centroids: int, shard: int, sample: int, limit: float) -> DataFrame:
+    """``found`` with ``shards``: the numbers of each member's two nearest shards (one if there is one)."""
     group = ["label", "width"]
     wanted = found.groupBy(*group).count().select(
         *group, F.least(F.lit(centroids), F.ceil(F.col("count") * 2 / shard)).cast("int").alias("wanted"),
@@ -96,24 +108,25 @@ def assign(found: DataFrame, centroids: int, shard: int, sample: int) -> DataFra
     draw = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) / float(1 << 30)
     wanted = wanted.where("wanted > 1")
     sampled = found.join(wanted, group).where(draw < F.col("share"))
-    fitted = sampled.groupBy(*group).applyInPandas(_centroids, "label long, width int, shard int, centre array<double>")
+    fitted = sampled.groupBy(*group).applyInPandas(lambda rows: _centroids(rows, limit), "label long, width int, shard int, centre array<double>")
     # only labels of more than half a shard, a centroid for every half shard at least
     table: dict[tuple, list] = {}
     for r in fitted.orderBy("label", "width", "shard").collect():
-        table.setdefault((r.label, r.width), []).append(r.centre)
-    centres = {k: np.array(v) for k, v in table.items()}
+        table.setdefault((r.label, r.width), []).append((r.shard, r.centre))
+    centres = {k: (np.array([n for n, _ in v]), np.array([c for _, c in v])) for k, v in table.items()}
 
     def nearest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             shards = np.empty(len(part), object)
             for key, rows in part.groupby(group, sort=False).indices.items():
-                centre = centres.get(key)
-                if centre is None:
+                if key not in centres:
                     shards[rows] = [[0]] * len(rows)
                     continue
+                of, centre = centres[key]
                 x = _matrix(part["embedding"].iloc[rows])
-                order = np.argsort(-(x @ centre.T), axis=1, kind="stable")[:, :2]
-                for i, o in zip(rows, np.sort(order, axis=1)):
+                numbers, first = np.unique(of, return_index=True)  # centroids are in the order of their shards
+                order = np.argsort(-np.maximum.reduceat(x @ centre.T, first, axis=1), axis=1, kind="stable")[:, :2]
+                for i, o in zip(rows, np.sort(numbers[order], axis=1)):
                     shards[i] = o.tolist()
             yield part.assign(shards=shards)
 
@@ -207,7 +220,7 @@ def _search(x: np.ndarray, near: list[np.ndarray], queries: np.ndarray, limit: f
             yield low + int(k), np.flatnonzero(known[k] >= limit)
 
 
-def _search_part(limit: float):
+def _search_part(limit: float, exact: bool = False):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         """Links of one block of queries with one part of targets: per query the number of copies it links with, and spanning links."""
         rows = rows.sort_values(["target", "vec_id"], ascending=[False, True], ignore_index=True)
@@ -222,8 +235,12 @@ def _search_part(limit: float):
         place = {v: i for i, v in enumerate(ids[:inside].tolist())}
         near = [np.array([place[v] for v in (e if e is not None else []) if v in place], np.int64) for e in rows["near"][:inside]]
         hit = np.zeros((len(asks), inside), bool)
-        for k, hits in _search(x[:inside], near, x[asks], limit):
-            hit[k, hits] = True
+        if exact:
+            for low in range(0, len(asks), 256):
+                hit[low:low + 256] = x[asks[low:low + 256]] @ x[:inside].T >= limit
+        else:
+            for k, hits in _search(x[:inside], near, x[asks], limit):
+                hit[k, hits] = True
         own = np.flatnonzero(asks < inside)  # queries that are targets, too: a pair found from either side counts for both
         square = hit[np.ix_(own, asks[own])]
         hit[np.ix_(own, asks[own])] = square | square.T
@@ -290,6 +307,24 @@ def _blocks(graph: DataFrame, asked: Column) -> DataFrame:
     return targets.unionByName(others)
 
 
+def _exact(found: DataFrame, limit: float) -> DataFrame:
+    """Links of whole labels: every member is compared with every part of its label."""
+    group = ["label", "width"]
+    parts = found.groupBy(*group).count().select(*group, F.ceil(F.col("count") / BLOCK).cast("int").alias("parts"))
+    rows = (found.join(parts, group).withColumn("blocks", F.col("parts"))
+            .withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+            .withColumn("shard", F.lit(0)).withColumn("shards", F.array(F.lit(0))).withColumn("near", F.lit(None).cast("array<long>")))
+    links = (_blocks(rows, F.col("part") != F.col("to")).groupBy(*group, "to", "block")
+             .applyInPandas(_search_part(limit, exact=True), "vec_id long, links long, other long"))
+    return links.withColumn("exact", F.lit(True))
+
+
+def _counted(links: DataFrame) -> DataFrame:
+    """``vec_id, links``: by the exact search where there was one, which finds what the graph found and more."""
+    return (links.where("other IS NULL").groupBy("vec_id", "exact").agg(F.sum("links").alias("links"))
+            .groupBy("vec_id").agg(F.max("links").alias("links")))
+
+
 def near_vectors(rows: DataFrame, limit: float = 0.98, shard: int = SHARD, centroids: int = CENTROIDS,
                  sample: int = SAMPLE, audit: int = AUDIT) -> DataFrame:
     """``vec_id, n_links, component_id, kept, audit_links`` of every row of ``rows``.
@@ -306,7 +341,7 @@ def near_vectors(rows: DataFrame, limit: float = 0.98, shard: int = SHARD, centr
             [], "vec_id long, n_links long, component_id long, kept boolean, audit_links long")
     found = written(members(rows, audit), "vectors")
     group = ["label", "width"]
-    placed = written(assign(found, centroids, shard, sample), "shards")
+    placed = written(assign(found, centroids, shard, sample, limit), "shards")
     in_shards = placed.withColumn("shard", F.explode("shards"))
     key = [*group, "shard"]
     parts = in_shards.groupBy(*key).count().select(*key, F.ceil(F.col("count") / (2 * shard)).cast("int").alias("parts"),
@@ -316,9 +351,8 @@ def near_vectors(rows: DataFrame, limit: float = 0.98, shard: int = SHARD, centr
              .groupBy("vec_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near")))
     graph = written(dealt.join(lists, "vec_id"), "graph")
     searching = _blocks(graph, F.col("part") != F.col("to"))
-    links = written(searching.groupBy(*key, "to", "block").applyInPandas(_search_part(limit), "vec_id long, links long, other long"), "links")
-    counted = links.where("other IS NULL").groupBy("vec_id").agg(F.sum("links").alias("links"))
-    named = components(links.where("other IS NOT NULL").select(F.col("vec_id").alias("a"), F.col("other").alias("b")))
+    links = written(searching.groupBy(*key, "to", "block").applyInPandas(_search_part(limit), "vec_id long, links long, other long")
+                    .withColumn("exact", F.lit(False)), "links")
     blocks = found.groupBy(*group).count().select(*group, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"),
                                               F.ceil(F.col("count") / (BLOCK * audit)).cast("int").alias("groups"))
     all_rows = found.join(blocks, group).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
@@ -331,6 +365,14 @@ def near_vectors(rows: DataFrame, limit: float = 0.98, shard: int = SHARD, centr
     audited = (asked.unionByName(others).select(*group, "asked", "block", "query", "vec_id", "copies", "embedding")
                .groupBy(*group, "asked", "block").applyInPandas(_audit_block(limit), "vec_id long, audit long")
                .groupBy("vec_id").agg(F.sum("audit").alias("audit")))
+    audited = written(audited, "audit")
+    # labels of which the audit knows more links than the search found
+    short = written(found.join(audited, "vec_id").join(_counted(links), "vec_id", "left")
+                    .where(F.coalesce("links", F.lit(0)) < F.col("audit")).select(*group).distinct(), "short")
+    if short.take(1):
+        links = links.unionByName(written(_exact(found.join(short, group), limit), "exact"))
+    counted = _counted(links)
+    named = components(links.where("other IS NOT NULL").select(F.col("vec_id").alias("a"), F.col("other").alias("b")))
     result = (found.join(counted, "vec_id", "left").join(named.withColumnRenamed("node", "vec_id"), "vec_id", "left")
               .join(audited, "vec_id", "left")
               .select("label", "embedding", F.col("vec_id").alias("_rep"),

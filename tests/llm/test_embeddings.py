@@ -93,3 +93,14 @@ def test_tasks_are_bounded(spark, monkeypatch):
     links, component = brute(rows)
     assert max(r.t for r in seen) <= 300 and max(r.q for r in seen) <= 300
     assert all(r.n_links == links[r.vec_id] and r.component_id == component[r.vec_id] for r in out)
+
+
+def test_large_dense_group_is_whole(spark):
+    rng = np.random.default_rng(6)
+    hot, shift = rng.normal(size=(2, 16))
+    # a group in a chain of directions, most of the label, with more centroids than it has neighbourhoods
+    rows = [(i, hot + shift * rng.uniform(0, 0.3) + rng.normal(size=16) * 0.02 if i % 3 else rng.normal(size=16), 0) for i in range(1500)]
+    links, component = brute(rows)
+    out = near_vectors(frame(spark, rows), shard=50, centroids=60).collect()
+    assert all(r.n_links == links[r.vec_id] and r.component_id == component[r.vec_id] for r in out)
+    assert all(r.audit_links == r.n_links for r in out if r.vec_id % 50 == 0)
