@@ -5,9 +5,10 @@ A byte goes if a ``LENGTH``-byte string that covers it also starts earlier (smal
 document is dealt to the smallest hash among its ``GRAM``-byte grams, so equal windows meet
 under one hash; consecutive windows of one hash are one row (a stretch), not one row each.
 
-1. Count the stretches of every hash; those of a hash that occurs once repeat nothing.
+1. Count the stretches of every hash; one of a hash that occurs once repeats nothing unless its
+   windows repeat each other (a periodic text).
 2. Of equal stretches under one hash the earliest stays, the others repeat it.
-3. Different stretches of one hash are put together in strings of a few and suffix-sorted:
+3. Different stretches of one hash, or one that may repeat itself, are put together in strings of a few and suffix-sorted:
    equal windows are then neighbours.  A hash with more stretches is dealt into several
    strings; the earliest window of each class leaves its string as a digest and the
    earliest of all is found by aggregation, so no hash is too frequent.  Those windows leave
@@ -41,13 +42,19 @@ CORE_WINDOWS = 8
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Row, offset in the row, number of windows, hash and content digest of every stretch of a block of rows."""
+    """Row, offset in the row, number of windows, hash, content digest and inner repeats of every stretch of a block of rows.
+
+    Equal windows of a stretch make it periodic there, and one of its windows before the last
+    starts with the smallest gram, which then occurs again; stretches without such a window
+    have no inner repeats.
+    """
     n = len(data)
     if n < LENGTH:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, bool))
     prefix = prefix_hash(data)
     at = np.arange(n - GRAM + 1)
-    least, span = segment_hash(prefix, at, at + GRAM), 1
+    gram, span = segment_hash(prefix, at, at + GRAM), 1
+    least = gram
     while 2 * span <= GRAMS:
         least = np.minimum(least[:-span], least[span:])
         span *= 2
@@ -67,7 +74,11 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     first, run = np.repeat(first, pieces) + piece * GRAMS, np.minimum(np.repeat(run, pieces) - piece * GRAMS, GRAMS)
     low, row = window[first], row_of[first]
     digest = mix(segment_hash(prefix, low, low + run + LENGTH - 1) + run.astype(np.uint64))
-    return row, low - offsets[row], run, value[first], digest
+    starts = gram[window] == value
+    starts[first + run - 1] = False
+    inner = np.zeros(len(first), bool)
+    inner[np.searchsorted(first, np.flatnonzero(starts), "right") - 1] = True
+    return row, low - offsets[row], run, value[first], digest, inner
 
 
 def _stretch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,15 +87,15 @@ def _stretch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         data, offsets = text_bytes(batch.column(1))
         for first, last in row_blocks(offsets):
             low = offsets[first]
-            row, at, run, value, digest = stretches(data[low:offsets[last]], offsets[first:last + 1] - low)
+            row, at, run, value, digest, inner = stretches(data[low:offsets[last]], offsets[first:last + 1] - low)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(value.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(doc[first + row]),
-                 pa.array(at << 8 | run)], ["h", "digest", "doc_id", "place"])
+                 pa.array(at << 8 | inner << 7 | run), pa.array(inner)], ["h", "digest", "doc_id", "place", "inner"])
 
 
 def _stretch_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _stretch_rows(batches):
-        yield batch.select(["h"])
+        yield batch.select(["h", "inner"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +107,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.name for f in wanted.type.value_type]
         h, part, parts, place = (each[names.index(c)].to_numpy(zero_copy_only=False) for c in ("h", "part", "parts", "place"))
         row = np.repeat(np.arange(batch.num_rows), np.diff(wanted.offsets.to_numpy()))
-        low, run = place >> 8, place & 255
+        low, run = place >> 8, place & 127
         start = offsets[row] + low
         raw = memoryview(data)
         cut = [bytes(raw[a:b]) for a, b in zip(start.tolist(), (start + run + LENGTH - 1).tolist())]
@@ -267,15 +278,17 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
 
     ``rows`` has ``doc_id`` (not null) and ``text``.
     """
-    frequent = (rows.mapInArrow(_stretch_hashes, "h long").groupBy("h").count().where("count > 1").select("h"))
-    found = rows.mapInArrow(_stretch_rows, "h long, digest long, doc_id long, place long")
+    frequent = (rows.mapInArrow(_stretch_hashes, "h long, inner boolean").groupBy("h")
+                .agg(F.count("*").alias("count"), F.max("inner").alias("inner")).where("count > 1 OR inner").select("h"))
+    found = rows.mapInArrow(_stretch_rows, "h long, digest long, doc_id long, place long, inner boolean").drop("inner")
     repeated = written(found.join(frequent, "h"), "stretches")
     earliest = repeated.groupBy("h", "digest").agg(F.min(F.struct("doc_id", "place")).alias("first"))
     copies = (repeated.join(earliest, ["h", "digest"])
               .where("doc_id != first.doc_id OR place != first.place")
-              .select("doc_id", F.shiftright("place", 8).alias("low"), F.col("place").bitwiseAND(F.lit(255)).alias("n")))
+              .select("doc_id", F.shiftright("place", 8).alias("low"), F.col("place").bitwiseAND(F.lit(127)).alias("n")))
     different = earliest.select("h", "digest", "first.doc_id", "first.place")
-    several = (different.groupBy("h").count().where("count > 1")
+    several = (different.groupBy("h").agg(F.count("*").alias("count"), F.max(F.col("place").bitwiseAND(F.lit(128))).alias("inner"))
+               .where("count > 1 OR inner > 0")
                .select("h", F.ceil(F.col("count") / STRING_STRETCHES).cast("int").alias("parts")))
     wanted = (different.join(several, "h")
               .withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))

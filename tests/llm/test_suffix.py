@@ -78,3 +78,13 @@ def test_odd_rows(spark):
     want = brute([5, 6, 7], more[1:])
     assert all((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id] for r in out) and len(out) == 4
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_repeats_inside_one_stretch(spark):
+    texts = ["y" * 150, "ab" * 75, "z" * 253, "cde" * 84 + "c", "no repeat " + "".join(map(str, range(90))), "q" * 253, "q" * 253]
+    for some in ([t] for t in texts[:2]):
+        out = sha256(remove_repeats(frame(spark, some))).collect()
+        assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out] == [brute([0], some)[0]]
+    want = brute(range(len(texts)), texts)
+    out = sha256(remove_repeats(frame(spark, texts))).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out} == want
