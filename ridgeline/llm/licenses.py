@@ -13,8 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A line that states a copyright, from its line break on.
+#: A line that begins like a copyright statement, from its line break on (of the SQL twin).
 COPYRIGHT_LINE = r"(^|\n)[^a-z0-9\n]*(copyright|\(c\)|all rights reserved)[^\n]*"
+#: The same without lines of licence wording, which begin so wherever a text is wrapped there.
+STATED_LINE = COPYRIGHT_LINE.replace("copyright", r"copyright(?![^a-z0-9]+(?:holders?|owners?|notices?)\b)")
+#: Titles that may stand before a whole text, in canonical form.
+TITLE = (r"^(?:the )?(?:mit license(?: mit)?|isc license(?: isc)?|(?:bsd zero clause|zero clause bsd) license(?: 0bsd)?|0bsd license"
+         r"|(?:bsd 2 clause|2 clause bsd)(?: simplified)? license|(?:bsd 3 clause|3 clause bsd)(?: new or revised| new| revised)? license)"
+         r" (?=permission |redistribution )")
 
 #: Equivalent spellings, on the form with single spaces, whole words.
 SPELLINGS = (
@@ -77,6 +83,46 @@ THIS SOFTWARE."""),
 )
 
 
+#: Whole licences that the SQL twin does not have.
+MORE_TEXTS = (
+    ("BSD-2-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+)
+
+
 def _has_any(column: str, parts: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, (F.contains(F.col(column), F.lit(p)) for p in parts))
 
@@ -98,17 +144,17 @@ def with_forms(df: DataFrame, text: str) -> DataFrame:
     names = df.columns
     df = df.withColumn("_low", F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _LOWER))
     stated = F.when(_has_any("_low", ("copyright", "(c)", "all rights reserved")),
-                    F.regexp_replace("_low", COPYRIGHT_LINE, "")).otherwise(F.col("_low"))
+                    F.regexp_replace("_low", STATED_LINE, "")).otherwise(F.col("_low"))
     df = df.withColumn("_plain", F.regexp_replace(stated, "[^a-z0-9\n]+", " "))
     df = df.withColumn("_plain", _spelled("_plain"))
     df = df.withColumn("_form", F.regexp_replace("_plain", "[ \n]+", " "))
-    df = df.withColumn("_form", F.trim(_spelled("_form")))
+    df = df.withColumn("_form", F.regexp_replace(F.trim(_spelled("_form")), TITLE, ""))
     return df.select(*names, "_form", F.transform(F.split("_plain", "\n"), lambda x: F.trim(x)).alias("_lines"))
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    """``license, text`` of the licences and notices above."""
-    return spark.createDataFrame([*NOTICES, *TEXTS], "license string, text string")
+    """``license, text`` of the licences and notices above (of longer licences the notices only)."""
+    return spark.createDataFrame([*NOTICES, *TEXTS, *MORE_TEXTS], "license string, text string")
 
 
 def digests(known: DataFrame) -> DataFrame:
@@ -153,7 +199,10 @@ def _canonical_sql(text: str) -> str:
 
 
 def oracle_sql() -> str:
-    """The scan of ``documents`` in DuckDB SQL (ids and texts must be unique together)."""
+    """The scan of ``documents`` in DuckDB SQL (ids and texts must be unique together).
+
+    It has none of ``MORE_TEXTS``, no titles, and knows MIT only where its lines break as above.
+    """
     def quoted(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 

@@ -30,3 +30,22 @@ def test_sql_twin(spark):
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(docs)))
     assert [tuple(r) for r in out] == sorted(con.execute(oracle_sql()).fetchall())
+
+
+def test_whole_texts_at_any_wrapping(spark):
+    import textwrap
+
+    from ridgeline.llm.licenses import MORE_TEXTS
+
+    titles = {"MIT": "The MIT License (MIT)", "ISC": "ISC License", "0BSD": "BSD Zero Clause License",
+              "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": 'BSD 3-Clause "New" or "Revised" License'}
+    docs, want = [], []
+    for name, text in (*TEXTS, *MORE_TEXTS):
+        for width in (20, *range(60, 101), 100_000):
+            body = textwrap.fill(" ".join(text.split()), width)
+            docs += [body, f"{titles[name]}\n\nCopyright (c) 2020 Someone\nCopyright The Authors\n\n{body}\n"]
+            want += [name, name]
+    docs += ["MIT License", "MIT License\n\nPermission denied."]
+    want += [None, None]
+    out = {r.doc_id: r.whole_license for r in scan_licenses(frame(spark, docs)).collect()}
+    assert [out[i] for i in range(len(docs))] == want
