@@ -2,7 +2,7 @@ import math
 
 import pytest
 
-from conftest import SF_MID, SF_SMALL
+from support import SF_MID, SF_SMALL
 from ridgeline.operators import clean as C
 from ridgeline.sources import fixtures as fx
 

@@ -3,7 +3,7 @@ import math
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 FAST_ORACLE = ["trusted_features", "clean_summary", "null_audit", "distinct_counts", "histogram_auto",
                "histogram_by_label", "auc_exact", "roc_curve", "correlation", "profile_long", "density_curve",

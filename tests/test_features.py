@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from support import SF_MID, SF_SMALL
 from ridgeline.functions.columns import bucketise
 from ridgeline.plans import features as FE
 from ridgeline.sources import fixtures as fx

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from conftest import SF_MID
+from support import SF_MID
 from ridgeline.operators import histogram as H
 from ridgeline.operators.ordered import exact_quantiles, running_sums
 

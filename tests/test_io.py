@@ -1,4 +1,4 @@
-from conftest import SF_MID
+from support import SF_MID
 from ridgeline.session import scratch_path, shared_dir
 from ridgeline.sources import fixtures as fx
 from ridgeline.sources import io as IO

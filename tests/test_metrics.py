@@ -2,7 +2,7 @@ import itertools
 
 import numpy as np
 
-from conftest import SF_MID, SF_SMALL
+from support import SF_MID, SF_SMALL
 from ridgeline.operators import metrics as M
 from ridgeline.sources import fixtures as fx
 

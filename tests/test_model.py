@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import SF_MID
+from support import SF_MID
 from ridgeline.plans import features as FE
 from ridgeline.plans import model as MO
 from ridgeline.session import scratch_path

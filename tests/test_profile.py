@@ -1,6 +1,6 @@
 import math
 
-from conftest import SF_MID, SF_SMALL
+from support import SF_MID, SF_SMALL
 from ridgeline.operators import profile as P
 from ridgeline.plans import features as FE
 from ridgeline.sources import fixtures as fx

@@ -1,6 +1,6 @@
 import math
 
-from conftest import SF_MID
+from support import SF_MID
 from ridgeline.operators import sampling as L
 from ridgeline.sources import fixtures as fx
 

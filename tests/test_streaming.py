@@ -1,4 +1,4 @@
-from conftest import SF_SMALL
+from support import SF_SMALL
 from ridgeline.operators.clean import clean
 from ridgeline.session import scratch_path
 from ridgeline.sources import fixtures as fx
