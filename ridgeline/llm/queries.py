@@ -18,6 +18,7 @@ from ridgeline.llm.mixing import mix_sources
 from ridgeline.llm.packing import pack_documents
 from ridgeline.llm.quality import fit_quality, score_quality
 from ridgeline.llm.suffix_dedup import remove_repeats, sha256
+from ridgeline.llm.token_counts import count_tokens
 from ridgeline.llm.token_files import token_table
 from ridgeline.llm.tokens import tokenizer_path
 from ridgeline.llm.winnowing import fingerprint_documents
@@ -100,4 +101,9 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir))
 
 
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), limit=4096)
+
+
 ORACLE["op8_license_scan"] = licenses.oracle_sql()
