@@ -16,6 +16,7 @@ from ridgeline.llm.licenses import scan_licenses
 from ridgeline.llm.minhash import near_duplicates
 from ridgeline.llm.mixing import mix_sources
 from ridgeline.llm.packing import pack_documents
+from ridgeline.llm.periodic import periodic_runs, run_lines, strongest
 from ridgeline.llm.quality import fit_quality, score_quality
 from ridgeline.llm.suffix_dedup import remove_repeats, sha256
 from ridgeline.llm.token_counts import count_tokens
@@ -101,6 +102,26 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` whose ids have a ``crc32`` divisible by 10 get a periodic end made of their own words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(F.pmod(h, F.lit(10)) == 0, F.regexp_extract_all(F.col("text").cast("string"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    cut = docs.select("doc_id", "text", (h / 10).cast("long").alias("_g"), words.alias("_words"))
+    cut = cut.select("*", F.size("_words").cast("long").alias("_n"), F.expr("IF(size(_words) > 0, _g % size(_words), 0)").alias("_a"))
+    cut = cut.select("*", (1 + F.floor((F.col("_n") - F.col("_a")) / (3 + F.col("_g") % 8))).alias("_p"))
+    return cut.selectExpr("doc_id", """IF(_n > 0, array_join(transform(sequence(0L, _n - 1),
+        i -> element_at(_words, CAST(1 + IF(i < _a, i, _a + (i - _a) % _p) AS INT))), ' '), text) AS text""")
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_periods(documents(spark, sf_dir)), least=6, times=4)
+    return found.withColumn("_best", strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.expr("1000 * _best.length DIV _best.period").alias("exponent_milli"),
+        F.sha2(run_lines(F.col("runs")).cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 @query
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), limit=4096)
