@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ridgeline.llm import licenses
 from ridgeline.llm.common import on_workers
 from ridgeline.llm.embeddings import near_vectors
+from ridgeline.llm.hard_negatives import mine_negatives
 from ridgeline.llm.language import fit_language, predict_language
 from ridgeline.llm.licenses import scan_licenses
 from ridgeline.llm.minhash import near_duplicates
@@ -122,9 +123,36 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(run_lines(F.col("runs")).cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100, scale=256.0)
+
+
 @query
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
 ORACLE["op8_license_scan"] = licenses.oracle_sql()
+ORACLE["op12_hard_negatives"] = """
+WITH r AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+    FROM r a JOIN r ON r.vec_id <> a.vec_id AND len(r.v) = len(a.v)
+    WHERE a.vec_id % 100 = 0),
+p AS (
+    SELECT anchor_id, other_id, score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+    s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY rank <= 5
+"""
