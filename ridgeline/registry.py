@@ -921,6 +921,35 @@ def q_stream_clean_zone(spark, d):
     return IO.read_table(spark, out).select(*[c for c in DIRTY_COLS if c not in dropped])
 
 
+def _land_twice(spark, d):
+    """The stream's folders after two landings of review_dirty, each with malformed lines, and its schema.
+
+    The first landing is the rows with text only, so that the sparse columns change with the second."""
+    from ridgeline.streaming.zone_state import start_zone_stream
+    dirty = _dirty(spark, d)
+    landing, cleaned, state = (scratch_path(spark, f"zone-{x}") for x in ("landing", "cleaned", "state"))
+    for k, part in enumerate((dirty.where("text IS NOT NULL"), dirty.where("text IS NULL"))):
+        IO.write_json(part, f"{landing}/{k}")
+        spark.range(k + 1).selectExpr("concat('{\"broken\": ', id) AS value").write.mode("append").text(f"{landing}/{k}")
+        start_zone_stream(spark, f"{landing}/*", cleaned, state, dirty.schema).awaitTermination()
+    return cleaned, state, dirty.schema
+
+
+@query("stream_zone_rows", ORACLE["clean_05"])
+def q_stream_zone_rows(spark, d):
+    """Two landings in a row, the sparse columns decided by the stream's own counts: equal to one batch run."""
+    from ridgeline.streaming.zone_state import read_cleaned
+    return read_cleaned(spark, *_land_twice(spark, d))
+
+
+@query("stream_zone_counts", with_views("review_dirty") + f"""
+SELECT 'review_dirty' AS "table", rows_before + {BROKEN} AS rows_in, CAST({BROKEN} AS BIGINT) AS malformed, rows_after AS rows_out,
+  columns_before AS cols_in, columns_after AS cols_out FROM ({clean_stats_sql("review_dirty", DIRTY_COLS, DIRTY_DOUBLES, C.DEFAULT_POLICY)}) s""")
+def q_stream_zone_counts(spark, d):
+    from ridgeline.streaming.zone_state import zone_summary
+    return zone_summary(spark, "review_dirty", *_land_twice(spark, d))
+
+
 # --------------------------------------------------------------------------- model
 # The model queries run on ``review_signal``, whose target depends on both features.
 _FITS: dict = {}

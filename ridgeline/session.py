@@ -54,3 +54,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused, never cleared)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, in whatever store the path names."""
+    store, where = _file_system(spark, path)
+    return store.exists(where)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a path that :func:`scratch_path` gave out, once nothing reads it any more."""
+    store, where = _file_system(spark, path)
+    store.delete(where, True)
