@@ -86,21 +86,26 @@ def feature_columns(df: DataFrame) -> DataFrame:
 
 
 def build_features(reviews: DataFrame, business: DataFrame, users: DataFrame,
-                   salts: int | None = None, staging: str | None = None) -> DataFrame:
-    """M7: the trusted feature table, 28 columns.
+                   salts: int | None = None, staging: str | None = None, keep: Sequence[str] | None = None) -> DataFrame:
+    """M7: the trusted feature table, 28 columns, or those of them named in ``keep``.
 
     All five scalars (n, n_pos, n_neg, two maxima) come from one aggregate over the joined
     rows.  With ``staging`` the join is written there once (in the shared folder) and both
     the aggregate, which reads three columns, and the result scan that table, so the fact
     table is shuffled once; without it the plan is lazy and the join runs for each of the
-    two.  ``salts`` opts into an explicitly salted star join (see
+    two.  Row-local columns are written, too, and with ``keep`` no others than it needs, so that
+    whoever wants the text's length only neither writes nor reads the text.  ``salts`` opts into an explicitly salted star join (see
     :func:`ridgeline.operators.joins.enrich`)."""
-    joined = add_target(enrich(reviews, business, users, salts))
+    base = add_target(enrich(reviews, business, users, salts))
+    joined = feature_columns(base)
+    counts = ("business_review_count", "user_review_count")
+    if keep is not None:
+        joined = joined.select(*[c for c in joined.columns if c in keep or c in ("is_high_star", *counts)])
     if staging is not None:
         joined.write.mode("overwrite").parquet(staging)
         joined = joined.sparkSession.read.schema(joined.schema).parquet(staging)
-    counts = ("business_review_count", "user_review_count")
     stats = joined.agg(*class_aggs("is_high_star"), *max_aggs(counts))
-    scaled = with_stats(joined, stats).withColumns(
-        {"class_weight": balanced_weight("is_high_star"), **max_ratios(counts, "normalized_")}).drop("_s")
-    return feature_columns(scaled)
+    scaled = {"class_weight": balanced_weight("is_high_star"), **max_ratios(counts, "normalized_")}
+    local = [c for c in joined.columns if c not in base.columns]
+    out = [c for c in (*base.columns, *scaled, *local) if keep is None or c in keep]
+    return with_stats(joined, stats).withColumns(scaled).select(*out)

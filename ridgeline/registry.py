@@ -52,8 +52,8 @@ def _star(spark, d):
     return fx.review(spark, d), fx.business(spark, d), fx.users(spark, d)
 
 
-def _features(spark, d):
-    return FE.build_features(*_star(spark, d), staging=scratch_path(spark, "star"))
+def _features(spark, d, keep=None):
+    return FE.build_features(*_star(spark, d), staging=scratch_path(spark, "star"), keep=keep)
 
 
 def _invariants(spark, checks: dict[str, bool]) -> DataFrame:
@@ -385,6 +385,23 @@ _CORR_COLS = ("review_stars", "business_stars", "latitude", "longitude", "user_a
               "normalized_user_review_count", "rounded_latitude", "rounded_longitude", "review_text_length")
 
 
+@query("distinct_sketches", with_views("review_dirty") + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({c}) AS n_nulls, true AS as_whole, true AS within FROM review_dirty" for c in DIRTY_COLS))
+def q_distinct_sketches(spark, d):
+    """Sketches stored per part of the table and united on reading: estimates as of the whole's, near the exact counts."""
+    dirty = _dirty(spark, d)
+    path = scratch_path(spark, "sketches")
+    for k in range(3):
+        IO.write_parquet(P.distinct_sketches(dirty.where(F.col("review_id") % 3 == k)), f"{path}/part={k}")
+    parts = P.sketch_counts(IO.read_table(spark, path))
+    whole = P.sketch_counts(P.distinct_sketches(dirty)).select("column", F.col("n_distinct").alias("whole"))
+    exact = P.distinct_counts(dirty).select("column", F.col("n_distinct").alias("exact"))
+    deviation = 1.04 / 2 ** (P.SKETCH_LG / 2)
+    return parts.join(whole, "column").join(exact, "column").select(
+        "column", "n_rows", "n_nulls", (F.col("n_distinct") == F.col("whole")).alias("as_whole"),
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= 5 * deviation * F.col("exact")).alias("within"))
+
+
 def _correlation_sql() -> str:
     cols = _CORR_COLS
     complete = " AND ".join(f"{c} IS NOT NULL" for c in cols)
@@ -402,7 +419,7 @@ def _correlation_sql() -> str:
 
 @query("correlation", _correlation_sql())
 def q_correlation(spark, d):
-    return round_doubles(P.correlation_long(_features(spark, d)))
+    return round_doubles(P.correlation_long(_features(spark, d, keep=_CORR_COLS)))
 
 
 def _offset_sql() -> str:
@@ -804,7 +821,7 @@ SELECT review_id,
 FROM features, mm""")
 def q_minmax_scale(spark, d):
     from ridgeline.plans.model import minmax_scale
-    f = _features(spark, d)
+    f = _features(spark, d, keep=("review_id", "normalized_business_review_count", "normalized_user_review_count"))
     out = minmax_scale(f, ["normalized_business_review_count", "normalized_user_review_count"], prefix="scaled_")
     return round_doubles(out.select(
         "review_id",

@@ -125,3 +125,45 @@ def test_approx_distinct_close_to_exact(spark):
     approx = {r.column: r.n_distinct for r in P.distinct_counts(df, approx=True).collect()}
     for c, n in exact.items():
         assert abs(approx[c] - n) <= max(2, 0.15 * n), c
+
+
+def test_distinct_counts_of_every_type(spark):
+    rows = spark.sql("""SELECT * FROM VALUES
+        (1Y, 1S, 1, 10L, 1.5F, 0.0D, 1.10BD, 'a', true, DATE'2024-01-01', TIMESTAMP'2024-01-01 00:00:00', TIMESTAMP_NTZ'2024-01-01 00:00:00', X'01', array(1), named_struct('x', 1)),
+        (1Y, 1S, 2, 10L, 1.5F, -0.0D, 1.1BD, '', false, DATE'2024-01-02', TIMESTAMP'2024-01-01 00:00:00.000001', TIMESTAMP_NTZ'2024-01-02 00:00:00', X'02', array(1, 2), named_struct('x', NULL)),
+        (2Y, NULL, 2, -1L, double('nan'), double('nan'), 2BD, repeat('x', 100), NULL, NULL, NULL, NULL, NULL, NULL, NULL),
+        (2Y, NULL, 2, -1L, float('nan'), double('nan'), 2BD, repeat('x', 101), NULL, NULL, NULL, NULL, NULL, array(1), named_struct('x', 1))
+        AS t(b, s, i, l, f, d, m, t, o, da, ts, tn, bi, ar, st)""")
+    got = {r.column: r.n_distinct for r in P.distinct_counts(rows).collect()}
+    assert got == {c: rows.select(c).distinct().count() for c in rows.columns}
+    assert {r.column: r.n_distinct for r in P.distinct_counts(rows.limit(0)).collect()} == dict.fromkeys(rows.columns, 0)
+
+
+def test_distinct_counts_shuffle_narrow_rows(spark):
+    plan = P.distinct_counts(spark.range(10).selectExpr("id", "id AS b", "string(id) AS c"))._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("partial_count") >= 1
+
+
+def test_sketches_of_parts_equal_the_whole(spark):
+    rows = spark.range(60000).selectExpr("id", "id % 7 AS few", "CASE WHEN id % 3 = 0 THEN string(id % 999) END AS t", "IF(id % 2 = 0, 0.0D, -0.0D) AS zero",
+                                         "CAST(NULL AS INT) AS none", "array(id % 5) AS a")
+    parts = [P.distinct_sketches(rows.where(f"id % 4 = {k}")) for k in range(4)]
+    united = P.union_sketches(parts[0].union(parts[1]).union(parts[2])).union(parts[3])  # states of states, too
+    got = {r.column: tuple(r)[1:] for r in P.sketch_counts(united).collect()}
+    assert got == {r.column: tuple(r)[1:] for r in P.sketch_counts(P.distinct_sketches(rows)).collect()}
+    exact = {r.column: r.n_distinct for r in P.distinct_counts(rows).collect()}
+    assert all(abs(got[c][2] - n) <= 0.05 * n for c, n in exact.items())
+    assert got["none"] == (60000, 60000, 1) and got["zero"][2] == 1
+    assert {r.n_distinct for r in P.sketch_counts(P.distinct_sketches(rows.limit(0))).collect()} == {0}
+
+
+def test_correlation_keeps_precision_far_from_zero(spark):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(3000, 3)) @ rng.normal(size=(3, 3))
+    far = x * [1, 1e-3, 1e6] + [1.7e9, 5.0, -3e12]
+    rows = spark.createDataFrame([tuple(map(float, r)) for r in far] + [(None, 1.0, 1.0)], "a double, b double, c double")
+    got = {(r.x, r.y): r.corr for r in P.correlation_long(rows).collect()}
+    want = np.corrcoef(far.T)
+    assert all(abs(got[p, q] - want[i, j]) < 1e-7 for i, p in enumerate("abc") for j, q in enumerate("abc"))
+    assert {r.corr for r in P.correlation_long(rows.limit(0)).collect()} == {None}
