@@ -33,6 +33,18 @@ def on_workers(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, have)))
 
 
+#: Memory of 256 KB or more is mapped and goes back to the system when it is freed, in Arrow's pool, too.
+LEAN = {"MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
+def lean_workers(spark: SparkSession) -> None:
+    """Let Python workers that start from now on give freed memory back.
+
+    For jobs of many stages: a worker is reused by later stages, and would otherwise hold on to the most
+    that any stage before needed."""
+    spark.sparkContext.environment.update(LEAN)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
