@@ -13,7 +13,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import on_workers
+from ridgeline.llm.common import lean_workers, on_workers
 from ridgeline.llm.language import fit_language, with_language
 from ridgeline.llm.minhash import near_duplicates
 from ridgeline.llm.mixing import mix_sources, take_copies
@@ -29,6 +29,7 @@ def stage(fn: Stage) -> Stage:
     @wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         on_workers(spark)
+        lean_workers(spark)
         return fn(spark, docs, sf_dir)
 
     return run_stage
