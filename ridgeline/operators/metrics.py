@@ -49,36 +49,41 @@ def precision_recall_f1(df: DataFrame, label: str = "label", pred: str = "predic
     return c.select(*_prf(F.col("tp"), F.col("fp"), F.col("fn")))
 
 
-def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """``(s, pos, neg)`` per distinct score: the only input the ROC / AUC need.
+def score_counts(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """``([by,] s, pos, neg)`` per distinct score: the only input the ROC / AUC need.
 
     A hot score (many tied rows) becomes one row after map-side combine."""
     s = F.col(score).cast("double")
-    rows = df.select(s.alias("s"), F.col(label).alias("_y")).filter(
+    rows = df.select(*by, s.alias("s"), F.col(label).alias("_y")).filter(
         F.col("s").isNotNull() & ~F.isnan("s") & F.col("_y").isNotNull()
     )
-    return rows.groupBy("s").agg(
+    return rows.groupBy(*by, "s").agg(
         F.count_if(F.col("_y") == 1).alias("pos"),
         F.count_if(F.col("_y") == 0).alias("neg"),
     )
 
 
-def auc_exact(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One row ``(auc)``: exact ROC area, ties counted one half (Mann-Whitney).
+def auc_by(df: DataFrame, by: Sequence[str], label: str = "label", score: str = "score") -> DataFrame:
+    """``([by,] auc)``: exact ROC area of every group, ties counted one half (Mann-Whitney).
 
     ``2 * P * N * auc = sum over scores of neg * (2 * positives above + pos)``; the sum
     is carried as decimal(38,0), so it is exact and independent of summation order.
-    NULL when a class is absent."""
-    per = running_sums(score_counts(df, label, score), "s", ["pos"], descending=True)
+    NULL when a class is absent.  ``by`` columns must not be NULL; without any there is one row."""
+    per = running_sums(score_counts(df, label, score, by), "s", ["pos"], descending=True, by=by)
     above = F.col("cum_pos") - F.col("pos")
     term = F.col("neg").cast("decimal(38,0)") * (F.lit(2) * above + F.col("pos")).cast("decimal(38,0)")
-    agg = per.agg(
+    agg = per.groupBy(*by).agg(
         F.sum(term).alias("num"),
         F.sum("pos").alias("p"),
         F.sum("neg").alias("n"),
     )
     den = F.lit(2.0) * F.col("p").cast("double") * F.col("n").cast("double")
-    return agg.select(F.try_divide(F.col("num").cast("double"), den).alias("auc"))
+    return agg.select(*by, F.try_divide(F.col("num").cast("double"), den).alias("auc"))
+
+
+def auc_exact(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """One row ``(auc)``: :func:`auc_by` over all rows."""
+    return auc_by(df, (), label, score)
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

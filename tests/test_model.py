@@ -73,3 +73,43 @@ def test_evaluation_report(fitted):
     assert set(rep) == {"roc_auc", "roc_auc_exact", "precision", "recall", "f1"}
     assert abs(rep["roc_auc"] - rep["roc_auc_exact"]) < 1e-3
     assert 0.0 <= rep["f1"] <= 1.0
+
+
+def test_fold_aucs_equal_sql_over_the_written_scores(spark, duck, tmp_path):
+    f = FE.build_features(fx.review_signal(spark, SF_MID), fx.business(spark, SF_MID), fx.users(spark, SF_MID), staging=scratch_path(spark, "signal"))
+    train, _ = MO.split_train_test(f)
+    path = str(tmp_path / "scores")
+    model = MO.cross_validate(train, folds=3, reg=(0.01, 0.5), enet=(0.0, 1.0), scores_path=path)
+    con = duck(SF_MID)
+    want = con.execute(f"""
+        WITH s AS (SELECT * FROM read_parquet('{path}/*.parquet')),
+        ranked AS (SELECT *, (rank() OVER w + rank() OVER w + count(*) OVER (PARTITION BY setting, fold, margin) - 1) / 2.0 AS r
+                   FROM s WINDOW w AS (PARTITION BY setting, fold ORDER BY margin))
+        SELECT setting, fold, (sum(r) FILTER (label = 1) - p * (p + 1) / 2.0) / (p * q) AS auc, p + q AS n
+        FROM ranked JOIN (SELECT setting, fold, count_if(label = 1) AS p, count_if(label = 0) AS q FROM s GROUP BY ALL) c USING (setting, fold)
+        GROUP BY setting, fold, p, q ORDER BY ALL""").fetchall()
+    got = sorted(map(tuple, MO.fold_auc(spark.read.parquet(path)).collect()))
+    assert len(got) == 12 and [r[:2] for r in got] == [r[:2] for r in want]
+    assert all(abs(a[2] - b[2]) < 1e-12 for a, b in zip(got, want))
+    for i, mean in enumerate(model.avgMetrics):
+        assert abs(mean - sum(r[2] for r in want if r[0] == i) / 3) < 1e-12
+    # every row of the train part is held out once a setting
+    assert sum(r[3] for r in want) == 4 * train.count()
+    best = max(range(4), key=lambda i: model.avgMetrics[i])
+    assert MO.fitted_stage(model.bestModel, MO.LogisticRegressionModel).getRegParam() == (0.01, 0.01, 0.5, 0.5)[best]
+
+
+def test_fold_scores_are_the_models_margins(spark):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+    rows = spark.range(400).selectExpr("id AS review_id", "double(id % 7) AS normalized_business_review_count", "3.0D AS normalized_user_review_count",
+                                       "int(id % 7 + id % 3 > 4) AS label", "1.0D AS class_weight").withColumn("_fold", (F.col("review_id") % 2).cast("int"))
+    _, lr = MO.build_pipeline()
+    grid = MO.param_grid(lr, (0.01,), (0.0, 0.5))
+    models = MO.fit_folds(rows, grid, MO.FEATURE_COLUMNS, lr, 2, 2)
+    scores = MO.fold_scores(rows, models, "review_id", MO.FEATURE_COLUMNS)
+    assert scores.count() == 800
+    for m in models:
+        own = m.model.transform(rows.where(F.col("_fold") == m.fold)).select("review_id", vector_to_array("rawPrediction")[1].alias("raw"))
+        both = own.join(scores.where((F.col("fold") == m.fold) & (F.col("setting") == m.setting)), "review_id")
+        assert both.count() == 200 and both.agg(F.max(F.abs(F.col("raw") - F.col("margin")))).first()[0] < 1e-9
