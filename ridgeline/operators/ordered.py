@@ -35,6 +35,11 @@ def range_of(edges: Column, x: Column, buckets: int) -> Column:
         (at + step <= F.size(edges)) & (F.get(edges, at + step - 1) <= x), at + step).otherwise(at))
 
 
+def _cuts(x: str, ranges: int, accuracy: int) -> Column:
+    """Up to ``ranges - 1`` sorted approximate quantiles of ``x`` (the list is SQL text: one call, not one per number)."""
+    return F.expr(f"array_sort(array_distinct(percentile_approx({x}, array({', '.join(f'{i / ranges!r}D' for i in range(1, ranges))}), {accuracy})))")
+
+
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
                  buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_", by: Sequence[str] = ()) -> DataFrame:
     """Add ``{prefix}{c}``: inclusive running sum of ``c`` in ``order_col`` order, within ``by``.
@@ -44,10 +49,8 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descend
     by = list(by)
     key = F.col(order_col).cast("double")
     keyed = df.withColumn("_ord", -key if descending else key)
-    probs = [i / buckets for i in range(1, buckets)]
-    if probs:
-        edges = keyed.groupBy(*by).agg(
-            F.array_sort(F.array_distinct(F.percentile_approx("_ord", probs, max(10_000, 10 * buckets)))).alias("e"))
+    if buckets > 1:
+        edges = keyed.groupBy(*by).agg(_cuts("_ord", buckets, max(10_000, 10 * buckets)).alias("e"))
         keyed = keyed.join(edges, by) if by else with_stats(keyed, edges, "_q").withColumn("e", F.col("_q.e")).drop("_q")
         keyed = keyed.withColumn("_bucket", range_of(F.col("e"), F.col("_ord"), buckets)).drop("e")
     else:
@@ -76,20 +79,53 @@ def finite(df: DataFrame, c: str = "x") -> DataFrame:
     return df.filter(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
 
 
-def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+#: Ranges that the values are counted in before the ones that hold the wanted ranks are looked at.
+SELECT_RANGES = 1024
+
+
+def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], names: Sequence[str] | None = None,
+                    ranges: int = SELECT_RANGES, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """One row of exact quantiles of ``c`` with linear interpolation between order
     statistics (position ``p * (n - 1)``; NumPy's default and SQL ``percentile_cont``).
 
-    Distributed: per-value counts, exact running counts (see module doc), then the rows
-    holding the needed ranks are picked by a filter and one aggregate.  Nothing is
-    collected; the largest state is one range's distinct values in one window task."""
-    return quantiles_from_counts(value_counts(df, c), probs, names, buckets)
+    By selection, without a table of all values: approximate quantiles cut the values into
+    ``ranges`` (one number per range travels); the rows of each are counted (again one number per
+    range); only the ranges that hold a wanted rank, about one in ``ranges`` for each, are counted by
+    value and ranked (see :func:`running_sums`).  The counts make the result exact whatever the cuts
+    are.  The column is scanned three times: stage a costly one first.  No value at all gives NULLs."""
+    names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
+    if ranges < 2:
+        raise ValueError("ranges must be >= 2")
+    rows = finite(df.select(F.col(c).cast("double").alias("x")))
+    edges = rows.agg(_cuts("x", ranges, max(10_000, 4 * ranges)).alias("e"))
+    cut = with_stats(rows, edges).select("x", range_of(F.col("_s.e"), F.col("x"), ranges).alias("r"))
+    # at most one row a range: a window in one task
+    order = Window.orderBy("r")
+    totals = cut.groupBy("r").agg(F.count(F.lit(1)).alias("w")).select(
+        "r", "w", (F.sum("w").over(order) - F.col("w")).alias("before"), F.sum("w").over(Window.partitionBy()).alias("n"))
+    positions = [F.lit(float(p)) * (F.col("n") - 1).cast("double") for p in probs]
+    ranks = [f(pos) for pos in positions for f in (F.floor, F.ceil)]
+    holds = F.array_sort(F.array_distinct(F.array(*[r.cast("bigint") for r in ranks])))
+    kept = totals.where(F.exists(holds, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("w")))).agg(
+        F.map_from_entries(F.collect_list(F.struct("r", "before"))).alias("before"), F.max("n").alias("n"))
+    inside = with_stats(cut, kept, "_k").where("map_contains_key(_k.before, r)")
+    counts = inside.groupBy("r", "x").agg(F.count(F.lit(1)).alias("w"))
+    ranked = with_stats(running_sums(counts, "x", ["w"], buckets=buckets, by=["r"]), kept, "_k").select(
+        "x", F.col("_k.n").alias("n"), (F.col("_k.before")[F.col("r")] + F.col("cum_w")).alias("end"), "w")
+
+    def at_rank(r):
+        return F.max(F.when((F.col("end") - F.col("w") <= r) & (r < F.col("end")), F.col("x")))
+
+    aggs = []
+    for i, pos in enumerate(positions):
+        aggs += [at_rank(F.floor(pos)).alias(f"_lo{i}"), at_rank(F.ceil(pos)).alias(f"_hi{i}"), F.max(pos - F.floor(pos)).alias(f"_f{i}")]
+    return ranked.agg(*aggs).select(*[
+        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(names[i]) for i in range(len(probs))])
 
 
 def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], names: Sequence[str] | None = None,
                           buckets: int = DEFAULT_BUCKETS, by: Sequence[str] = ()) -> DataFrame:
-    """:func:`exact_quantiles` on a ``([by,] x, w)`` value-count table: one row (per group)."""
+    """:func:`exact_quantiles` of a ``([by,] x, w)`` value-count table, of which all values are ranked: one row (per group)."""
     by = list(by)
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
     ranked = running_sums(counts, "x", ["w"], buckets=buckets, by=by).withColumn("_start", F.col("cum_w") - F.col("w"))

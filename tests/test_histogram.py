@@ -198,3 +198,63 @@ def test_grouped_histogram_auto_bins(spark):
     out = H.histogram(spark.createDataFrame(rows, "g int, v double"), "v", "auto", by="g").collect()
     k = len(np.histogram_bin_edges(x, bins="auto")) - 1
     assert len(out) == 2 * k and sum(r.n for r in out) == 2000
+
+
+def test_selection_on_all_distinct_values(spark):
+    import numpy as np
+
+    from ridgeline.operators.ordered import exact_quantiles
+    probs = [0.0, 0.01, 0.25, 0.5, 0.333, 0.75, 0.99, 1.0]
+    rows = spark.range(50000).selectExpr("pow(pmod(id * 7919, 50021), 3) - 1e9 AS x")
+    x = np.array([r.x for r in rows.collect()])
+    for ranges in (2, 50, 4096):
+        got = tuple(exact_quantiles(rows, "x", probs, ranges=ranges).first())
+        assert np.allclose(got, np.quantile(x, probs), rtol=1e-12, atol=0)
+
+
+def test_selection_with_ties_gaps_and_few_rows(spark):
+    import numpy as np
+
+    from ridgeline.operators.ordered import exact_quantiles
+    rng = np.random.default_rng(3)
+    tables = [[5.0] * 300, [1.0], [1.0, 2.0], [0.0] * 900 + [1e300, -1e300, 3.5], list(rng.integers(0, 4, 500).astype(float)),
+              list(np.repeat(rng.normal(size=40), rng.integers(1, 30, 40)))]
+    for values in tables:
+        rows = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),), (float("inf"),)], "x double")
+        got = exact_quantiles(rows, "x", [0.1, 0.25, 0.5, 0.75], ["a", "b", "c", "d"], ranges=16).first()
+        assert np.allclose(tuple(got), np.quantile(values, [0.1, 0.25, 0.5, 0.75]), rtol=1e-12, atol=1e-300)
+    none = exact_quantiles(spark.createDataFrame([], "x double"), "x", [0.5]).collect()
+    assert [tuple(r) for r in none] == [(None,)]
+
+
+def test_histogram_of_staged_rows(spark, tmp_path):
+    from ridgeline.operators.histogram import histogram
+    rows = spark.range(2000).selectExpr("id % 97 * 1.5 AS v", "IF(id % 5 = 0, NULL, id % 3) AS g", "repeat('x', 50) AS text")
+    for by in (None, "g"):
+        plain = histogram(rows, "v", "auto", by)
+        staged = histogram(rows, "v", "auto", by, staging=str(tmp_path / str(by)))
+        assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, staged.collect()), key=str)
+        assert spark.read.parquet(str(tmp_path / str(by))).columns == ([by] if by else []) + ["x"]
+
+
+def test_density_has_no_join_with_the_grid(spark):
+    from ridgeline.operators.histogram import density
+    rows = spark.range(3000).selectExpr("id * 0.5 AS v", "id % 2 AS g")
+    for by in (None, "g"):
+        out = density(rows, "v", by=by)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_density_band_changes_no_value(spark):
+    import numpy as np
+
+    from ridgeline.operators.histogram import density
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=3000) * 1e-3, [50.0, -40.0]])  # narrow bandwidth, points far from every value
+    got = [r.density for r in density(spark.createDataFrame([(float(v),) for v in x], "v double"), "v", points=60).orderBy("point").collect()]
+    h = x.std(ddof=1) * len(x) ** -0.2
+    at = np.linspace(x.min(), x.max(), 60)
+    want = np.exp(-0.5 * ((at[:, None] - x[None]) / h) ** 2).sum(axis=1) / (len(x) * h * np.sqrt(2 * np.pi))
+    assert np.allclose(got, want, rtol=1e-9, atol=1e-300)
