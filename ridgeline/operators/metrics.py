@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions.columns import with_stats
-from ridgeline.operators.ordered import running_sums
+from ridgeline.operators.ordered import DEFAULT_BUCKETS, running_sums
 
 
 def _confusion_aggs(label: str, pred: str) -> list[Column]:
@@ -86,11 +86,20 @@ def auc_exact(df: DataFrame, label: str = "label", score: str = "score") -> Data
     return auc_by(df, (), label, score)
 
 
-def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def roc_points(df: DataFrame, label: str = "label", score: str = "score", drop_collinear: bool = False,
+               buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """``(threshold, fpr, tpr)``: one point per distinct score (predict 1 when
-    ``score >= threshold``), plus the origin with a NULL threshold."""
+    ``score >= threshold``), plus the origin with a NULL threshold.
+
+    ``drop_collinear`` leaves out points in the middle of a straight, evenly stepped stretch, which change
+    neither a drawn curve nor its area: those after which as many positives and negatives are
+    added as with them.  The first and the last score stay."""
     counts = score_counts(df, label, score)
-    per = running_sums(counts, "s", ["pos", "neg"], descending=True)
+    per = running_sums(counts, "s", ["pos", "neg"], descending=True, buckets=buckets, following=["pos", "neg"] if drop_collinear else [])
+    if drop_collinear:
+        first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+        turns = ~(F.col("next_pos").eqNullSafe(F.col("pos")) & F.col("next_neg").eqNullSafe(F.col("neg")))
+        per = per.where(first | turns)
     totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     points = with_stats(per, totals).select(
         F.col("s").alias("threshold"),

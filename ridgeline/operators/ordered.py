@@ -41,11 +41,13 @@ def _cuts(x: str, ranges: int, accuracy: int) -> Column:
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
-                 buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_", by: Sequence[str] = ()) -> DataFrame:
+                 buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_", by: Sequence[str] = (), following: Sequence[str] = ()) -> DataFrame:
     """Add ``{prefix}{c}``: inclusive running sum of ``c`` in ``order_col`` order, within ``by``.
 
     ``order_col`` must be unique within ``by``, non-NULL and not NaN; infinities are ordinary
-    keys.  ``by`` columns must not be NULL.  ``descending`` runs from the largest key down."""
+    keys.  ``by`` columns must not be NULL.  ``descending`` runs from the largest key down.
+    ``following`` columns (never NULL) also get ``next_{c}``, the value in the next row: across the border
+    of two ranges it is the first of the next range, carried with the range totals; NULL in the last row."""
     by = list(by)
     key = F.col(order_col).cast("double")
     keyed = df.withColumn("_ord", -key if descending else key)
@@ -56,17 +58,22 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str], descend
     else:
         keyed = keyed.withColumn("_bucket", F.lit(0))
 
-    totals = keyed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    totals = keyed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols],
+                                               *[F.min_by(c, "_ord").alias(f"_f_{c}") for c in following])
+    ranges = Window.partitionBy(*by).orderBy("_bucket")
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *by, "_bucket",
         *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
+        *[F.lead(f"_f_{c}").over(ranges).alias(f"_halo_{c}") for c in following],
     )
     within = Window.partitionBy(*by, "_bucket").orderBy("_ord").rowsBetween(Window.unboundedPreceding, 0)
     out = keyed.join(offsets, [*by, "_bucket"], "inner").withColumns({
         f"{prefix}{c}": F.col(f"_off_{c}") + F.sum(c).over(within) for c in sum_cols
     })
-    return out.drop("_bucket", "_ord", *[f"_off_{c}" for c in sum_cols])
+    rows = Window.partitionBy(*by, "_bucket").orderBy("_ord")
+    out = out.withColumns({f"next_{c}": F.coalesce(F.lead(c).over(rows), F.col(f"_halo_{c}")) for c in following}) if following else out
+    return out.drop("_bucket", "_ord", *[f"_off_{c}" for c in sum_cols], *[f"_halo_{c}" for c in following])
 
 
 def value_counts(df: DataFrame, c: str) -> DataFrame:

@@ -43,6 +43,30 @@ def sample_fraction(df: DataFrame, key: str, fraction: float) -> DataFrame:
     return df.filter(hash_unit(key, 1_000_000, SAMPLE_SALT) < F.lit(int(round(fraction * 1_000_000)))).withColumn("sample_fraction", share)
 
 
+def sample_exact(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Exactly ``n`` rows (all, if there are fewer): those with the smallest hashes of ``key``, ties by ``key``.
+
+    Every task keeps its ``n`` smallest and the kept ones are merged (a bounded top-n; Spark sorts
+    instead where ``n`` is large).  The same rows whatever the partitioning and however often a task runs."""
+    if n < 0:
+        raise ValueError("n must not be negative")
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(SAMPLE_SALT)))
+    return (df.withColumn("_hash", F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"))
+            .orderBy("_hash", key).limit(n).drop("_hash"))
+
+
+def sample_bytes(df: DataFrame, path: str, key: str, cap: int) -> DataFrame:
+    """Rows of ``df`` for about ``cap`` bytes of the input it is read from, whose size is measured at ``path``.
+
+    An input within the cap is returned whole.  Beyond it the rows are ``ceil(rows * cap / size)``, exactly."""
+    from ridgeline.sources.io import input_bytes
+
+    size = input_bytes(df.sparkSession, path).first().input_bytes
+    if size <= cap:
+        return df
+    return sample_exact(df, key, -(-df.count() * cap // size))
+
+
 def fraction_for_bytes(total: int, cap: int) -> float:
     """The fraction that brings ``total`` input bytes to about ``cap`` (1 at or below it)."""
     return 1.0 if total <= cap else cap / total

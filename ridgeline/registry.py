@@ -743,6 +743,22 @@ def q_roc_curve(spark, d):
     return round_doubles(M.roc_points(_scored(spark, d)))
 
 
+@query("roc_curve_turns", with_views("scored") + f"""
+, c AS (SELECT CAST(score AS DOUBLE) AS s, count_if(label = 1) AS pos, count_if(label = 0) AS neg FROM scored
+        WHERE score IS NOT NULL AND NOT isnan(score) AND label IS NOT NULL GROUP BY 1),
+w AS (SELECT *, sum(pos) OVER o AS cp, sum(neg) OVER o AS cn, lead(pos) OVER (ORDER BY s DESC) AS np, lead(neg) OVER (ORDER BY s DESC) AS nn,
+        row_number() OVER (ORDER BY s DESC) AS i FROM c WINDOW o AS (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+t AS (SELECT sum(pos) AS p, sum(neg) AS n FROM c)
+SELECT NULL::DOUBLE AS threshold, CASE WHEN n > 0 THEN 0.0 END AS fpr, CASE WHEN p > 0 THEN 0.0 END AS tpr FROM t WHERE p + n > 0
+UNION ALL
+SELECT s, round(CASE WHEN n = 0 THEN NULL ELSE CAST(cn AS DOUBLE) / CAST(n AS DOUBLE) END, {ROUND}),
+  round(CASE WHEN p = 0 THEN NULL ELSE CAST(cp AS DOUBLE) / CAST(p AS DOUBLE) END, {ROUND})
+FROM w, t WHERE i = 1 OR np IS DISTINCT FROM pos OR nn IS DISTINCT FROM neg""")
+def q_roc_curve_turns(spark, d):
+    """The ROC curve without the points in the middle of straight stretches."""
+    return round_doubles(M.roc_points(_scored(spark, d), drop_collinear=True))
+
+
 @query("confusion_matrix", with_views("scored") + """
 SELECT coalesce(g.label, c.label) AS label, coalesce(g.prediction, c.prediction) AS prediction,
   CAST(coalesce(c.n, 0) AS BIGINT) AS n
@@ -802,6 +818,15 @@ def q_sample_to_bytes(spark, d):
     return L.sample_fraction(fx.base(spark, d, "events"), "event_id", L.fraction_for_bytes(400, 100))
 
 
+@query("sample_measured_bytes", f"""
+SELECT * FROM events ORDER BY {_hash_sql("event_id", L.SAMPLE_SALT)}, event_id LIMIT (SELECT CAST(ceil(count(*) / 4.0) AS BIGINT) FROM events)""")
+def q_sample_measured_bytes(spark, d):
+    """The rows for a quarter of the bytes that the table's files really have."""
+    path = f"{d.rstrip('/')}/events.parquet"
+    size = IO.input_bytes(spark, path).first().input_bytes
+    return L.sample_bytes(IO.read_table(spark, path), path, "event_id", size // 4)
+
+
 @query("split_random", _invariants_sql("complete", "disjoint", "within_five_sigma"))
 def q_split_random(spark, d):
     rows = fx.review(spark, d).select("review_id", "stars")

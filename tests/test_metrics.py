@@ -88,3 +88,33 @@ def test_single_score_and_empty_input(spark):
     empty = spark.createDataFrame([], "label int, score double")
     assert M.auc_exact(empty).first().auc is None
     assert M.roc_points(empty).count() == 0
+
+
+def test_roc_without_collinear_points(spark):
+    import random
+
+    import numpy as np
+
+    from ridgeline.operators.metrics import roc_points
+    rng = random.Random(2)
+    for n, k in ((400, 1000), (400, 12), (1, 5), (60, 60)):
+        rows = [(rng.randrange(k) / 8, int(rng.random() < 0.7)) for _ in range(n)]
+        scores = sorted({s for s, _ in rows}, reverse=True)
+        pos = np.array([sum(y for s, y in rows if s == t) for t in scores])
+        neg = np.array([sum(1 - y for s, y in rows if s == t) for t in scores])
+        tps, fps = np.cumsum(pos), np.cumsum(neg)
+        keep = np.ones(len(scores), bool)
+        if len(scores) > 2:
+            keep[1:-1] = (np.diff(fps, 2) != 0) | (np.diff(tps, 2) != 0)
+        df = spark.createDataFrame(rows, "score double, label int")
+        for buckets in (3, 64):
+            got = roc_points(df, drop_collinear=True, buckets=buckets).where("threshold IS NOT NULL").orderBy("threshold", ascending=False).collect()
+            assert [r.threshold for r in got] == [s for s, y in zip(scores, keep) if y]
+            want = tps[keep] / tps[-1] if tps[-1] else [None] * keep.sum()
+            assert [r.tpr for r in got] == list(want)
+        assert roc_points(df).count() == len(scores) + 1
+
+
+def test_roc_without_collinear_points_of_an_empty_table(spark):
+    from ridgeline.operators.metrics import roc_points
+    assert roc_points(spark.createDataFrame([], "score double, label int"), drop_collinear=True).collect() == []

@@ -55,3 +55,21 @@ def test_first_values_and_limit(spark):
     df = spark.createDataFrame([(3,), (None,), (1,), (2,)], "x int")
     assert [r.x for r in L.first_values(df, "x", 2).collect()] == [1, 2]
     assert [r.x for r in L.limit_rows(df.dropna(), 1, "x").collect()] == [1]
+
+
+def test_sample_exact(spark):
+    import hashlib
+    rows = spark.range(1000)
+    order = sorted(range(1000), key=lambda i: (int(hashlib.md5(f"{i}{L.SAMPLE_SALT}".encode()).hexdigest()[:8], 16), i))
+    for n in (0, 1, 137, 1000, 5000):
+        for parts in (1, 7):
+            assert sorted(r.id for r in L.sample_exact(rows.repartition(parts), "id", n).collect()) == sorted(order[:n])
+
+
+def test_sample_bytes_measures_its_input(spark, tmp_path):
+    from ridgeline.sources.io import input_bytes
+    path = str(tmp_path / "t")
+    spark.range(1001).repartition(3).write.parquet(path)
+    size, table = input_bytes(spark, path).first().input_bytes, spark.read.parquet(path)
+    assert L.sample_bytes(table, path, "id", size).count() == 1001
+    assert L.sample_bytes(table, path, "id", size // 2).count() == -(-1001 * (size // 2) // size)
