@@ -18,7 +18,7 @@ from ridgeline.operators import histogram as H
 from ridgeline.operators import metrics as M
 from ridgeline.operators import profile as P
 from ridgeline.operators import sampling as L
-from ridgeline.operators.joins import enrich, review_business
+from ridgeline.operators.joins import bucketed_star, enrich, review_business
 from ridgeline.session import scratch_path
 from ridgeline.plans import features as FE
 from ridgeline.sources import fixtures as fx
@@ -111,6 +111,13 @@ def q_star_enrich(spark, d):
     return enrich(*_star(spark, d))
 
 
+@query("star_enrich_bucketed", ORACLE["star_enrich"])
+def q_star_enrich_bucketed(spark, d):
+    """The star join over a fact table and users that are stored in buckets of the join key."""
+    folder = scratch_path(spark, "star")
+    return enrich(*bucketed_star(*_star(spark, d), folder, folder.rsplit("/", 1)[-1].replace("-", "_"), buckets=16))
+
+
 @query("review_business", with_views("review", "business") + """
 SELECT r.review_id, r.stars AS review_stars, b.business_id, b.stars AS business_stars,
   b.review_count AS business_review_count
