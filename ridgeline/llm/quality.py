@@ -36,6 +36,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _UPPER, _LOWER, _DIGIT, _HIGH, _MARK = 1, 2, 4, 8, 16
 _BIT = np.full(256, _MARK, np.uint8)
 _BIT[65:91], _BIT[97:123], _BIT[48:58], _BIT[128:] = _UPPER, _LOWER, _DIGIT, _HIGH
+_BIT[_SPACE] = 0  # white space after a word is no part of its shape
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
