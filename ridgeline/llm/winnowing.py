@@ -1,10 +1,17 @@
 """Document fingerprints by winnowing, in DataFrame operations only.
 
-Tokens are the words of the lower-cased text (longer ones cut into pieces of ``MOST_CHARS``).
-Every run of ``k`` tokens has a hash; of every window of ``w`` consecutive runs the smallest
-hash is chosen, the rightmost one on ties, with its token position.  Two texts that share a
-run of ``w + k - 1`` tokens share a chosen hash.  A text of fewer than ``k`` tokens has one
-run of all of them, a text without tokens an empty fingerprint.
+Tokens are the words of the lower-cased text.  Words of more than ``MOST_CHARS`` characters, and
+all characters from U+0E00 on (scripts that are written without spaces among them), are cut
+where their content says so: after every character from U+0E00 on and every one of ``CUT_AFTER``,
+and after ``MOST_CHARS`` characters without any of these.  So a passage is cut alike wherever it
+stands in a long word, from the first such character on.
+
+Every run of ``k`` tokens has a hash; of every window of consecutive runs the smallest hash is
+chosen, the rightmost one on ties, with its token position.  A window has ``w`` runs, in texts of
+fewer than ``SHARES * w`` runs one run for every ``SHARES`` of the text (at least one).  Two texts that share a
+run of ``w + k - 1`` tokens share a chosen hash: what is chosen in a wide window is also chosen
+in the narrower ones.  A text of fewer than ``k`` tokens has one run of all of them, a text
+without tokens an empty fingerprint.
 """
 
 from __future__ import annotations
@@ -13,6 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MOST_CHARS = 16
+#: Characters after which a long word is cut (in a regular expression's character class).
+CUT_AFTER = "aeiou/;,=&."
+#: Windows that a short text has at least, for as many runs.
+SHARES = 8
+_SPACE, _WIDE = r"\x20\x09-\x0D", r"\x{0E00}-\x{10FFFF}"
+TOKEN = (rf"(?<![^{_SPACE}])[^{_SPACE}{_WIDE}]{{1,{MOST_CHARS}}}(?![^{_SPACE}])"
+         rf"|[^{_SPACE}{_WIDE}{CUT_AFTER}]{{0,{MOST_CHARS - 1}}}[{_WIDE}{CUT_AFTER}]|[^{_SPACE}]{{1,{MOST_CHARS}}}")
 #: Fixed: position bits below a packed 32-bit hash.
 POSITION_BITS = 31
 _POSITION = (1 << POSITION_BITS) - 1
@@ -30,18 +44,19 @@ def fingerprint(df: DataFrame, text: str, out: str, k: int = 5, w: int = 16) ->
     optimizer does not merge them.
     """
     words, hashes, runs = f"_{out}_words", f"_{out}_hashes", f"_{out}_runs"
-    pattern = F.lit(r"[^\x20\x09-\x0D]{1,%d}" % MOST_CHARS)
+    window = f"_{out}_window"
     keep = df.columns
-    df = _columns(df, **{words: F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), pattern, F.lit(0))})
+    df = _columns(df, **{words: F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN), F.lit(0))})
     df = _columns(df, **{hashes: F.transform(words, lambda x: F.xxhash64(x))})
     run = ", ".join(f"get({hashes}, i + {j})" for j in range(k))
     df = _columns(df, **{runs: F.expr(
         f"CASE WHEN size({hashes}) = 0 THEN CAST(array() AS ARRAY<BIGINT>) "
         f"ELSE transform(sequence(0, greatest(size({hashes}) - {k}, 0)), i -> "
         f"(xxhash64({run}) & 4294967295L) * {1 << POSITION_BITS}L + ({_POSITION}L - i)) END")})
+    df = _columns(df, **{window: F.expr(f"least({w}, greatest(1, cast(ceil(size({runs}) / {SHARES}) as int)))")})
     df = _columns(df, **{out: F.expr(
         f"CASE WHEN size({runs}) = 0 THEN {runs} ELSE array_distinct("
-        f"transform(sequence(1, greatest(size({runs}) - {w} + 1, 1)), i -> array_min(slice({runs}, i, {w})))) END")})
+        f"transform(sequence(1, greatest(size({runs}) - {window} + 1, 1)), i -> array_min(slice({runs}, i, {window})))) END")})
     return df.select(*keep, out)
 
 

@@ -8,7 +8,7 @@ from helpers import SCHEMA, frame, prose, words
 from pyspark.sql import functions as F
 
 from ridgeline.llm.mixing import mix_sources, source_targets, take_copies
-from ridgeline.llm.winnowing import fingerprint_documents, with_next
+from ridgeline.llm.winnowing import CUT_AFTER, TOKEN, fingerprint_documents, with_next
 
 
 def parsed(text):
@@ -56,6 +56,52 @@ def test_winnowing_guarantee(spark):
             assert all(known.get(runs[p], 1 << 40) > best[0] or (known[runs[p]] == best[0] and p <= -best[1]) for p in range(a, a + w))
 
 
+def brute_tokens(text):
+    """Tokens by a walk over the characters of every word."""
+    out = []
+    for word in words(text or ""):
+        if len(word) <= 16 and all(ord(c) < 0x0E00 for c in word):
+            out.append(word)
+            continue
+        at = ""
+        for c in word:
+            at += c
+            if ord(c) >= 0x0E00 or c in CUT_AFTER or len(at) == 16:
+                out.append(at)
+                at = ""
+        out += [at] if at else []
+    return out
+
+
+def test_tokens_and_windows_brute_force(spark):
+    rng = random.Random(12)
+    alphabet = "bcdfghjklmnpqrstvwxyz0123456789+-_aeiou/;,=&.\u4e2d\u6587\u0e01\U00020000\u2019"
+    texts = [None, "", " ", "a" * 16, "b" * 16, "b" * 17, "b" * 33, "\u4e2d", "x\u4e2dy",
+             *(" ".join("".join(rng.choices(alphabet, k=rng.choice([1, 5, 15, 16, 17, 40, 90]))) for _ in range(rng.randrange(1, 60)))
+               for _ in range(150))]
+    rows = frame(spark, texts).select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0)).alias("tokens"))
+    assert {r.doc_id: r.tokens or [] for r in rows.collect()} == {i: brute_tokens(t) for i, t in enumerate(texts)}
+    out = {r.doc_id: parsed(r.fingerprint) for r in fingerprint_documents(frame(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        tokens = brute_tokens(t)
+        n = max(len(tokens) - 4, 1) if tokens else 0
+        w = max(1, min(16, -(-n // 8)))
+        places = [int(p) for _, p in out[i]]
+        assert places == sorted(places) and bool(places) == bool(n)
+        assert all(any(a <= p < a + w for p in places) for a in range(n - w + 1)) and len(places) >= min(n, 8) / 2
+
+
+def test_text_without_spaces(spark):
+    rng = random.Random(13)
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(3000))
+    code = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789+/", k=6000))
+    short = " ".join(f"word{i}" for i in range(18))
+    texts = [chinese, "x" + chinese, code, "bbb" + code, short, "other words " * 9]
+    out = {r.doc_id: r for r in fingerprint_documents(frame(spark, texts)).collect()}
+    assert out[0].near_next > 0.9 and out[2].near_next > 0.9
+    assert 0 < out[4].near_edited < 1
+
+
 def test_odd_fingerprint_rows(spark):
     out = fingerprint_documents(frame(spark, ["x y", "x y", None, "z"], ids=[4, 4, None, None])).collect()
     assert len(out) == 4 and len({r.fingerprint for r in out if r.doc_id == 4}) == 1
