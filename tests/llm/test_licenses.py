@@ -3,7 +3,36 @@
 import duckdb
 from helpers import SCHEMA, frame
 
-from ridgeline.llm.licenses import NOTICES, TEXTS, oracle_sql, scan_licenses
+from pathlib import Path
+from textwrap import fill
+
+import pytest
+from pyspark.sql import functions as F
+
+from ridgeline.llm.licenses import DIGESTS, NOTICES, TEXTS, oracle_sql, scan_licenses, with_forms
+
+TITLES = {"MIT": "The MIT License (MIT)", "ISC": "ISC License", "0BSD": "BSD Zero Clause License",
+          "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": 'BSD 3-Clause "New" or "Revised" License',
+          "Zlib": "zlib License", "Unlicense": "The Unlicense", "BSL-1.0": "Boost Software License - Version 1.0 - August 17th, 2003"}
+
+
+def whole_texts():
+    """(text, licence): every whole text at many wrappings, with titles and statements, and near misses."""
+    docs = []
+    for name, text in TEXTS:
+        for width in (20, *range(60, 101), 100_000):
+            body = fill(" ".join(text.split()), width, break_long_words=False)
+            docs += [(body, name), (f"{TITLES[name]}\n\nCopyright (c) 2020 Someone\nCopyright The Authors\n\n{body}\n", name)]
+        one = " ".join(text.split())
+        docs += [(f"{TITLES[name]} Copyright \u00a9 2019-2020, Some One <a@b.c>. All rights reserved. {one}", name)]
+        docs += [(f"Copyright (c) 2020 Someone {one}", name), (f"Copyright 2020 Someone. {one}", name)]
+        for marks in (("*",) * 3, ("-",) * 3, ("\u2022",) * 3, ("(a)", "(b)", "(c)"), ("a)", "b)", "c)"), ("i.", "ii.", "iii.")):
+            other = text
+            for k, mark in enumerate(marks, 1):
+                other = other.replace(f"\n{k}. ", f"\n  {mark} ")
+            docs += [(other, name)]
+        docs += [(one + " Or not.", None), ("Some words. " + one, None)]
+    return [*docs, ("MIT License", None), ("MIT License\n\nPermission denied.", None), (None, None), ("", None)]
 
 
 def test_planted_licences(spark):
@@ -25,6 +54,9 @@ def test_planted_licences(spark):
 
 def test_sql_twin(spark):
     docs = [t for _, t in NOTICES] + [f"a\n{t}\nb" for _, t in NOTICES[:5]] + ["(c) 2001\nX", "LICENCE\nlicence", None, "é Ü"]
+    docs += [t for t, _ in whole_texts()[::3]]
+    docs += ["Released under the MIT License. Copyright (c) 2020 X", "copyright\nnotice\n\u00a9 2020 me\nLicensed under CC BY 4.0.",
+             "a (c) 2020 b\n(c) you must\nall rights reserved, x\ncopyright laws\n copyright: x"]
     out = sorted(scan_licenses(frame(spark, docs)).collect(), key=lambda r: r.doc_id)
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
@@ -33,19 +65,21 @@ def test_sql_twin(spark):
 
 
 def test_whole_texts_at_any_wrapping(spark):
-    import textwrap
+    docs = whole_texts()
+    out = {r.doc_id: r.whole_license for r in scan_licenses(frame(spark, [t for t, _ in docs])).collect()}
+    assert [(i, out[i]) for i in range(len(docs)) if out[i] != docs[i][1]] == []
 
-    from ridgeline.llm.licenses import MORE_TEXTS
 
-    titles = {"MIT": "The MIT License (MIT)", "ISC": "ISC License", "0BSD": "BSD Zero Clause License",
-              "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": 'BSD 3-Clause "New" or "Revised" License'}
-    docs, want = [], []
-    for name, text in (*TEXTS, *MORE_TEXTS):
-        for width in (20, *range(60, 101), 100_000):
-            body = textwrap.fill(" ".join(text.split()), width)
-            docs += [body, f"{titles[name]}\n\nCopyright (c) 2020 Someone\nCopyright The Authors\n\n{body}\n"]
-            want += [name, name]
-    docs += ["MIT License", "MIT License\n\nPermission denied."]
-    want += [None, None]
-    out = {r.doc_id: r.whole_license for r in scan_licenses(frame(spark, docs)).collect()}
-    assert [out[i] for i in range(len(docs))] == want
+def test_longer_texts(spark):
+    """Digests of the longer licences, where the system has their texts."""
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1",
+             "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0", "GFDL-1.3": "GFDL-1.3"}
+    have = [(name, (folder / f).read_text("utf-8")) for f, name in names.items() if (folder / f).exists()]
+    if not have:
+        pytest.skip("no licence texts on this system")
+    forms = with_forms(spark.createDataFrame(have, "license string, text string"), "text")
+    assert {tuple(r) for r in forms.select("license", F.sha2("_form", 256)).collect()} <= set(DIGESTS)
+    docs = [t for _, t in have] + ["\n".join(" ".join(p.split()) for p in t.upper().split("\n\n")) for n, t in have if n == "MPL-2.0"]
+    out = sorted(scan_licenses(frame(spark, docs)).collect(), key=lambda r: r.doc_id)
+    assert [r.whole_license for r in out] == [n for n, _ in have] + ["MPL-2.0"] * (len(docs) - len(have))
