@@ -9,14 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.functions.columns import hash_unit
+from ridgeline.functions.columns import hash_unit, with_stats
 
 # Samples and folds draw independently of the split.
 SAMPLE_SALT, FOLD_SALT = ":sample", ":fold"
 
+#: Ranges of equal width that the 32-bit hashes are counted in to find the n smallest.
+HASH_RANGES = 1 << 16
+
 
 def limit_rows(df: DataFrame, n: int, order_by: str | Sequence[str]) -> DataFrame:
     """First ``n`` rows by a key (a bounded top-n, not a full sort)."""
@@ -46,13 +49,24 @@ def sample_fraction(df: DataFrame, key: str, fraction: float) -> DataFrame:
 def sample_exact(df: DataFrame, key: str, n: int) -> DataFrame:
     """Exactly ``n`` rows (all, if there are fewer): those with the smallest hashes of ``key``, ties by ``key``.
 
-    Every task keeps its ``n`` smallest and the kept ones are merged (a bounded top-n; Spark sorts
-    instead where ``n`` is large).  The same rows whatever the partitioning and however often a task runs."""
+    By selection: the rows of each range of hashes are counted (one number a range travels), the ranges below the
+    one that holds the ``n``-th row are taken whole where they are read, and only the rows of that one, about one
+    in ``HASH_RANGES``, are sorted (more, if its key repeats that often).  ``df`` is scanned three times and must give the same rows each time.
+    The same rows whatever the partitioning and however often a task runs."""
     if n < 0:
         raise ValueError("n must not be negative")
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(SAMPLE_SALT)))
-    return (df.withColumn("_hash", F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"))
-            .orderBy("_hash", key).limit(n).drop("_hash"))
+    hashed = df.withColumn("_hash", F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"))
+    # rows without a key come first, as in a sort
+    ranged = hashed.withColumn("_range", F.coalesce(F.floor(F.col("_hash") / (2**32 // HASH_RANGES)), F.lit(-1)))
+    # a row a range: a window in one task
+    ends = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("w")).select("_range", F.sum("w").over(Window.orderBy("_range")).alias("end"))
+    cut = ends.agg(F.coalesce(F.min(F.when(F.col("end") > n, F.col("_range"))), F.lit(HASH_RANGES)).alias("border"),
+                   F.coalesce(F.max(F.when(F.col("end") <= n, F.col("end"))), F.lit(0)).alias("before"))
+    found = with_stats(ranged, cut, "_cut")
+    rank = F.row_number().over(Window.orderBy("_hash", key))
+    border = found.where(F.col("_range") == F.col("_cut.border")).withColumn("_rank", rank).where(F.col("_rank") + F.col("_cut.before") <= n)
+    return found.where(F.col("_range") < F.col("_cut.border")).select(*df.columns).unionAll(border.select(*df.columns))
 
 
 def sample_bytes(df: DataFrame, path: str, key: str, cap: int) -> DataFrame:

@@ -73,3 +73,13 @@ def test_sample_bytes_measures_its_input(spark, tmp_path):
     size, table = input_bytes(spark, path).first().input_bytes, spark.read.parquet(path)
     assert L.sample_bytes(table, path, "id", size).count() == 1001
     assert L.sample_bytes(table, path, "id", size // 2).count() == -(-1001 * (size // 2) // size)
+
+
+def test_sample_exact_sorts_the_border_only(spark):
+    rows = spark.range(1000).selectExpr("CASE WHEN id % 10 > 0 THEN id % 400 END AS id", "id AS k")
+    plan = L.sample_exact(rows, "id", 500)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan and "Limit" not in plan
+    # rows without a key come first, keys that repeat are ties
+    for n in (0, 40, 100, 101, 500, 999, 1000):
+        got = L.sample_exact(rows.repartition(3), "id", n).collect()
+        assert len(got) == len({r.k for r in got}) == n and sum(r.id is None for r in got) == min(n, 100)
