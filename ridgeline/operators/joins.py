@@ -78,13 +78,32 @@ def star(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str]], salts: in
     return wide
 
 
-def enrich(reviews: DataFrame, business: DataFrame, users: DataFrame, salts: int | None = None) -> DataFrame:
+def enrich_facts(reviews: DataFrame, business: DataFrame, users: DataFrame, salts: int | None = None) -> DataFrame:
+    """:func:`enrich` of reviews that have a ``text_id`` in place of their text: the projection without
+    the text, and the ``text_id``, by which :func:`attach_text` joins it."""
+    wide = star(reviews, [(business, "business_id"), (users, "user_id")], salts, "review_id")
+    return wide.select(*[F.col(f"`{source}`").alias(name) for source, name in STAR_COLUMNS if name != "text"], F.col("`fact.text_id`").alias("text_id"))
+
+
+def attach_text(facts: DataFrame, texts: DataFrame) -> DataFrame:
+    """Inner join with ``texts`` (``text_id, text``); the ``text_id`` goes."""
+    return facts.join(texts, "text_id").drop("text_id")
+
+
+def enrich(reviews: DataFrame, business: DataFrame, users: DataFrame, salts: int | None = None,
+           texts: DataFrame | None = None) -> DataFrame:
     """Review x business x user star join with the 20-column disambiguated projection.
 
     Catalyst prunes every scan to the projected columns and infers ``IsNotNull`` on
     both keys, which reaches the Parquet reader as a pushed filter.  With AQE on (the
     default) a hot business or user is split at run time; ``salts`` opts into explicit
-    salting of both joins instead."""
+    salting of both joins instead.
+
+    With ``texts`` (``text_id, text``) the reviews have a ``text_id`` in place of the text, which is joined
+    last: the other joins then shuffle narrow rows, and every text travels once, not once a review and join."""
+    names = [name for _, name in STAR_COLUMNS]
+    if texts is not None:
+        return attach_text(enrich_facts(reviews, business, users, salts), texts).select(*names)
     wide = star(reviews, [(business, "business_id"), (users, "user_id")], salts, "review_id")
     return wide.select(*[F.col(f"`{source}`").alias(name) for source, name in STAR_COLUMNS])
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions.columns import binarise, bucketise, geo_round, safe_div, text_length
 from ridgeline.functions.columns import with_stats
-from ridgeline.operators.joins import enrich
+from ridgeline.operators.joins import attach_text, enrich, enrich_facts
 
 # Fixed values from the reference feature table.
 HIGH_STAR_AT = 4
@@ -86,7 +86,8 @@ def feature_columns(df: DataFrame) -> DataFrame:
 
 
 def build_features(reviews: DataFrame, business: DataFrame, users: DataFrame,
-                   salts: int | None = None, staging: str | None = None, keep: Sequence[str] | None = None) -> DataFrame:
+                   salts: int | None = None, staging: str | None = None, keep: Sequence[str] | None = None,
+                   texts: DataFrame | None = None) -> DataFrame:
     """M7: the trusted feature table, 28 columns, or those of them named in ``keep``.
 
     All five scalars (n, n_pos, n_neg, two maxima) come from one aggregate over the joined
@@ -95,17 +96,25 @@ def build_features(reviews: DataFrame, business: DataFrame, users: DataFrame,
     table is shuffled once; without it the plan is lazy and the join runs for each of the
     two.  Row-local columns are written, too, and with ``keep`` no others than it needs, so that
     whoever wants the text's length only neither writes nor reads the text.  ``salts`` opts into an explicitly salted star join (see
-    :func:`ridgeline.operators.joins.enrich`)."""
-    base = add_target(enrich(reviews, business, users, salts))
+    :func:`ridgeline.operators.joins.enrich`).
+
+    With ``texts`` the reviews have a ``text_id`` in place of the text (see :func:`ridgeline.operators.joins.enrich`).
+    A text that is kept is then attached to the staged rows: it is neither staged nor read by who drops it."""
+    base = add_target(enrich(reviews, business, users, salts, texts))
     joined = feature_columns(base)
+    local = [c for c in joined.columns if c not in base.columns]
     counts = ("business_review_count", "user_review_count")
+    late = texts is not None and (keep is None or "text" in keep)
+    if late:
+        joined = add_buckets(geo_grid(add_target(enrich_facts(reviews, business, users, salts))))
     if keep is not None:
-        joined = joined.select(*[c for c in joined.columns if c in keep or c in ("is_high_star", *counts)])
+        joined = joined.select(*[c for c in joined.columns if c in keep or c in ("is_high_star", "text_id", *counts)])
     if staging is not None:
         joined.write.mode("overwrite").parquet(staging)
         joined = joined.sparkSession.read.schema(joined.schema).parquet(staging)
+    if late:
+        joined = add_text_length(attach_text(joined, texts))
     stats = joined.agg(*class_aggs("is_high_star"), *max_aggs(counts))
     scaled = {"class_weight": balanced_weight("is_high_star"), **max_ratios(counts, "normalized_")}
-    local = [c for c in joined.columns if c not in base.columns]
     out = [c for c in (*base.columns, *scaled, *local) if keep is None or c in keep]
     return with_stats(joined, stats).withColumns(scaled).select(*out)

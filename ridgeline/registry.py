@@ -48,12 +48,17 @@ def round_doubles(df: DataFrame, digits: int = ROUND) -> DataFrame:
     ])
 
 
-def _star(spark, d):
-    return fx.review(spark, d), fx.business(spark, d), fx.users(spark, d)
+def _facts(spark, d):
+    """The star with the texts apart, for the joins that attach them last."""
+    return fx.review_facts(spark, d), fx.business(spark, d), fx.users(spark, d)
+
+
+def _enriched(spark, d):
+    return enrich(*_facts(spark, d), texts=fx.review_texts(spark, d))
 
 
 def _features(spark, d, keep=None):
-    return FE.build_features(*_star(spark, d), staging=scratch_path(spark, "star"), keep=keep)
+    return FE.build_features(*_facts(spark, d), staging=scratch_path(spark, "star"), keep=keep, texts=fx.review_texts(spark, d))
 
 
 def _invariants(spark, checks: dict[str, bool]) -> DataFrame:
@@ -108,14 +113,15 @@ def q_trusted_features(spark, d):
 
 @query("star_enrich", _joined_with() + "SELECT * FROM joined")
 def q_star_enrich(spark, d):
-    return enrich(*_star(spark, d))
+    return _enriched(spark, d)
 
 
 @query("star_enrich_bucketed", ORACLE["star_enrich"])
 def q_star_enrich_bucketed(spark, d):
     """The star join over a fact table and users that are stored in buckets of the join key."""
     folder = scratch_path(spark, "star")
-    return enrich(*bucketed_star(*_star(spark, d), folder, folder.rsplit("/", 1)[-1].replace("-", "_"), buckets=16))
+    stored = bucketed_star(*_facts(spark, d), folder, folder.rsplit("/", 1)[-1].replace("-", "_"), buckets=16)
+    return enrich(*stored, texts=fx.review_texts(spark, d))
 
 
 @query("review_business", with_views("review", "business") + """
@@ -129,43 +135,43 @@ def q_review_business(spark, d):
 @query("is_high_star", _joined_with(targeted=TARGET_SQL)
        + "SELECT review_id, review_stars, is_high_star FROM targeted")
 def q_is_high_star(spark, d):
-    return FE.add_target(enrich(*_star(spark, d))).select("review_id", "review_stars", "is_high_star")
+    return FE.add_target(_enriched(spark, d)).select("review_id", "review_stars", "is_high_star")
 
 
 @query("class_counts", _joined_with(targeted=TARGET_SQL)
        + "SELECT is_high_star, count(*) AS count FROM targeted GROUP BY is_high_star")
 def q_class_counts(spark, d):
-    return P.class_counts(FE.add_target(enrich(*_star(spark, d))), "is_high_star")
+    return P.class_counts(FE.add_target(_enriched(spark, d)), "is_high_star")
 
 
 @query("class_weights", _features_with() + "SELECT review_id, is_high_star, class_weight FROM features")
 def q_class_weights(spark, d):
-    t = FE.add_target(enrich(*_star(spark, d)))
+    t = FE.add_target(_enriched(spark, d))
     return FE.class_weights(t).select("review_id", "is_high_star", "class_weight")
 
 
 @query("normalised_counts", _features_with()
        + "SELECT review_id, normalized_business_review_count, normalized_user_review_count FROM features")
 def q_normalised_counts(spark, d):
-    j = enrich(*_star(spark, d))
+    j = _enriched(spark, d)
     out = FE.normalise_max(j, ["business_review_count", "user_review_count"])
     return out.select("review_id", "normalized_business_review_count", "normalized_user_review_count")
 
 
 @query("rounded_geo", _features_with() + "SELECT review_id, rounded_latitude, rounded_longitude FROM features")
 def q_rounded_geo(spark, d):
-    return FE.feature_columns(enrich(*_star(spark, d))).select("review_id", "rounded_latitude", "rounded_longitude")
+    return FE.feature_columns(_enriched(spark, d)).select("review_id", "rounded_latitude", "rounded_longitude")
 
 
 @query("text_length", _features_with() + "SELECT review_id, review_text_length FROM features")
 def q_text_length(spark, d):
-    return FE.feature_columns(enrich(*_star(spark, d))).select("review_id", "review_text_length")
+    return FE.feature_columns(_enriched(spark, d)).select("review_id", "review_text_length")
 
 
 @query("user_review_bucket", _features_with()
        + "SELECT review_id, user_review_count, user_review_bucket FROM features")
 def q_user_review_bucket(spark, d):
-    return FE.feature_columns(enrich(*_star(spark, d))).select("review_id", "user_review_count", "user_review_bucket")
+    return FE.feature_columns(_enriched(spark, d)).select("review_id", "user_review_count", "user_review_bucket")
 
 
 # --------------------------------------------------------------------------- cleaning
@@ -222,6 +228,13 @@ def _dirty(spark, d):
     return fx.review_dirty(spark, d)
 
 
+def _staged_dirty(spark, d):
+    """``review_dirty`` written once and read back, for those who read it several times: its join runs once."""
+    path = scratch_path(spark, "dirty")
+    IO.write_parquet(_dirty(spark, d), path)
+    return IO.read_table(spark, path)
+
+
 NOT_NULL_ALL = " AND ".join(f"{c} IS NOT NULL" for c in DIRTY_COLS) + " AND NOT isnan(stars)"
 
 
@@ -396,7 +409,7 @@ _CORR_COLS = ("review_stars", "business_stars", "latitude", "longitude", "user_a
     f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({c}) AS n_nulls, true AS as_whole, true AS within FROM review_dirty" for c in DIRTY_COLS))
 def q_distinct_sketches(spark, d):
     """Sketches stored per part of the table and united on reading: estimates as of the whole's, near the exact counts."""
-    dirty = _dirty(spark, d)
+    dirty = _staged_dirty(spark, d)
     path = scratch_path(spark, "sketches")
     for k in range(3):
         IO.write_parquet(P.distinct_sketches(dirty.where(F.col("review_id") % 3 == k)), f"{path}/part={k}")
@@ -899,10 +912,10 @@ _ZONE_TABLES = {
 BROKEN = 3
 
 
-def _land(spark, d) -> str:
-    """Write the fixture tables to a fresh landing zone as JSON lines."""
+def _land(spark, d, names=tuple(_ZONE_TABLES)) -> str:
+    """Write the named fixture tables to a fresh landing zone as JSON lines."""
     landing = scratch_path(spark, "landing")
-    for name in _ZONE_TABLES:
+    for name in names:
         path = Z.landing_path(landing, name)
         IO.write_json(fx.VIEWS[name](spark, d), path)
         spark.range(BROKEN).selectExpr("concat('{\"broken\": ', id) AS value").write.mode("append").text(path)
@@ -922,7 +935,7 @@ def q_clean_zone_counts(spark, d):
 SELECT count(*) + {BROKEN} AS n_lines, CAST({BROKEN} AS BIGINT) AS malformed, count(stars) AS with_stars FROM review_dirty""")
 def q_json_malformed(spark, d):
     """Every line is read; malformed ones are counted."""
-    lines = IO.read_json_lines(spark, Z.landing_path(_land(spark, d), "review_dirty"))
+    lines = IO.read_json_lines(spark, Z.landing_path(_land(spark, d, ("review_dirty",)), "review_dirty"))
     return lines.agg(F.count("*").alias("n_lines"), F.count(IO.CORRUPT).alias("malformed"), F.count("stars").alias("with_stars"))
 
 
@@ -952,7 +965,7 @@ def q_repartition_files(spark, d):
     _profile_sql("features", ("is_high_star", "review_text_length", "user_review_bucket"), ("is_high_star", "review_text_length"))))
 def q_feature_profile(spark, d):
     cols = ["is_high_star", "review_text_length", "user_review_bucket"]
-    return round_doubles(P.profile_long(_features(spark, d).select(*cols), "features"))
+    return round_doubles(P.profile_long(_features(spark, d, keep=cols).select(*cols), "features"))
 
 
 @query("stream_clean_zone", ORACLE["clean_05"])
@@ -975,7 +988,7 @@ def _land_twice(spark, d):
 
     The first landing is the rows with text only, so that the sparse columns change with the second."""
     from ridgeline.streaming.zone_state import start_zone_stream
-    dirty = _dirty(spark, d)
+    dirty = _staged_dirty(spark, d)
     landing, cleaned, state = (scratch_path(spark, f"zone-{x}") for x in ("landing", "cleaned", "state"))
     for k, part in enumerate((dirty.where("text IS NOT NULL"), dirty.where("text IS NULL"))):
         IO.write_json(part, f"{landing}/{k}")
@@ -1011,8 +1024,8 @@ def _signal_with(**extra) -> str:
 
 
 def _signal(spark, d):
-    reviews = fx.review_signal(spark, d)
-    return FE.build_features(reviews, fx.business(spark, d), fx.users(spark, d), staging=scratch_path(spark, "signal"))
+    reviews, business, users = _facts(spark, d)
+    return FE.build_features(fx.with_signal(reviews), business, users, staging=scratch_path(spark, "signal"), texts=fx.review_texts(spark, d))
 
 
 def _fit(spark, d):
@@ -1140,7 +1153,7 @@ def q_model_roundtrip(spark, d):
 def q_correlation_ml(spark, d):
     """Spark ML's Correlation on the same columns; checked against the same SQL."""
     from ridgeline.plans.model import correlation_ml
-    out = correlation_ml(_features(spark, d))
+    out = correlation_ml(_features(spark, d, keep=_CORR_COLS))
     return round_doubles(out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr"))))
 
 

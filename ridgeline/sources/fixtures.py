@@ -24,15 +24,14 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact table: one row per event, key ``review_id``."""
-    events = base(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
-    docs = base(spark, sf_dir, "documents").select("doc_id", "text")
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()  # scalar subquery, run once
-    keyed = events.withColumn("_doc_id", F.col("event_id") % n_docs)
-    joined = keyed.join(docs, keyed["_doc_id"] == docs["doc_id"], "inner")
+def review_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``review`` without its text: in its place ``text_id``, the key of the text in :func:`review_texts`.
+
+    For jobs that attach the text after their other joins.  A row without a text there is none of ``review``."""
+    events = base(spark, sf_dir, "events")
+    n_docs = base(spark, sf_dir, "documents").agg(F.count(F.lit(1))).scalar()  # scalar subquery, run once
     v = F.floor(F.col("value")).cast("bigint")
-    return joined.select(
+    return events.select(
         F.col("event_id").alias("review_id"),
         F.col("user_id"),
         F.get_json_object("props", "$.k").cast("bigint").alias("business_id"),
@@ -40,11 +39,22 @@ def review(spark: SparkSession, sf_dir: str) -> DataFrame:
         (v % 7).alias("useful"),
         (v % 3).alias("funny"),
         (v % 2).alias("cool"),
-        F.col("text"),
+        (F.col("event_id") % n_docs).alias("text_id"),
         F.col("ts").cast("string").alias("date"),
     )
 
 
+def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of ``review`` by ``text_id``."""
+    return base(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), "text")
+
+
+def review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact table: one row per event, key ``review_id``."""
+    joined = review_facts(spark, sf_dir).join(review_texts(spark, sf_dir), "text_id")
+    return joined.select("review_id", "user_id", "business_id", "stars", "useful", "funny", "cool", "text", "date")
+
+
 def business(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dimension keyed by ``business_id``."""
     s = base(spark, sf_dir, "supplier")
@@ -105,13 +115,18 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("prediction", F.when(F.col("score") >= 0.5, F.lit(1)).otherwise(F.lit(0)))
 
 
-def review_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``review`` with stars that depend on both model features (the two review counts) and noise."""
+def with_signal(reviews: DataFrame) -> DataFrame:
+    """Reviews with stars that depend on both model features (the two review counts) and noise."""
     def part(c: str, times: int, modulus: int) -> Column:
         return (F.col(c) * times % modulus).cast("double") / F.lit(float(modulus))
 
     score = part("business_id", 7, 500) + part("user_id", 13, 97) + part("review_id", 7919, 1000)
-    return review(spark, sf_dir).withColumn("stars", F.when(score >= 1.5, F.lit(5.0)).otherwise(F.lit(2.0)))
+    return reviews.withColumn("stars", F.when(score >= 1.5, F.lit(5.0)).otherwise(F.lit(2.0)))
+
+
+def review_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``review`` with the stars of :func:`with_signal`."""
+    return with_signal(review(spark, sf_dir))
 
 
 def business_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:

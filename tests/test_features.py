@@ -91,3 +91,37 @@ def test_dataframe_level_feature_helpers(spark):
     from ridgeline.operators.metrics import prf
     r = prf(spark.createDataFrame([(1, 1), (0, 1)], "label int, prediction int")).first()
     assert (r.precision, r.recall) == (0.5, 1.0)
+
+
+def test_texts_attached_last_give_the_same_table(spark, tmp_path):
+    from ridgeline.operators.joins import enrich
+    business, users = fx.business(spark, SF_SMALL), fx.users(spark, SF_SMALL)
+    facts = fx.review_facts(spark, SF_SMALL)
+    # text 0 comes twice, 1 is NULL, 2 has no row; reviews without a text id, and one review twice
+    texts = fx.review_texts(spark, SF_SMALL).where("text_id <> 2").withColumn("text", F.expr("CASE WHEN text_id <> 1 THEN text END"))
+    texts = texts.unionAll(spark.createDataFrame([(0, "again"), (None, "nobody's")], "text_id bigint, text string"))
+    facts = facts.withColumn("text_id", F.expr("CASE WHEN review_id % 50 <> 7 THEN text_id END")).unionAll(facts.where("review_id = 3"))
+    whole = facts.join(texts, "text_id").drop("text_id")
+    assert sorted(map(str, enrich(facts, business, users, texts=texts).collect())) == sorted(map(str, enrich(whole, business, users).collect()))
+    want = FE.build_features(whole, business, users)
+    folder = str(tmp_path / "staged")
+    got = FE.build_features(facts, business, users, staging=folder, texts=texts)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "text" not in spark.read.parquet(folder).columns
+    for keep in (("review_id", "text"), ("review_id", "class_weight", "review_text_length")):
+        for staging in (None, str(tmp_path / f"kept-{len(keep)}")):
+            some = FE.build_features(facts, business, users, staging=staging, keep=keep, texts=texts)
+            assert set(some.columns) == set(keep)
+            assert sorted(map(str, some.collect())) == sorted(map(str, want.select(*some.columns).collect()))
+
+
+def test_no_join_before_the_last_shuffles_the_text(spark):
+    from ridgeline.registry import QUERIES
+    plan = QUERIES["star_enrich"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    # the topmost join's right side reads the texts; below its left side, the other joins have none
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    joins = [i for i, line in enumerate(plan) if "Join Inner" in line]
+    right = max(i for i, line in enumerate(plan) if line[depth(line) - 3:].startswith("+- ") and depth(line) == depth(plan[joins[0]]) + 3)
+    assert len(joins) == 3 and joins[-1] < right
+    assert not any("text#" in line.split("Relation")[0] for line in plan[joins[0] + 1:right])
