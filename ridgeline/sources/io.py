@@ -51,11 +51,15 @@ def load_tables(spark: SparkSession, base: str, names: Iterable[str],
     return {n: spark.read.parquet(f"{base}/{n}{suffix}") for n in names}
 
 
+#: Codec of Parquet files that may hold texts: its window covers a page, so equal texts of near rows are stored about once.
+PARQUET_CODEC = "zstd"
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partitions: int | None = None) -> None:
     """Parquet sink.  By default the plan's own partitioning is written as is.
 
     ``partitions`` repartitions the rows evenly to that many files (one full shuffle)."""
-    (df.repartition(partitions) if partitions else df).write.mode(mode).parquet(path)
+    (df.repartition(partitions) if partitions else df).write.mode(mode).parquet(path, compression=PARQUET_CODEC)
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
@@ -70,8 +74,9 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     return df.sparkSession.table(table)
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).json(path)
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip") -> None:
+    """JSON-lines sink, a file a partition.  Readers unpack the files by their names; one of them is one task's."""
+    df.write.mode(mode).json(path, compression=compression)
 
 
 def input_bytes(spark: SparkSession, path: str) -> DataFrame:

@@ -59,7 +59,7 @@ def stage_lines(lines: DataFrame, path: str) -> Counts:
     counted = lines.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.count(F.col(CORRUPT)).alias("malformed"),
         *[F.count_if(good & F.col("`" + c.replace("`", "``") + "`").isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
-    good_lines(counted).write.mode("overwrite").parquet(path)
+    write_parquet(good_lines(counted), path)
     got = seen.get
     return Counts(got["rows"] or 0, got["malformed"] or 0, {c: got[f"n{i}"] or 0 for i, c in enumerate(columns)})
 

@@ -21,7 +21,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ridgeline.operators.clean import DEFAULT_POLICY, POLICIES, clean, sparse_columns
 from ridgeline.session import path_exists
-from ridgeline.sources.io import CORRUPT
+from ridgeline.sources.io import CORRUPT, PARQUET_CODEC
 from ridgeline.sources.zone import SUMMARY, Counts, stage_lines
 
 COUNTS = "rows bigint, malformed bigint, column string, position int, nulls bigint, batch bigint"
@@ -76,7 +76,7 @@ def add_batch(lines: DataFrame, number: int, cleaned: str, state: str, policy: s
     # the batch number is a partition column, not one of the table's: it is no NULL and has no rule
     null_row = {**total.null_row, "batch": 0}
     out = clean(rows, policy, null_row=null_row)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{cleaned}/version={version}")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{cleaned}/version={version}", compression=PARQUET_CODEC)
     (spark.createDataFrame([(version, dropped)], DECISIONS.rsplit(",", 1)[0]).coalesce(1)
      .write.mode("overwrite").parquet(f"{state}/decisions/batch={number}"))
 

@@ -114,3 +114,23 @@ def test_every_review_has_its_document(spark):
     ids = fx.base(spark, SF_MID, "documents").select("doc_id").distinct().count()
     assert docs["min(doc_id)"] == 0 and ids == docs["count(1)"]
     assert fx.review(spark, SF_MID).count() == fx.base(spark, SF_MID, "events").count()
+
+
+def test_landed_texts_are_packed(spark, tmp_path):
+    import random
+    from ridgeline.sources.io import input_bytes
+    text = "".join(random.Random(1).choices("abcdefghij ", k=2000))
+    rows = spark.range(0, 500, 1, 1).selectExpr("id", f"'{text}' AS text")
+    IO.write_json(rows, str(tmp_path / "j"))
+    IO.write_parquet(rows, str(tmp_path / "p"))
+    for name, back in (("j", IO.read_json(spark, str(tmp_path / "j"))), ("p", IO.read_table(spark, str(tmp_path / "p")))):
+        assert sorted(map(tuple, back.select("id", "text").collect())) == [(i, text) for i in range(500)]
+        assert input_bytes(spark, str(tmp_path / name)).first().input_bytes < 40_000
+
+
+def test_only_the_tables_that_are_read_are_landed(spark):
+    from support import SF_SMALL
+    from ridgeline.registry import _land
+    from ridgeline.session import path_exists
+    landing = _land(spark, SF_SMALL, ("business_dirty",))
+    assert path_exists(spark, f"{landing}/business_dirty.json") and not path_exists(spark, f"{landing}/tip.json")
