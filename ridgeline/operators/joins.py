@@ -86,7 +86,7 @@ def enrich_facts(reviews: DataFrame, business: DataFrame, users: DataFrame, salt
 
 
 def attach_text(facts: DataFrame, texts: DataFrame) -> DataFrame:
-    """Inner join with ``texts`` (``text_id, text``); the ``text_id`` goes."""
+    """Inner join with ``texts`` (``text_id`` and the text, or what is wanted of it); the ``text_id`` goes."""
     return facts.join(texts, "text_id").drop("text_id")
 
 

@@ -99,14 +99,17 @@ def build_features(reviews: DataFrame, business: DataFrame, users: DataFrame,
     :func:`ridgeline.operators.joins.enrich`).
 
     With ``texts`` the reviews have a ``text_id`` in place of the text (see :func:`ridgeline.operators.joins.enrich`).
-    A text that is kept is then attached to the staged rows: it is neither staged nor read by who drops it."""
+    A text that is kept is then attached to the staged rows: it is neither staged nor read by who drops it.
+    Of a text that is not kept only the length is joined, measured where the texts are read."""
     base = add_target(enrich(reviews, business, users, salts, texts))
     joined = feature_columns(base)
     local = [c for c in joined.columns if c not in base.columns]
     counts = ("business_review_count", "user_review_count")
     late = texts is not None and (keep is None or "text" in keep)
-    if late:
+    if texts is not None:
         joined = add_buckets(geo_grid(add_target(enrich_facts(reviews, business, users, salts))))
+        if not late:
+            joined = attach_text(joined, add_text_length(texts).drop("text"))
     if keep is not None:
         joined = joined.select(*[c for c in joined.columns if c in keep or c in ("is_high_star", "text_id", *counts)])
     if staging is not None:

@@ -125,3 +125,19 @@ def test_no_join_before_the_last_shuffles_the_text(spark):
     right = max(i for i, line in enumerate(plan) if line[depth(line) - 3:].startswith("+- ") and depth(line) == depth(plan[joins[0]]) + 3)
     assert len(joins) == 3 and joins[-1] < right
     assert not any("text#" in line.split("Relation")[0] for line in plan[joins[0] + 1:right])
+
+
+def _nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
+
+
+def test_of_a_text_that_is_not_kept_only_the_length_is_joined(spark):
+    keep = ["review_id", "review_text_length", "user_review_bucket"]
+    reviews, texts = fx.review_facts(spark, SF_SMALL), fx.review_texts(spark, SF_SMALL)
+    f = FE.build_features(reviews, fx.business(spark, SF_SMALL), fx.users(spark, SF_SMALL), keep=keep, texts=texts)
+    joins = [n for n in _nodes(f._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Join"]
+    sides = [side.output().mkString(" ") for n in joins for side in (n.left(), n.right())]
+    assert len(joins) == 3 and any("review_text_length#" in s for s in sides)
+    assert not any(a.startswith("text#") for s in sides for a in s.split())
