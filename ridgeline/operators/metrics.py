@@ -63,13 +63,20 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score", by:
     )
 
 
-def auc_by(df: DataFrame, by: Sequence[str], label: str = "label", score: str = "score") -> DataFrame:
+def auc_by(df: DataFrame, by: Sequence[str], label: str = "label", score: str = "score", staging: str | None = None) -> DataFrame:
     """``([by,] auc)``: exact ROC area of every group, ties counted one half (Mann-Whitney).
 
     ``2 * P * N * auc = sum over scores of neg * (2 * positives above + pos)``; the sum
     is carried as decimal(38,0), so it is exact and independent of summation order.
-    NULL when a class is absent.  ``by`` columns must not be NULL; without any there is one row."""
-    per = running_sums(score_counts(df, label, score, by), "s", ["pos"], descending=True, by=by)
+    NULL when a class is absent.  ``by`` columns must not be NULL; without any there is one row.
+
+    The running sums read the counts three times, for which the rows of ``df`` are read and shuffled each time;
+    with ``staging`` the counts are written there once and read back."""
+    counts = score_counts(df, label, score, by)
+    if staging is not None:
+        counts.write.mode("overwrite").parquet(staging)
+        counts = counts.sparkSession.read.schema(counts.schema).parquet(staging)
+    per = running_sums(counts, "s", ["pos"], descending=True, by=by)
     above = F.col("cum_pos") - F.col("pos")
     term = F.col("neg").cast("decimal(38,0)") * (F.lit(2) * above + F.col("pos")).cast("decimal(38,0)")
     agg = per.groupBy(*by).agg(

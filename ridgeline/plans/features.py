@@ -94,7 +94,8 @@ def build_features(reviews: DataFrame, business: DataFrame, users: DataFrame,
     rows.  With ``staging`` the join is written there once (in the shared folder) and both
     the aggregate, which reads three columns, and the result scan that table, so the fact
     table is shuffled once; without it the plan is lazy and the join runs for each of the
-    two.  Row-local columns are written, too, and with ``keep`` no others than it needs, so that
+    two.  The aggregate's row is written beside it (``<staging>-scalars``), once for all who read the
+    result.  Row-local columns are written, too, and with ``keep`` no others than it needs, so that
     whoever wants the text's length only neither writes nor reads the text.  ``salts`` opts into an explicitly salted star join (see
     :func:`ridgeline.operators.joins.enrich`).
 
@@ -118,6 +119,9 @@ def build_features(reviews: DataFrame, business: DataFrame, users: DataFrame,
     if late:
         joined = add_text_length(attach_text(joined, texts))
     stats = joined.agg(*class_aggs("is_high_star"), *max_aggs(counts))
+    if staging is not None:
+        stats.write.mode("overwrite").parquet(f"{staging}-scalars")
+        stats = stats.sparkSession.read.schema(stats.schema).parquet(f"{staging}-scalars")
     scaled = {"class_weight": balanced_weight("is_high_star"), **max_ratios(counts, "normalized_")}
     out = [c for c in (*base.columns, *scaled, *local) if keep is None or c in keep]
     return with_stats(joined, stats).withColumns(scaled).select(*out)

@@ -1107,7 +1107,7 @@ def q_cv_metrics(spark, d):
     settings = MO.cv_metrics(model).select("regParam", "elasticNetParam", "avg_auc").collect()
     table = spark.createDataFrame([(i, *r) for i, r in enumerate(settings)], "setting int, regParam double, elasticNetParam double, avg_auc double")
     scores = IO.read_table(spark, path)
-    auc = MO.fold_auc(scores)
+    auc = MO.fold_auc(scores, scratch_path(spark, "cv-counts"))
     mean = auc.groupBy("setting").agg(F.avg("auc").alias("mean"))
     counted = scores.groupBy("setting", "fold").agg(F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("positives"))
     least = F.when(F.col("regParam") < 0.5, 0.75).otherwise(0.5)

@@ -141,3 +141,22 @@ def test_of_a_text_that_is_not_kept_only_the_length_is_joined(spark):
     sides = [side.output().mkString(" ") for n in joins for side in (n.left(), n.right())]
     assert len(joins) == 3 and any("review_text_length#" in s for s in sides)
     assert not any(a.startswith("text#") for s in sides for a in s.split())
+
+
+def test_scalars_of_staged_features_are_written_once(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 1, 10, 5.0, 0), (2, 2, 10, 5.0, 1), (3, 1, 20, 1.0, 0), (4, 1, None, 1.0, 0)],
+                                 "review_id bigint, user_id bigint, business_id bigint, stars double, text_id bigint")
+    reviews = rows.selectExpr("*", "0L AS useful", "0L AS funny", "0L AS cool", "'d' AS date")
+    business = spark.createDataFrame([(10, 4), (20, 8)], "business_id bigint, review_count bigint").selectExpr(
+        "*", "1.0D AS stars", "1L AS is_open", "0.0D AS latitude", "0.0D AS longitude")
+    users = spark.createDataFrame([(1, 3), (2, 6)], "user_id bigint, review_count bigint").selectExpr(
+        "*", "1.0D AS average_stars", "0L AS fans", "0L AS cool", "0L AS funny", "0L AS useful")
+    texts = spark.createDataFrame([(0, "ab"), (1, None)], "text_id bigint, text string")
+    folder = str(tmp_path / "staged")
+    f = FE.build_features(reviews, business, users, staging=folder, texts=texts)
+    assert [tuple(r) for r in spark.read.parquet(f"{folder}-scalars").select("n", "n_pos", "n_neg", "max_0", "max_1").collect()] == [(3, 2, 1, 8, 6)]
+    # whoever reads the features joins the texts, and nothing for the scalars
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1
+    assert sorted((r.review_id, r.class_weight, r.normalized_user_review_count, r.review_text_length) for r in f.collect()) == \
+        [(1, 0.75, 0.5, 2), (2, 0.75, 1.0, None), (3, 1.5, 0.5, 2)]

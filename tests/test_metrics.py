@@ -118,3 +118,14 @@ def test_roc_without_collinear_points(spark):
 def test_roc_without_collinear_points_of_an_empty_table(spark):
     from ridgeline.operators.metrics import roc_points
     assert roc_points(spark.createDataFrame([], "score double, label int"), drop_collinear=True).collect() == []
+
+
+def test_auc_from_staged_counts(spark, tmp_path):
+    from ridgeline.operators.metrics import auc_by
+    # group 2 has no negative, a score and a label are NULL, scores are tied
+    rows = spark.createDataFrame([(1, 1, 0.9), (1, 0, 0.9), (1, 0, 0.1), (1, 1, None), (1, None, 0.4), (1, 1, 0.9), (2, 1, 0.3)], "g int, label int, score double")
+    folder = str(tmp_path / "counts")
+    got = auc_by(rows, ["g"], staging=folder)
+    assert all(f"{folder}/" in f for f in got.inputFiles()) and got.inputFiles()  # no row is read again
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, auc_by(rows, ["g"]).collect())) == [(1, 0.75), (2, None)]
+    assert sorted(map(tuple, spark.read.parquet(folder).collect())) == [(1, 0.1, 0, 1), (1, 0.9, 2, 1), (2, 0.3, 1, 0)]
