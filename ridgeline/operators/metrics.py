@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions.columns import with_stats
 from ridgeline.operators.ordered import DEFAULT_BUCKETS, running_sums
+from ridgeline.sources.io import write_parquet
 
 
 def _confusion_aggs(label: str, pred: str) -> list[Column]:
@@ -74,7 +75,7 @@ def auc_by(df: DataFrame, by: Sequence[str], label: str = "label", score: str =
     with ``staging`` the counts are written there once and read back."""
     counts = score_counts(df, label, score, by)
     if staging is not None:
-        counts.write.mode("overwrite").parquet(staging)
+        write_parquet(counts, staging)
         counts = counts.sparkSession.read.schema(counts.schema).parquet(staging)
     per = running_sums(counts, "s", ["pos"], descending=True, by=by)
     above = F.col("cum_pos") - F.col("pos")

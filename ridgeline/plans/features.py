@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ridgeline.functions.columns import binarise, bucketise, geo_round, safe_div, text_length
 from ridgeline.functions.columns import with_stats
 from ridgeline.operators.joins import attach_text, enrich, enrich_facts
+from ridgeline.sources.io import write_parquet
 
 # Fixed values from the reference feature table.
 HIGH_STAR_AT = 4
@@ -87,7 +88,7 @@ def feature_columns(df: DataFrame) -> DataFrame:
 
 def build_features(reviews: DataFrame, business: DataFrame, users: DataFrame,
                    salts: int | None = None, staging: str | None = None, keep: Sequence[str] | None = None,
-                   texts: DataFrame | None = None) -> DataFrame:
+                   texts: DataFrame | None = None, scalars: DataFrame | None = None) -> DataFrame:
     """M7: the trusted feature table, 28 columns, or those of them named in ``keep``.
 
     All five scalars (n, n_pos, n_neg, two maxima) come from one aggregate over the joined
@@ -101,7 +102,10 @@ def build_features(reviews: DataFrame, business: DataFrame, users: DataFrame,
 
     With ``texts`` the reviews have a ``text_id`` in place of the text (see :func:`ridgeline.operators.joins.enrich`).
     A text that is kept is then attached to the staged rows: it is neither staged nor read by who drops it.
-    Of a text that is not kept only the length is joined, measured where the texts are read."""
+    Of a text that is not kept only the length is joined, measured where the texts are read.
+
+    ``scalars`` is that row of another table (its ``<staging>-scalars``), for some of that table's reviews: they get the
+    values they have there."""
     base = add_target(enrich(reviews, business, users, salts, texts))
     joined = feature_columns(base)
     local = [c for c in joined.columns if c not in base.columns]
@@ -114,12 +118,12 @@ def build_features(reviews: DataFrame, business: DataFrame, users: DataFrame,
     if keep is not None:
         joined = joined.select(*[c for c in joined.columns if c in keep or c in ("is_high_star", "text_id", *counts)])
     if staging is not None:
-        joined.write.mode("overwrite").parquet(staging)
+        write_parquet(joined, staging)
         joined = joined.sparkSession.read.schema(joined.schema).parquet(staging)
     if late:
         joined = add_text_length(attach_text(joined, texts))
-    stats = joined.agg(*class_aggs("is_high_star"), *max_aggs(counts))
-    if staging is not None:
+    stats = joined.agg(*class_aggs("is_high_star"), *max_aggs(counts)) if scalars is None else scalars
+    if staging is not None and scalars is None:
         stats.write.mode("overwrite").parquet(f"{staging}-scalars")
         stats = stats.sparkSession.read.schema(stats.schema).parquet(f"{staging}-scalars")
     scaled = {"class_weight": balanced_weight("is_high_star"), **max_ratios(counts, "normalized_")}

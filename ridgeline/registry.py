@@ -1024,18 +1024,25 @@ def _signal_with(**extra) -> str:
 
 
 def _signal(spark, d):
+    """``(features, held-out rows)``: every row with the columns that a model reads, staged, and the held-out
+    rows of the feature table with all their columns."""
+    from ridgeline.plans import model as MO
     reviews, business, users = _facts(spark, d)
-    return FE.build_features(fx.with_signal(reviews), business, users, staging=scratch_path(spark, "signal"), texts=fx.review_texts(spark, d))
+    reviews, texts, staging = fx.with_signal(reviews), fx.review_texts(spark, d), scratch_path(spark, "signal")
+    features = FE.build_features(reviews, business, users, staging=staging, texts=texts,
+                                 keep=["review_id", "is_high_star", "class_weight", *MO.FEATURE_COLUMNS])
+    _, held_out = L.split_hash(reviews, "review_id", MO.TRAIN_PCT)
+    return features, FE.build_features(held_out, business, users, texts=texts, scalars=IO.read_table(spark, f"{staging}-scalars"))
 
 
 def _fit(spark, d):
-    """``(model, features, path of the written predictions)``: fitted anew by every query, once in it."""
+    """``(model, features, path of the written predictions, held-out rows)``: fitted anew by every query, once in it."""
     from ridgeline.plans import model as MO
-    features = _signal(spark, d)
-    model, pred = MO.train_score(features, parallelism=8)
+    features, held_out = _signal(spark, d)
+    model, pred = MO.train_score(features, parallelism=8, held_out=held_out)
     path = scratch_path(spark, "predictions")
     MO.write_predictions(pred, path)
-    return model, features, path
+    return model, features, path, held_out
 
 
 def _predictions(spark, d):
@@ -1075,7 +1082,7 @@ def q_model_checks(spark, d):
     from pyspark.ml.functions import vector_to_array
 
     from ridgeline.plans import model as MO
-    model, features, written = _fit(spark, d)
+    model, features, written, held_out = _fit(spark, d)
     pred = IO.read_table(spark, written)
     lr = MO.fitted_stage(model.bestModel, LogisticRegressionModel)
     x, p = vector_to_array("scaled_features"), vector_to_array("probability")[1]
@@ -1090,7 +1097,7 @@ def q_model_checks(spark, d):
         "probability_is_sigmoid": off < 1e-9, "prediction_is_half_or_more": wrong == 0,
         "coefficients_not_zero": all(abs(w) > 0.1 for w in lr.coefficients), "auc_above_three_quarters": exact > 0.75,
         "auc_near_exact": abs(binned - exact) < 1e-3, "reload_scores_alike": differ[0] == 0 and differ[1] == pred.count(),
-        "all_columns_written": set(pred.columns) == {*features.columns, *_PREDICTION_COLUMNS}})
+        "all_columns_written": set(pred.columns) == {*held_out.columns, *_PREDICTION_COLUMNS}})
 
 
 @query("cv_metrics", _TEST_SQL + f"""
@@ -1103,7 +1110,7 @@ def q_cv_metrics(spark, d):
     the reported means are made of (no worse than chance; well above it under little regularisation)."""
     from ridgeline.plans import model as MO
     path = scratch_path(spark, "cv-scores")
-    model, _ = MO.train_score(_signal(spark, d), parallelism=8, scores_path=path)
+    model, _ = MO.train_score(_signal(spark, d)[0], parallelism=8, scores_path=path)
     settings = MO.cv_metrics(model).select("regParam", "elasticNetParam", "avg_auc").collect()
     table = spark.createDataFrame([(i, *r) for i, r in enumerate(settings)], "setting int, regParam double, elasticNetParam double, avg_auc double")
     scores = IO.read_table(spark, path)
@@ -1139,7 +1146,7 @@ def q_feature_importance(spark, d):
 def q_model_roundtrip(spark, d):
     """Save the best pipeline, load it back, score the held-out rows with the copy: alike row by row."""
     from ridgeline.plans import model as MO
-    model, features, written = _fit(spark, d)
+    model, features, written, _ = _fit(spark, d)
     path = scratch_path(spark, "model")
     MO.save_model(model.bestModel, path)
     _, test = MO.split_train_test(features)

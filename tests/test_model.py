@@ -137,3 +137,28 @@ def test_fits_that_run_at_once_share_no_properties(spark, monkeypatch):
     _, lr = MO.build_pipeline()
     models = MO.fit_folds(rows, MO.param_grid(lr, (0.01,), (0.0, 0.5)), MO.FEATURE_COLUMNS, lr, 2, 4)
     assert [(m.fold, m.setting) for m in models] == [(0, 0), (0, 1), (1, 0), (1, 1)] and len(wrapped) == 4
+
+
+def test_fits_read_a_staged_table_without_a_join_and_held_out_rows_are_whole(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from ridgeline import registry
+    base = {"events": spark.range(600).selectExpr("if(id % 97 = 5, NULL, id) AS event_id", "id % 12 AS user_id", "double(id) AS value",
+                                                 "concat('{\"k\": ', id % 9, '}') AS props", "timestamp_seconds(id) AS ts"),
+            # 3 comes twice, 4 is NULL, 5 has no row
+            "documents": spark.range(20).where("id <> 5").selectExpr("id AS doc_id", "if(id = 4, NULL, repeat('x', int(id))) AS text").unionAll(
+                spark.createDataFrame([(3, "again")], "doc_id bigint, text string")),
+            "supplier": spark.range(8).selectExpr("id AS s_suppkey", "'n' AS s_name", "double(id) AS s_acctbal"),
+            "customer": spark.range(11).selectExpr("id AS c_custkey")}
+    for name, table in base.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    d = str(tmp_path)
+    features, held_out = registry._signal(spark, d)
+    whole = FE.build_features(fx.with_signal(fx.review(spark, d)), fx.business(spark, d), fx.users(spark, d))
+    rows = lambda df, cols: sorted(str(tuple(r)) for r in df.select(*cols).collect())
+    assert rows(features, features.columns) == rows(whole, features.columns)
+    assert "Join" not in features._jdf.queryExecution().optimizedPlan().toString()
+    train, test = MO.split_train_test(whole)
+    assert held_out.schema.simpleString() == whole.schema.simpleString()
+    assert rows(MO.with_label(held_out), test.columns) == rows(test, test.columns) and test.count() > 50
+    assert rows(MO.split_train_test(features)[0], features.columns) == rows(train, features.columns)
+    assert whole.where(F.col("text") == "again").count() > 0
