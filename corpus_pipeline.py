@@ -13,14 +13,14 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import lean_workers, on_workers
+from ridgeline.llm.common import lean_workers, on_workers, stored
 from ridgeline.llm.language import fit_language, with_language
 from ridgeline.llm.minhash import near_duplicates
 from ridgeline.llm.mixing import mix_sources, take_copies
 from ridgeline.llm.packing import pack_documents
 from ridgeline.llm.suffix_dedup import without_repeats
 from ridgeline.llm.tokens import tokenizer_path
-from ridgeline.session import scratch_path
+from ridgeline.session import drop_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -89,10 +89,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; every stage's output is written and read back as the next one's input."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Apply the stages to ``documents``; every stage's output is written and read back as the next one's input, then removed."""
+    docs, path = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, function in STAGES[:-1]:
-        path = scratch_path(spark, "stage-" + name.replace(" ", "-").lower())
-        function(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        before = path
+        docs, path = stored(function(spark, docs, sf_dir), "stage-" + name.replace(" ", "-").lower())
+        if before:
+            drop_path(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)

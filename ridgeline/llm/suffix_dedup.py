@@ -10,11 +10,15 @@ under one hash; consecutive windows of one hash are one row (a stretch), not one
 2. Of equal stretches under one hash the earliest stays, the others repeat it.
 3. Different stretches of one hash, or one that may repeat itself, are put together in strings of a few and suffix-sorted:
    equal windows are then neighbours.  A hash with more stretches is dealt into several
-   strings; the earliest window of each class leaves its string as a digest and the
+   strings; the earliest window of each class leaves its string and the
    earliest of all is found by aggregation, so no hash is too frequent.  Those windows leave
    in rows of up to ``CORE_WINDOWS`` at fixed distances from their smallest gram; what the
    windows of a row have in common, its core, must occur in two rows for them to be compared.
+   A row holds the hash of its core and the few bytes on either side, which with it tell its windows apart.
 4. Windows that repeat an earlier one give the spans to remove.
+
+Step 3 takes the hashes in rounds, as many as keep the bytes cut in one below a half of the texts;
+what a step has written is removed once the next no longer reads it.
 """
 
 from __future__ import annotations
@@ -27,8 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridgeline.llm.common import mix, prefix_hash, row_blocks, segment_hash, text_bytes, written
+from ridgeline.llm.common import mix, prefix_hash, row_blocks, segment_hash, stored, text_bytes
 from ridgeline.llm.suffix_order import suffix_arrays
+from ridgeline.session import drop_path
 
 LENGTH, GRAM = 100, 24
 #: Grams per window; also the most windows of a stretch.
@@ -37,8 +42,10 @@ GRAMS = LENGTH - GRAM + 1
 STRING_STRETCHES = 16
 #: Symbols of a matrix of strings that is sorted at once.
 MATRIX = 1 << 20
-#: Neighbouring windows that are looked up by their common core first.
+#: Neighbouring windows that are looked up by their common core first; the bytes beside it fit in a long.
 CORE_WINDOWS = 8
+#: Bytes that a round may cut out of any corpus; of a large one, half its bytes.
+ROUND_BYTES = 1 << 28
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -120,11 +127,12 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Suffix-sort strings of stretches (rows ordered by ``h, part, doc_id, low``) and report repeats.
 
     ``core`` null: ``n`` windows from ``low`` repeat earlier ones of their string.  Else (a hash
-    with several strings): the windows at ``lows``, with ``digests``, share ``core`` and are each
-    the earliest of its class in its string.
+    with several strings): the windows that begin d bytes before ``low``, for every bit d of ``n``,
+    share ``core`` and are each the earliest of its class in its string; ``left`` and ``right``
+    are the bytes beside the core.
     """
     names = ["h", "part", "parts", "doc_id", "low", "bytes"]
-    out = ["h", "core", "doc_id", "low", "n", "lows", "digests"]
+    out = ["core", "doc_id", "low", "n", "left", "right"]
 
     def matrices(table: pa.Table) -> Iterator[pa.RecordBatch]:
         h, part, doc, low = (table.column(c).to_numpy() for c in ("h", "part", "doc_id", "low"))
@@ -193,9 +201,8 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             run = np.diff(np.append(first, len(again)))
             m = member[s[first]]
             start = low[m] + again[first] - (row * width + inner)[s[first]]
-            none = [pa.nulls(len(m), pa.list_(pa.int32())), pa.nulls(len(m), pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[m]), pa.nulls(len(m), pa.int64()), pa.array(doc[m]), pa.array(start), pa.array(run), *none], out)
+            none = pa.nulls(len(m), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(doc[m]), pa.array(start), pa.array(run), none, none], out)
         if len(heads) and (parts[member] > 1).any():
             earliest = np.sort(earliest)
             s = stretch_at[earliest]
@@ -213,18 +220,21 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         hit = segment_hash(prefix, places, places + GRAM).view(np.int64) == own[:len(places)]
         gram = np.minimum.accumulate(np.where(hit, places, len(flat))[::-1])[::-1][spots]  # leftmost in the window
         far = (gram - spots) // CORE_WINDOWS * CORE_WINDOWS
-        core = mix(segment_hash(prefix, gram - far, gram - far + LENGTH - CORE_WINDOWS + 1) + far.astype(np.uint64))
-        digest = segment_hash(prefix, spots, spots + LENGTH).view(np.int64)
         new = np.ones(len(spots), bool)
         new[1:] = (s[1:] != s[:-1]) | (gram[1:] != gram[:-1]) | (far[1:] != far[:-1])
         first = np.flatnonzero(new)
-        at = np.append(first, len(spots)).astype(np.int32)
-        m = member[s]
-        lows = (low[m] + spots - begin[s]).astype(np.int32)
+        at, m = (gram - far)[first], member[s[first]]
+        size = LENGTH - CORE_WINDOWS + 1
+        core = mix((segment_hash(prefix, at, at + size) + far[first].astype(np.uint64)) ^ mix(h[m].view(np.uint64)))
+        back = (gram - far) - spots  # bytes of a window before its core; it has CORE_WINDOWS - 1 on both sides
+        bits = np.bitwise_or.reduceat(np.int64(1) << back, first)
+        most, least = np.maximum.reduceat(back, first), np.minimum.reduceat(back, first)
+        side = CORE_WINDOWS - 1
+        digits = 256 ** np.arange(side - 1, -1, -1)
+        left, right = (flat[np.clip(a[:, None] + np.arange(side), 0, len(flat) - 1)].astype(np.int64) @ digits for a in (at - side, at + size))
+        left, right = left % (np.int64(1) << 8 * most), right >> 8 * least << 8 * least  # what its windows hold
         yield pa.RecordBatch.from_arrays(
-            [pa.array(h[m[first]]), pa.array(core[first].view(np.int64)), pa.array(doc[m[first]]),
-             pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.int64()),
-             pa.ListArray.from_arrays(at, pa.array(lows)), pa.ListArray.from_arrays(at, pa.array(digest))], out)
+            [pa.array(x) for x in (core.view(np.int64), doc[m], low[m] + at - begin[s[first]], bits, left, right)], out)
 
     rest, held = [], 0
     for batch in batches:
@@ -273,40 +283,64 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [*others, "n_bytes", "n_removed", "n_spans", "kept"])
 
 
+def _round_spans(rows: DataFrame, wanted: DataFrame) -> tuple[DataFrame, str]:
+    """``doc_id, low, n`` of windows of the ``wanted`` stretches that repeat another stretch's; the path is for ``drop_path``."""
+    listed = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("h", "part", "parts", "place")).alias("wanted"))
+    cut = (rows.join(listed, "doc_id").select("doc_id", "text", "wanted")
+           .mapInArrow(_cut, "h long, part int, parts int, doc_id long, low long, bytes binary"))
+    windows, windows_path = stored(cut.repartition("h", "part").sortWithinPartitions("h", "part", "doc_id", "low")
+                                   .mapInArrow(_sorted_windows, "core long, doc_id long, low long, n long, left long, right long"),
+                                   "repeats")
+    cores = windows.where("core IS NOT NULL")
+    common = cores.groupBy("core").count().where("count > 1").select("core")
+    shared, shared_path = stored(cores.join(common, "core"), "cores")
+    side = 8 * (CORE_WINDOWS - 1)
+    spread = (shared.withColumn("d", F.expr(f"explode(filter(sequence(0, {CORE_WINDOWS - 1}), d -> shiftright(n, d) % 2 = 1))"))
+              .select("core", "doc_id", (F.col("low") - F.col("d")).alias("low"),
+                      F.expr(f"shiftleft(CAST(d AS BIGINT), {side})"
+                             f" | shiftleft(left & (shiftleft(1L, 8 * d) - 1), {side} - 8 * d) | shiftright(right, 8 * d)").alias("window")))
+    across = (spread.join(spread.groupBy("core", "window").agg(F.min(F.struct("doc_id", "low")).alias("first")), ["core", "window"])
+              .where("doc_id != first.doc_id OR low != first.low").select("doc_id", "low", F.lit(1).cast("long").alias("n")))
+    spans = stored(windows.where("core IS NULL").select("doc_id", "low", "n").union(across), "round-spans")
+    for path in (windows_path, shared_path):
+        drop_path(rows.sparkSession, path)
+    return spans
+
+
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """``doc_id, spans`` (array of ``low, n``: n windows from byte ``low``) of the documents that repeat something.
 
     ``rows`` has ``doc_id`` (not null) and ``text``.
     """
-    frequent = (rows.mapInArrow(_stretch_hashes, "h long, inner boolean").groupBy("h")
-                .agg(F.count("*").alias("count"), F.max("inner").alias("inner")).where("count > 1 OR inner").select("h"))
+    frequent, frequent_path = stored(rows.mapInArrow(_stretch_hashes, "h long, inner boolean").groupBy("h")
+                                     .agg(F.count("*").alias("count"), F.max("inner").alias("inner"))
+                                     .where("count > 1 OR inner").select("h"), "frequent")
     found = rows.mapInArrow(_stretch_rows, "h long, digest long, doc_id long, place long, inner boolean").drop("inner")
-    repeated = written(found.join(frequent, "h"), "stretches")
+    repeated, repeated_path = stored(found.join(frequent, "h"), "stretches")
+    drop_path(rows.sparkSession, frequent_path)
     earliest = repeated.groupBy("h", "digest").agg(F.min(F.struct("doc_id", "place")).alias("first"))
+    run = F.col("place").bitwiseAND(F.lit(127))
     copies = (repeated.join(earliest, ["h", "digest"])
               .where("doc_id != first.doc_id OR place != first.place")
-              .select("doc_id", F.shiftright("place", 8).alias("low"), F.col("place").bitwiseAND(F.lit(127)).alias("n")))
+              .select("doc_id", F.shiftright("place", 8).alias("low"), run.alias("n")))
     different = earliest.select("h", "digest", "first.doc_id", "first.place")
     several = (different.groupBy("h").agg(F.count("*").alias("count"), F.max(F.col("place").bitwiseAND(F.lit(128))).alias("inner"))
                .where("count > 1 OR inner > 0")
                .select("h", F.ceil(F.col("count") / STRING_STRETCHES).cast("int").alias("parts")))
-    wanted = (different.join(several, "h")
-              .withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
-              .groupBy("doc_id").agg(F.collect_list(F.struct("h", "part", "parts", "place")).alias("wanted")))
-    cut = (rows.join(wanted, "doc_id").select("doc_id", "text", "wanted")
-           .mapInArrow(_cut, "h long, part int, parts int, doc_id long, low long, bytes binary"))
-    windows = written(cut.repartition("h", "part").sortWithinPartitions("h", "part", "doc_id", "low")
-                      .mapInArrow(_sorted_windows, "h long, core long, doc_id long, low long, n long, lows array<int>, digests array<long>"),
-                      "repeats")
-    rows_of = windows.where("core IS NOT NULL").select("h", "core", "doc_id", "lows", "digests")
-    common = rows_of.groupBy("h", "core").count().where("count > 1").select("h", "core")
-    spread = (rows_of.join(common, ["h", "core"])
-              .select("h", "doc_id", F.explode(F.arrays_zip("lows", "digests")).alias("window"))
-              .select("h", "doc_id", F.col("window.lows").cast("long").alias("low"), F.col("window.digests").alias("digest")))
-    across = (spread.join(spread.groupBy("h", "digest").agg(F.min(F.struct("doc_id", "low")).alias("first")), ["h", "digest"])
-              .where("doc_id != first.doc_id OR low != first.low").select("doc_id", "low", F.lit(1).cast("long").alias("n")))
-    spans = copies.union(windows.where("core IS NULL").select("doc_id", "low", "n")).union(across)
-    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "n")).alias("spans"))
+    wanted, wanted_path = stored(different.join(several, "h")
+                                 .select("h", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int").alias("part"), "parts", "doc_id", "place"),
+                                 "wanted")
+    size = wanted.agg(F.sum(run + LENGTH - 1)).first()[0] or 0
+    half = rows.agg(F.sum(F.octet_length("text"))).first()[0] // 2 if size > ROUND_BYTES else 0
+    rounds = -(-size // max(half, ROUND_BYTES))
+    several_spans = [_round_spans(rows, wanted.where(F.pmod(F.xxhash64("h"), F.lit(rounds)) == k)) for k in range(rounds)]
+    spans = copies
+    for some, _ in several_spans:
+        spans = spans.union(some)
+    out = stored(spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "n")).alias("spans")), "spans")[0]
+    for path in (repeated_path, wanted_path, *(path for _, path in several_spans)):
+        drop_path(rows.sparkSession, path)
+    return out
 
 
 def remove_repeats(docs: DataFrame, others: tuple[str, ...] = ()) -> DataFrame:

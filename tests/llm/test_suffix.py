@@ -1,13 +1,19 @@
 """Suffix order and removal of repeats against brute force."""
 
 import hashlib
+import os
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 from helpers import SCHEMA, frame, prose
 
+from ridgeline.llm import suffix_dedup
+from ridgeline.llm.common import written
 from ridgeline.llm.suffix_dedup import LENGTH, remove_repeats, sha256
 from ridgeline.llm.suffix_order import suffix_arrays
+from ridgeline.session import shared_dir
 
 
 def test_suffix_arrays():
@@ -88,3 +94,50 @@ def test_repeats_inside_one_stretch(spark):
     want = brute(range(len(texts)), texts)
     out = sha256(remove_repeats(frame(spark, texts))).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out} == want
+
+
+def scratch(spark):
+    return set(os.listdir(shared_dir(spark).removeprefix("file://")))
+
+
+def test_rounds_leave_only_the_spans(spark, monkeypatch):
+    texts, rounds = corpus(), []
+    one = suffix_dedup._round_spans
+    monkeypatch.setattr(suffix_dedup, "ROUND_BYTES", 1)
+    monkeypatch.setattr(suffix_dedup, "_round_spans", lambda *a: rounds.append(a) or one(*a))
+    texts += [" ".join(prose(random.Random(k // 3), 60, 9000)[k % 3:]) + f" {k}" for k in range(90)]  # most of it is cut
+    before = scratch(spark)
+    out = sha256(remove_repeats(frame(spark, texts).repartition(4)))
+    assert len(rounds) > 1
+    assert sorted(name.split("-")[0] for name in scratch(spark) - before) == ["spans"]
+    want = brute(range(len(texts)), texts)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect()} == want
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    def files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {blocks.apply(i).getName() for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_")}
+
+    before = files()
+    out = written(spark.range(1000).groupBy("id").count(), "counted")
+    end = time.time() + 10
+    while files() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not files() - before
+    assert out.count() == 1000
+
+
+def test_windows_of_several_strings_are_few_bytes():
+    rng = random.Random(4)
+    gram = b"a gram of two dozen byte"
+    rows = [(k, bytes(rng.choices(b"bcdefgh", k=76)) + gram + bytes(rng.choices(b"bcdefgh", k=76))) for k in range(12)]
+    prefix = suffix_dedup.prefix_hash(np.frombuffer(gram, np.uint8))
+    h = int(suffix_dedup.segment_hash(prefix, np.array([0]), np.array([len(gram)])).view(np.int64)[0])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([h] * 12), pa.array([0] * 12, pa.int32()), pa.array([2] * 12, pa.int32()), pa.array([k for k, _ in rows]),
+         pa.array([5] * 12), pa.array([raw for _, raw in rows], pa.binary())], ["h", "part", "parts", "doc_id", "low", "bytes"])
+    out = pa.Table.from_batches(suffix_dedup._sorted_windows(iter([batch])))
+    windows = [(r["core"], r["doc_id"], r["low"] - d) for r in out.to_pylist() for d in range(8) if r["n"] >> d & 1]
+    assert sorted(w[1:] for w in windows) == [(k, 5 + a) for k in range(12) for a in range(77)]
+    assert out.nbytes < 8 * len(windows)
